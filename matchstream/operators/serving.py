@@ -7,10 +7,11 @@ broken by team (and player) so that the cut is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstream.functions.format import alert_label, percent_text
+from matchstream.schema import TEAMS
 
 
 def latest_fouls(fouls: DataFrame, n: int = 10) -> DataFrame:
@@ -49,3 +50,14 @@ def top_players(players: DataFrame, n: int = 20) -> DataFrame:
         F.col("total_shots_taken").alias("shots_taken"),
         percent_text("scoring_percentage").alias("scoring_percentage"),
     )
+
+
+def scoreboard_readout(board: DataFrame | None, spark: SparkSession | None = None, teams=TEAMS) -> DataFrame:
+    """``team, goals`` with every known team present (0 when it has not scored).
+
+    A union with zero rows and a per-team sum: no join, unknown teams kept.
+    """
+    spark = board.sparkSession if board is not None else (spark or SparkSession.getActiveSession())
+    zero = spark.createDataFrame([(t, 0) for t in teams], "team string, goals bigint")
+    rows = zero if board is None else board.select("team", F.col("goals").cast("bigint")).unionByName(zero)
+    return rows.groupBy("team").agg(F.sum("goals").alias("goals"))

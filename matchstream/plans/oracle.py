@@ -13,7 +13,7 @@ from matchstream.plans.catalog import HALF_TIME_RANGE
 from matchstream.sources.testdata import ORACLE_PRELUDE
 
 
-def _fouls(width: str) -> str:
+def fouls_cte(width: str) -> str:
     return f""",
 fouls AS (
 SELECT team, count(*) AS fouls,
@@ -23,7 +23,7 @@ FROM match_events WHERE event_type = 'foul' AND event_timestamp IS NOT NULL
 GROUP BY team, time_bucket(INTERVAL '{width}', event_timestamp))"""
 
 
-def _cards(duration: str, slide: str, n: int) -> str:
+def cards_cte(duration: str, slide: str, n: int) -> str:
     return f""",
 cards AS (
 SELECT team, player, count(*) AS yellow_cards, window_start,
@@ -36,16 +36,16 @@ FROM (SELECT team, player,
 GROUP BY team, player, window_start)"""
 
 
-_MOMENTUM = """
+MOMENTUM_SELECT = """
 SELECT team, player, yellow_cards, window_start, window_end, player_alert,
        SUM(yellow_cards) OVER (PARTITION BY team, window_start, window_end) > 3 AS team_momentum_lost
 FROM cards"""
 
-_CARDS_SELECT = """
+CARDS_SELECT = """
 SELECT team, player, yellow_cards, window_start, window_end, player_alert FROM cards"""
 
 
-def _players(where: str) -> str:
+def players_cte(where: str) -> str:
     return f""",
 players AS (
 SELECT team, player,
@@ -59,10 +59,10 @@ FROM match_events {where}
 GROUP BY team, player)"""
 
 
-_PERF = "WHERE event_type IN ('goal', 'assist', 'shot')"
+PERFORMANCE_WHERE = "WHERE event_type IN ('goal', 'assist', 'shot')"
 
 
-def _scoreboard(key: str, counts: bool) -> str:
+def scoreboard_sql(key: str, counts: bool) -> str:
     extra = ", CAST(SUM(n) AS BIGINT) AS goal_events" if counts else ""
     return f""",
 firsts AS (
@@ -118,45 +118,45 @@ def batch_oracles() -> dict[str, str]:
     lo, hi = HALF_TIME_RANGE
     p = ORACLE_PRELUDE
     return {
-        "fouls_tumbling_1m": p + _fouls("1 minute") + "\nSELECT * FROM fouls",
-        "fouls_tumbling_10m": p + _fouls("10 minutes") + "\nSELECT * FROM fouls",
+        "fouls_tumbling_1m": p + fouls_cte("1 minute") + "\nSELECT * FROM fouls",
+        "fouls_tumbling_10m": p + fouls_cte("10 minutes") + "\nSELECT * FROM fouls",
         "fouls_by_team": p
         + "\nSELECT team, count(*) AS fouls FROM match_events WHERE event_type = 'foul' GROUP BY team",
-        "yellow_cards_5m": p + _cards("5 minutes", "1 minute", 5) + _CARDS_SELECT,
-        "yellow_cards_60m": p + _cards("60 minutes", "10 minutes", 6) + _CARDS_SELECT,
-        "yellow_momentum_5m": p + _cards("5 minutes", "1 minute", 5) + _MOMENTUM,
-        "yellow_momentum_60m": p + _cards("60 minutes", "10 minutes", 6) + _MOMENTUM,
-        "yellow_momentum_join": p + _cards("60 minutes", "10 minutes", 6) + _MOMENTUM,
+        "yellow_cards_5m": p + cards_cte("5 minutes", "1 minute", 5) + CARDS_SELECT,
+        "yellow_cards_60m": p + cards_cte("60 minutes", "10 minutes", 6) + CARDS_SELECT,
+        "yellow_momentum_5m": p + cards_cte("5 minutes", "1 minute", 5) + MOMENTUM_SELECT,
+        "yellow_momentum_60m": p + cards_cte("60 minutes", "10 minutes", 6) + MOMENTUM_SELECT,
+        "yellow_momentum_join": p + cards_cte("60 minutes", "10 minutes", 6) + MOMENTUM_SELECT,
         "yellow_cards_by_team_player": p + _CARD_ROLLUP,
-        "player_stats_all": p + _players("") + "\nSELECT * FROM players",
-        "player_stats_performance": p + _players(_PERF) + "\nSELECT * FROM players",
+        "player_stats_all": p + players_cte("") + "\nSELECT * FROM players",
+        "player_stats_performance": p + players_cte(PERFORMANCE_WHERE) + "\nSELECT * FROM players",
         "player_stats_half_time": p
-        + _players(
-            _PERF
+        + players_cte(
+            PERFORMANCE_WHERE
             + f" AND event_timestamp >= TIMESTAMP '{lo}' AND event_timestamp < TIMESTAMP '{hi}'"
         )
         + "\nSELECT * FROM players",
         "player_leaderboard": p
-        + _players("")
+        + players_cte("")
         + "\nSELECT * FROM players ORDER BY total_goals_scored DESC, scoring_percentage DESC,"
         " total_assists DESC, team, player",
-        "scoreboard": p + _scoreboard("event_timestamp", False),
-        "scoreboard_collisions": p + _scoreboard("date_trunc('hour', event_timestamp)", True),
+        "scoreboard": p + scoreboard_sql("event_timestamp", False),
+        "scoreboard_collisions": p + scoreboard_sql("date_trunc('hour', event_timestamp)", True),
         "route_topics": p + _TOPICS,
         "parse_events": p + _ALL_EVENTS,
         "load_match_events": p + _ALL_EVENTS,
         "family_counts": p + _FAMILY,
         "serve_fouls_latest": p
-        + _fouls("1 minute")
+        + fouls_cte("1 minute")
         + "\nSELECT team, fouls, window_start, window_end FROM fouls"
         " ORDER BY window_end DESC, team LIMIT 10",
         "serve_yellow_latest": p
-        + _cards("5 minutes", "1 minute", 5)
+        + cards_cte("5 minutes", "1 minute", 5)
         + "\nSELECT team, player, yellow_cards, window_start, window_end,"
         " CASE WHEN player_alert THEN '🚨 OUT' ELSE '' END AS player_alert"
         " FROM cards ORDER BY window_end DESC, team, player LIMIT 20",
         "serve_player_top20": p
-        + _players(_PERF)
+        + players_cte(PERFORMANCE_WHERE)
         + "\nSELECT team, player, total_goals_scored AS goals, total_assists AS assists,"
         " total_shots_taken AS shots_taken, printf('%.2f%%', scoring_percentage) AS scoring_percentage"
         " FROM players ORDER BY total_goals_scored DESC, scoring_percentage DESC, team, player LIMIT 20",

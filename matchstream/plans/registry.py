@@ -4,23 +4,12 @@ from __future__ import annotations
 
 from matchstream.plans.catalog import BATCH_QUERIES, Query
 from matchstream.plans.oracle import batch_oracles
+from matchstream.streaming.catalog import STREAM_QUERIES, stream_oracles
 
 
 def all_queries() -> dict[str, Query]:
-    out = dict(BATCH_QUERIES)
-    try:
-        from matchstream.streaming.catalog import STREAM_QUERIES
-    except ImportError:  # streaming catalog not built yet
-        STREAM_QUERIES = {}
-    out.update(STREAM_QUERIES)
-    return out
+    return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 def all_oracles() -> dict[str, str]:
-    out = batch_oracles()
-    try:
-        from matchstream.streaming.catalog import stream_oracles
-    except ImportError:
-        return out
-    out.update(stream_oracles())
-    return out
+    return {**batch_oracles(), **stream_oracles()}
