@@ -15,13 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from matchstream.sources.jdbc import write_jdbc
 
 
-def merge_statement(target: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
-    """ANSI ``MERGE`` (Derby, Oracle, SQL Server, PostgreSQL 15+, ...)."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+def merge_statement(
+    target: str, staging: str, keys: Sequence[str], columns: Sequence[str], quote: str = '"'
+) -> str:
+    """ANSI ``MERGE`` (Derby, Oracle, SQL Server, PostgreSQL 15+, ...).
+
+    Column names are quoted the way Spark's JDBC writer created them
+    (``quote`` is the dialect's identifier quote).
+    """
+    q = lambda c: f"{quote}{c}{quote}"
+    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
     values = [c for c in columns if c not in keys]
-    sets = ", ".join(f"{c} = s.{c}" for c in values)
-    cols = ", ".join(columns)
-    vals = ", ".join(f"s.{c}" for c in columns)
+    sets = ", ".join(f"{q(c)} = s.{q(c)}" for c in values)
+    cols = ", ".join(q(c) for c in columns)
+    vals = ", ".join(f"s.{q(c)}" for c in columns)
     matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if values else ""
     return (
         f"MERGE INTO {target} t USING {staging} s ON {on}{matched}"
