@@ -4,7 +4,7 @@
 (not a NULL struct), so the schema carries a ``_corrupt_record`` field that
 receives the raw text of any message that did not parse.  A message that
 parsed but whose timestamp is not a valid ISO time is quarantined too; both
-checks are plain column expressions and run inside whole-stage codegen.
+checks are plain column expressions over the parsed struct.
 """
 
 from __future__ import annotations
@@ -34,7 +34,10 @@ def _decoded(df: DataFrame, value_col: str, with_event_id: bool, ntz: bool) -> D
         _wire_schema(with_event_id),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    out = df.select(text.alias("value"), parsed.alias("d"))
+    # Parse once per row: the struct leaves through a generator, so the
+    # quarantine predicates above cannot be pushed below it (pushing them
+    # through a plain projection would re-run from_json inside the filter).
+    out = df.select(F.inline(F.array(F.struct(text.alias("value"), parsed.alias("d")))))
     cols = [
         F.col("value"),
         iso_timestamp(F.col("d.timestamp"), ntz=ntz).alias("event_timestamp"),

@@ -35,12 +35,21 @@ from matchstream.operators import (
 from matchstream.operators.routing import wire_value
 from matchstream.schema import PERFORMANCE_TYPES
 from matchstream.session import scratch_path
-from matchstream.sources.files import read_events_csv, write_events_csv
+from matchstream.sources.files import append_match_events, read_events_csv, write_events_csv
 from matchstream.sources.testdata import load_match_events_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HALF_TIME_RANGE = ("2024-01-01 00:00:00", "2024-01-16 00:00:00")
+EVENT_COLUMNS = [
+    "event_id",
+    "event_timestamp",
+    "event_type",
+    "team",
+    "player",
+    "shots_taken",
+    "goals_scored",
+]
 
 
 def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
@@ -125,10 +134,13 @@ def q_parse_events(spark, sf_dir):
 
 
 def q_load_match_events(spark, sf_dir):
-    """Adapter rows written as header CSV to the shared work folder, then loaded."""
-    path = scratch_path(spark, "csv-load")
-    write_events_csv(_events(spark, sf_dir), path, with_event_id=True)
-    return read_events_csv(spark, path, ntz=True, with_event_id=True)
+    """Adapter rows -> header CSV -> CSV source (S1) -> append into the
+    ``match_events`` Parquet table partitioned by date (K1) -> read back."""
+    base = scratch_path(spark, "csv-load")
+    write_events_csv(_events(spark, sf_dir), f"{base}/csv", with_event_id=True)
+    loaded = read_events_csv(spark, f"{base}/csv", ntz=True, with_event_id=True)
+    append_match_events(loaded, f"{base}/match_events")
+    return spark.read.parquet(f"{base}/match_events").select(*EVENT_COLUMNS)
 
 
 def q_family_counts(spark, sf_dir):
