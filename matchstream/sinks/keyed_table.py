@@ -102,67 +102,86 @@ class KeyedTable:
         return df
 
     # ---- writes -----------------------------------------------------------
+    def touched_parts(self, update: DataFrame) -> list[str]:
+        """Partition values present in ``update`` (one small distinct job).
+
+        Bounded by the partitions one update spans (a few window dates per
+        micro-batch), never by its row count.
+        """
+        if not self.partition_by:
+            return [] if update.isEmpty() else [NO_PARTITION]
+        name, expr = self.partition_by
+        values = update.select(F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)).alias(name))
+        return sorted(r[0] for r in values.distinct().collect())
+
     def merge(
-        self, update: DataFrame, query_id: str = "", batch_id: int = -1, cached: bool = False
+        self,
+        update: DataFrame,
+        query_id: str = "",
+        batch_id: int = -1,
+        cached: bool = False,
+        touched: list[str] | None = None,
     ) -> bool:
-        """Upsert ``update`` (unique per key).  Returns False when skipped as a replay.
+        """Upsert ``update`` (unique per key).  Returns False when skipped as a
+        replay or when ``update`` is empty.
 
-        ``update`` is read twice (its keys for the anti-join, its rows for the
-        union), so it is persisted for the merge unless the caller already did.
+        ``update`` is read more than once (partition discovery, its keys for
+        the anti-join, its rows for the union), so it is persisted for the
+        merge unless the caller already did.
         """
         head = self.head()
         if head is not None and head.get("query_id") == query_id and batch_id <= head.get("batch_id", -1):
             return False
-        version = 0 if head is None else head["version"] + 1
-        vdir = f"v{version:08d}"
-        cols = update.columns
         if not cached:
             update = update.persist()
         try:
-            if self.partition_by:
-                name, expr = self.partition_by
-                tagged = update.withColumn(name, expr.cast("string"))
-                touched = [r[0] for r in tagged.select(name).distinct().collect()]
-                touched = [NO_PARTITION if t is None else t for t in touched]
-            else:
-                tagged, touched = update, [NO_PARTITION]
-            current = None if head is None else self._read_parts(head, touched)
-            if current is not None:
-                kept = current.join(update.select(*self.keys), on=self.keys, how="left_anti").select(*cols)
-                merged = kept.unionByName(update)
-            else:
-                merged = update
-            if self.partition_by:
-                name, expr = self.partition_by
-                merged = merged.withColumn(name, F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)))
-                merged.write.mode("errorifexists").partitionBy(name).parquet(f"{self.path}/{vdir}")
-            else:
-                merged.write.mode("errorifexists").parquet(f"{self.path}/{vdir}")
-            parts = dict(head["parts"]) if head else {}
-            for t in touched:
-                parts[t] = vdir
-            self._publish(
-                {
-                    "version": version,
-                    "query_id": query_id,
-                    "batch_id": batch_id,
-                    "parts": parts,
-                    "schema": update.schema.json(),
-                }
-            )
+            touched = self.touched_parts(update) if touched is None else touched
+            if not touched:
+                return False
+            self._write_version(head, update, touched, query_id, batch_id)
         finally:
             if not cached:
                 update.unpersist()
         return True
 
+    def _write_version(
+        self, head: dict | None, update: DataFrame, touched: list[str], query_id: str, batch_id: int
+    ) -> None:
+        version = 0 if head is None else head["version"] + 1
+        vdir = f"{self.path}/v{version:08d}"
+        cols = update.columns
+        current = None if head is None else self._read_parts(head, touched)
+        if current is not None:
+            kept = current.join(update.select(*self.keys), on=self.keys, how="left_anti").select(*cols)
+            merged = kept.unionByName(update)
+        else:
+            merged = update
+        if self.partition_by:
+            name, expr = self.partition_by
+            merged = merged.withColumn(name, F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)))
+            merged.write.mode("errorifexists").partitionBy(name).parquet(vdir)
+        else:
+            merged.write.mode("errorifexists").parquet(vdir)
+        parts = dict(head["parts"]) if head else {}
+        for t in touched:
+            parts[t] = f"v{version:08d}"
+        self._publish(
+            {
+                "version": version,
+                "query_id": query_id,
+                "batch_id": batch_id,
+                "parts": parts,
+                "schema": update.schema.json(),
+            }
+        )
+
     def batch_writer(self, query_id: str):
         """A ``foreachBatch`` callback that merges every non-empty micro-batch."""
 
         def write(batch_df: DataFrame, batch_id: int) -> None:
             batch = batch_df.persist()
             try:
-                if not batch.isEmpty():
-                    self.merge(batch, query_id=query_id, batch_id=batch_id, cached=True)
+                self.merge(batch, query_id=query_id, batch_id=batch_id, cached=True)
             finally:
                 batch.unpersist()
 

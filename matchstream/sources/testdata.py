@@ -47,9 +47,19 @@ def adapt_events(events: DataFrame, event_types: Iterable[str] | None = None) ->
     if event_types is not None:
         wanted = sorted({MATCH_TO_RAW_TYPE[t] for t in event_types if t in MATCH_TO_RAW_TYPE})
         events = events.where(raw.isin(wanted))
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     scoring = raw.isin("purchase", "click")
-    return events.select(
+    # ``k`` is extracted once per scoring row in its own projection (it feeds
+    # two columns; Catalyst keeps a non-cheap expression used twice apart).
+    with_k = events.select(
+        "event_id",
+        "ts",
+        "user_id",
+        "event_type",
+        scoring.alias("_scoring"),
+        F.when(scoring, F.get_json_object(F.col("props"), "$.k").try_cast("int")).alias("_k"),
+    )
+    scoring, k = F.col("_scoring"), F.col("_k")
+    return with_k.select(
         F.col("event_id"),
         F.col("ts").alias("event_timestamp"),
         _mapped_type(raw).alias("event_type"),
