@@ -56,6 +56,28 @@ def build_session(
     return spark
 
 
+def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
+    """Starting sizes for a large cluster (pass as ``extra_conf``).
+
+    Shuffle partitions start high (AQE coalesces them at run time toward
+    ``advisoryPartitionSizeInBytes``) so a 100 TB stage is never squeezed
+    into too few reducers; scan splits stay at 256 MB.  Streaming state goes
+    to RocksDB with changelog checkpointing so large keyed state neither
+    lives on the JVM heap nor re-uploads full snapshots every batch.
+    """
+    partitions = max(4 * total_cores, 200)
+    if input_bytes:
+        partitions = max(partitions, int(input_bytes // (256 * 1024 * 1024)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -51,3 +51,8 @@ def read_text(spark: SparkSession, path: str) -> str:
     finally:
         stream.close()
     return bytes(data).decode("utf-8")
+
+
+def delete_tree(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.delete(p, True)

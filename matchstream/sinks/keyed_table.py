@@ -178,6 +178,27 @@ class KeyedTable:
             }
         )
 
+    def vacuum(self, keep_versions: int = 10) -> list[str]:
+        """Delete version folders no longer referenced by the last ``keep_versions`` commits.
+
+        Readers of an older snapshot keep working for ``keep_versions``
+        commits; returns the removed folder names.
+        """
+        logs = [n for n in fs.list_names(self.spark, self._log_dir()) if n.endswith(".json")]
+        if not logs:
+            return []
+        referenced = set()
+        for name in logs[-keep_versions:]:
+            record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
+            referenced.update(record["parts"].values())
+        newest = max(referenced)
+        removed = []
+        for name in fs.list_names(self.spark, self.path):
+            if name.startswith("v") and name not in referenced and name < newest:
+                fs.delete_tree(self.spark, f"{self.path}/{name}")
+                removed.append(name)
+        return removed
+
     def batch_writer(self, query_id: str):
         """A ``foreachBatch`` callback that merges every non-empty micro-batch."""
 

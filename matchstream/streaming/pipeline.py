@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchstream.functions.parse import parse_json_events
+from matchstream.operators.routing import route_topics
 from matchstream.schema import (
     CARD_KEYS,
     FOUL_KEYS,
@@ -61,6 +62,27 @@ def topic_messages(
     return reader.parquet(f"{topics_dir.rstrip('/')}/topic={topic}")
 
 
+def start_router_stream(
+    events: DataFrame,
+    checkpoint: str,
+    topics_dir: str | None = None,
+    kafka_servers: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Route a stream of typed events to topic folders (or Kafka topics).
+
+    A stateless, narrow query (append mode): each micro-batch's rows go
+    straight from the tasks to ``topic=<name>`` folders or to Kafka.
+    """
+    routed = route_topics(events).select("topic", "value")
+    writer = routed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if kafka_servers:
+        writer = writer.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+    else:
+        writer = writer.format("parquet").option("path", topics_dir).partitionBy("topic")
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _by_window_date():
     return ("window_date", F.to_date("window_start"))
 

@@ -205,3 +205,32 @@ def test_progress_summary(spark, tmp_dir):
     assert summary["all"].input_rows == 10000
     assert summary["fouls_progress_test"].batches >= 2
     assert summary["all"].rows_per_s > 0
+
+
+def test_router_stream_feeds_topic_pipeline(spark, tmp_dir):
+    from matchstream.operators import route_topics
+    from matchstream.streaming.pipeline import await_all, start_match_streams, start_router_stream
+    from matchstream.streaming.queries import with_event_time
+
+    src = os.path.join(tmp_dir, "in")
+    split_events(SF01, src, 3)
+    topics = os.path.join(tmp_dir, "topics")
+    events = with_event_time(event_stream(spark, src, max_files_per_trigger=1, glob="*.parquet"))
+    q = start_router_stream(events, os.path.join(tmp_dir, "ck-router"), topics_dir=topics)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    routed = spark.read.parquet(topics)
+    batch = load_match_events_from_testdata(spark, SF01)
+    assert _same(routed.select("topic", "value"), route_topics(batch).select("topic", "value"))
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
+    await_all(started)
+    assert _same(started["scoreboard"][1].read(), scoreboard(batch))
+
+
+def test_vacuum_keeps_referenced_versions(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    for i in range(4):
+        table.merge(spark.createDataFrame([("A", i)], "team string, goals bigint"), "q", i)
+    removed = table.vacuum(keep_versions=2)
+    assert removed == ["v00000000", "v00000001"]
+    assert [tuple(r) for r in table.read().collect()] == [("A", 3)]
