@@ -26,3 +26,24 @@ def int_or_zero(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     trimmed = F.trim(col)
     return F.when(col.isNull() | (trimmed == ""), F.lit(0)).otherwise(trimmed.try_cast("int"))
+
+
+_NTZ_EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_instant(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ wall-clock -> TIMESTAMP instant, read as UTC.
+
+    Independent of ``spark.sql.session.timeZone`` (a plain cast would use it,
+    and shift windows in zones with offsets or DST).
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    epoch = F.lit(_NTZ_EPOCH).cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, col))
+
+
+def utc_wall_clock(c: Column | str) -> Column:
+    """TIMESTAMP instant -> TIMESTAMP_NTZ wall-clock in UTC (inverse of :func:`utc_instant`)."""
+    col = F.col(c) if isinstance(c, str) else c
+    epoch = F.lit(_NTZ_EPOCH).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), epoch)

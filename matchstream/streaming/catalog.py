@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchstream.functions.casts import utc_wall_clock
 from matchstream.operators.serving import scoreboard_readout
 from matchstream.plans.oracle import (
     CARDS_SELECT,
@@ -63,8 +64,9 @@ def _by_window_date() -> tuple[str, F.Column]:
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    """Window bounds back to UTC wall-clock, as the batch metrics report them."""
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df = df.withColumn(c, utc_wall_clock(c))
     return df
 
 

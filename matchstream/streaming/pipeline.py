@@ -100,7 +100,7 @@ def start_match_streams(
 
     def parsed(topic: str) -> tuple[DataFrame, DataFrame]:
         msgs = topic_messages(spark, topic, topics_dir, kafka_servers, max_files_per_trigger)
-        return parse_json_events(msgs, "value", ntz=False)
+        return parse_json_events(msgs, "value", ntz=True)
 
     def table(name: str, keys, part=None) -> KeyedTable:
         return KeyedTable(spark, f"{out}/{name}", keys, part)

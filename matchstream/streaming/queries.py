@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchstream.functions.casts import utc_instant
 from matchstream.operators.cards import card_events, with_team_momentum, yellow_cards_sliding
 from matchstream.operators.fouls import fouls_tumbling
 from matchstream.operators.players import player_totals
@@ -32,9 +33,10 @@ EVENT_TIME = "event_timestamp"
 
 
 def with_event_time(events: DataFrame, time_col: str = EVENT_TIME) -> DataFrame:
-    """Make the event time a TIMESTAMP (session zone UTC keeps wall-clock values)."""
+    """Make the event time a TIMESTAMP; wall-clock NTZ values are read as UTC,
+    whatever the session time zone (see :func:`utc_instant`)."""
     if isinstance(events.schema[time_col].dataType, T.TimestampNTZType):
-        return events.withColumn(time_col, F.col(time_col).cast("timestamp"))
+        return events.withColumn(time_col, utc_instant(time_col))
     return events
 
 

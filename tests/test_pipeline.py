@@ -32,8 +32,10 @@ def _same(a, b):
 
 
 def _ntz(df, *cols):
+    from matchstream.functions.casts import utc_wall_clock
+
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df = df.withColumn(c, utc_wall_clock(c))
     return df
 
 

@@ -51,8 +51,10 @@ def _same(a, b):
 
 
 def _ntz(df, *cols):
+    from matchstream.functions.casts import utc_wall_clock
+
     for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df = df.withColumn(c, utc_wall_clock(c))
     return df
 
 
@@ -234,3 +236,21 @@ def test_vacuum_keeps_referenced_versions(spark, tmp_dir):
     removed = table.vacuum(keep_versions=2)
     assert removed == ["v00000000", "v00000001"]
     assert [tuple(r) for r in table.read().collect()] == [("A", 3)]
+
+
+def test_stream_windows_independent_of_session_time_zone(spark, tmp_dir):
+    """A DST zone in the session must not move streamed window bounds."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        src = os.path.join(tmp_dir, "in")
+        split_events(SF01, src, 1)
+        table = KeyedTable(spark, os.path.join(tmp_dir, "y"), ["team", "player", "window_start"])
+        stream = yellow_cards_stream(event_stream(spark, src, "yellow_card", glob="*.parquet"),
+                                     "60 minutes", "10 minutes")
+        run_available(stream, table, os.path.join(tmp_dir, "ck"))
+        batch = load_match_events_from_testdata(spark, SF01)
+        got = _ntz(table.read(), "window_start", "window_end")
+        assert _same(got, yellow_cards_sliding(batch, "60 minutes", "10 minutes"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
