@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture for error messages costs a JVM round trip per
+    # column function while plans are built; the engine builds many of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 ROCKSDB_PROVIDER = (

@@ -12,8 +12,9 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- Fixed values: raw event type -> match event type ------------------------
 RAW_TO_MATCH_TYPE = {
@@ -29,44 +30,60 @@ ODD_TEAM = "FC Python"
 PLAYERS_PER_CLUB = 6          # player = "P" + (user_id % 6)
 SHOTS_MODULUS = 16            # shots_taken = k % 16 on goal/shot rows
 GOALS_MODULUS = 4             # goals_scored = k % 4 on goal/shot rows
+SCORING_RAW_TYPES = ("purchase", "click")   # rows that carry shots and goals
 # --- end of fixed values ----------------------------------------------------
 
 MATCH_TO_RAW_TYPE = {v: k for k, v in RAW_TO_MATCH_TYPE.items()}
 
+# Declared layout of the driver's ``events`` table (no footer inference).
+RAW_EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
 
-def _mapped_type(raw: Column) -> Column:
-    expr = None
-    for src, dst in RAW_TO_MATCH_TYPE.items():
-        expr = (F.when(raw == src, dst) if expr is None else expr.when(raw == src, dst))
-    return expr
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _mapped_type_sql() -> str:
+    arms = " ".join(f"WHEN {_sql_text(src)} THEN {_sql_text(dst)}" for src, dst in RAW_TO_MATCH_TYPE.items())
+    return f"CASE event_type {arms} END"
 
 
 def adapt_events(events: DataFrame, event_types: Iterable[str] | None = None) -> DataFrame:
-    """Map a raw ``events`` DataFrame to ``match_events`` columns."""
-    raw = F.col("event_type")
+    """Map a raw ``events`` DataFrame to ``match_events`` columns.
+
+    The mapping is stated as SQL expressions (parsed once in the JVM); ``k``
+    is extracted from ``props`` once per scoring row in its own projection,
+    since it feeds two columns.
+    """
     if event_types is not None:
         wanted = sorted({MATCH_TO_RAW_TYPE[t] for t in event_types if t in MATCH_TO_RAW_TYPE})
-        events = events.where(raw.isin(wanted))
-    scoring = raw.isin("purchase", "click")
-    # ``k`` is extracted once per scoring row in its own projection (it feeds
-    # two columns; Catalyst keeps a non-cheap expression used twice apart).
-    with_k = events.select(
+        events = events.where(F.col("event_type").isin(wanted))
+    scoring = f"event_type IN ({_sql_text(SCORING_RAW_TYPES[0])}, {_sql_text(SCORING_RAW_TYPES[1])})"
+    with_k = events.selectExpr(
         "event_id",
         "ts",
         "user_id",
         "event_type",
-        scoring.alias("_scoring"),
-        F.when(scoring, F.get_json_object(F.col("props"), "$.k").try_cast("int")).alias("_k"),
+        f"{scoring} AS _scoring",
+        f"CASE WHEN {scoring} THEN try_cast(get_json_object(props, '$.k') AS INT) END AS _k",
     )
-    scoring, k = F.col("_scoring"), F.col("_k")
-    return with_k.select(
-        F.col("event_id"),
-        F.col("ts").alias("event_timestamp"),
-        _mapped_type(raw).alias("event_type"),
-        F.when(F.col("user_id") % 2 == 0, F.lit(EVEN_TEAM)).otherwise(F.lit(ODD_TEAM)).alias("team"),
-        F.concat(F.lit("P"), (F.col("user_id") % PLAYERS_PER_CLUB).cast("string")).alias("player"),
-        F.when(scoring, k % SHOTS_MODULUS).otherwise(F.lit(0)).cast("int").alias("shots_taken"),
-        F.when(scoring, k % GOALS_MODULUS).otherwise(F.lit(0)).cast("int").alias("goals_scored"),
+    return with_k.selectExpr(
+        "event_id",
+        "ts AS event_timestamp",
+        f"{_mapped_type_sql()} AS event_type",
+        f"CASE WHEN user_id % 2 = 0 THEN {_sql_text(EVEN_TEAM)} ELSE {_sql_text(ODD_TEAM)} END AS team",
+        f"concat('P', CAST(user_id % {PLAYERS_PER_CLUB} AS STRING)) AS player",
+        f"CAST(CASE WHEN _scoring THEN _k % {SHOTS_MODULUS} ELSE 0 END AS INT) AS shots_taken",
+        f"CAST(CASE WHEN _scoring THEN _k % {GOALS_MODULUS} ELSE 0 END AS INT) AS goals_scored",
     )
 
 
@@ -74,7 +91,7 @@ def load_match_events_from_testdata(
     spark: SparkSession, sf_dir: str, event_types: Iterable[str] | None = None
 ) -> DataFrame:
     """Read ``{sf_dir}/events.parquet`` and adapt it (see module doc)."""
-    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    events = spark.read.schema(RAW_EVENTS).parquet(os.path.join(sf_dir, "events.parquet"))
     return adapt_events(events, event_types)
 
 

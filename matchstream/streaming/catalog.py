@@ -10,7 +10,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from matchstream.functions.casts import utc_wall_clock
 from matchstream.operators.serving import scoreboard_readout
@@ -26,7 +25,7 @@ from matchstream.plans.oracle import (
 from matchstream.schema import CARD_KEYS, FOUL_KEYS, PLAYER_KEYS, SCOREBOARD_KEYS
 from matchstream.session import scratch_path
 from matchstream.sinks.keyed_table import KeyedTable
-from matchstream.sources.testdata import ORACLE_PRELUDE, adapt_events
+from matchstream.sources.testdata import ORACLE_PRELUDE, RAW_EVENTS, adapt_events
 from matchstream.streaming.queries import (
     fouls_stream,
     momentum_batch,
@@ -37,18 +36,6 @@ from matchstream.streaming.queries import (
 )
 from matchstream.streaming.runner import run_available
 
-RAW_EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
-
-
 def event_stream(
     spark: SparkSession, sf_dir: str, *types: str, max_files_per_trigger: int | None = None,
     glob: str = "events.parquet",
