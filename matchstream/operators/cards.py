@@ -71,14 +71,28 @@ def with_team_momentum_join(cards: DataFrame) -> DataFrame:
 
 
 def yellow_momentum(
-    events: DataFrame, duration: str = CARD_WINDOW, slide: str = CARD_SLIDE, strategy: str = "auto"
+    events: DataFrame,
+    duration: str = CARD_WINDOW,
+    slide: str = CARD_SLIDE,
+    strategy: str = "auto",
+    method: str = "window",
 ) -> DataFrame:
     """Sliding counts with both flags.
 
-    With panes, the fanned-out panes are hash-partitioned by (team,
-    window_start) once; the per-player count and the team-window sum both
-    reuse that partitioning, so the whole metric costs two shuffles.
+    ``method="window"`` (default): with panes, the fanned-out panes are
+    hash-partitioned by (team, window_start) once; the per-player count and
+    the team-window sum both reuse that partitioning, so the whole metric
+    costs two shuffles.  A (team, window) partition holds one pre-aggregated
+    row per player of that team (times the panes per window), so its size is
+    bounded by the roster, not by the number of events.
+
+    ``method="join"``: team totals are aggregated separately and joined back.
+    Use it when the "player" column has very high cardinality: AQE then
+    broadcasts the totals when they are measured small, and otherwise splits
+    a skewed (team, window) in the sort-merge join.
     """
+    if method == "join":
+        return with_team_momentum_join(yellow_cards_sliding(events, duration, slide, strategy=strategy))
     cards = yellow_cards_sliding(
         events, duration, slide, strategy=strategy, cluster_by_team_window=True
     )

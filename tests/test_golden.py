@@ -78,6 +78,8 @@ def test_yellow_cards(large, small, strategy):
         assert ym.where("team_momentum_lost").count() == momentum
         joined = with_team_momentum_join(yellow_cards_sliding(df, strategy=strategy))
         assert joined.exceptAll(ym.select(*joined.columns)).count() == 0
+        by_join = yellow_momentum(df, strategy=strategy, method="join")
+        assert by_join.exceptAll(ym.select(*by_join.columns)).count() == 0
         ym.unpersist()
 
 
