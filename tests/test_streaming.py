@@ -254,3 +254,85 @@ def test_stream_windows_independent_of_session_time_zone(spark, tmp_dir):
         assert _same(got, yellow_cards_sliding(batch, "60 minutes", "10 minutes"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_out_of_order_within_watermark_equals_batch(spark, tmp_dir):
+    """Rows near each file boundary arrive one file late (< 1 min behind)."""
+    table_in = pq.read_table(os.path.join(SF01, "events.parquet"))
+    pdf = table_in.to_pandas().sort_values("ts", kind="stable").reset_index(drop=True)
+    bounds = np.linspace(0, len(pdf), 4).astype(int)
+    chunks = [pdf.iloc[bounds[i]:bounds[i + 1]] for i in range(3)]
+    moved = []
+    for i in range(2):
+        edge = chunks[i]["ts"].max()
+        late = chunks[i]["ts"] > edge - pd.Timedelta(seconds=50)
+        moved.append(chunks[i][late])
+        chunks[i] = chunks[i][~late]
+    chunks[1] = pd.concat([chunks[1], moved[0]])
+    chunks[2] = pd.concat([chunks[2], moved[1]])
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for i, c in enumerate(chunks):
+        pq.write_table(pa.Table.from_pandas(c, schema=table_in.schema, preserve_index=False),
+                       os.path.join(src, f"part-{i}.parquet"))
+    assert sum(len(m) for m in moved) > 0
+    batch = load_match_events_from_testdata(spark, SF01)
+    cards = KeyedTable(spark, os.path.join(tmp_dir, "c"), ["team", "player", "window_start"])
+    q = run_available(
+        yellow_cards_stream(event_stream(spark, src, "yellow_card", max_files_per_trigger=1, glob="*.parquet")),
+        cards, os.path.join(tmp_dir, "ck"),
+    )
+    dropped = sum(sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in q.recentProgress)
+    assert dropped == 0
+    assert _same(_ntz(cards.read(), "window_start", "window_end"), yellow_cards_sliding(batch))
+
+
+def test_exact_dedup_mode_equals_batch(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    split_events(SF01, src, 2)
+    batch = load_match_events_from_testdata(spark, SF01)
+    board = KeyedTable(spark, os.path.join(tmp_dir, "b"), ["team"])
+    stream = event_stream(spark, src, "goal", max_files_per_trigger=1, glob="*.parquet")
+    run_available(scoreboard_stream(stream, exact=True), board, os.path.join(tmp_dir, "ck"))
+    assert _same(board.read(), scoreboard(batch))
+
+
+def test_stream_into_jdbc_table(spark, tmp_dir):
+    from matchstream.sinks.jdbc_merge import JdbcKeyedTable
+
+    src = os.path.join(tmp_dir, "in")
+    split_events(SF01, src, 2)
+    url = f"jdbc:derby:{os.path.join(tmp_dir, 'db')};create=true"
+    table = JdbcKeyedTable(spark, url, "foul_stats", ["team", "window_start"],
+                           driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
+                           column_types="team VARCHAR(100)")
+    stream = fouls_stream(event_stream(spark, src, "foul", max_files_per_trigger=1, glob="*.parquet"))
+    q = (stream.writeStream.outputMode("update").foreachBatch(table.batch_writer())
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    batch = load_match_events_from_testdata(spark, SF01)
+    got = _ntz(table.read(), "window_start", "window_end")
+    assert _same(got, fouls_tumbling(batch))
+
+
+def test_rocksdb_state_store(spark, tmp_dir):
+    from matchstream.session import ROCKSDB_PROVIDER
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        src = os.path.join(tmp_dir, "in")
+        split_events(SF01, src, 2)
+        table = KeyedTable(spark, os.path.join(tmp_dir, "f"), ["team", "window_start"])
+        q = run_available(
+            fouls_stream(event_stream(spark, src, "foul", max_files_per_trigger=1, glob="*.parquet")),
+            table, os.path.join(tmp_dir, "ck"),
+        )
+        metrics = [k for p in q.recentProgress for op in p.stateOperators for k in op.customMetrics]
+        assert any(k.startswith("rocksdb") for k in metrics), metrics
+    finally:
+        spark.conf.set(key, old)
+    batch = load_match_events_from_testdata(spark, SF01)
+    assert _same(_ntz(table.read(), "window_start", "window_end"), fouls_tumbling(batch))
