@@ -198,3 +198,19 @@ def test_percent_text_rounding(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r.p for r in df.select(percent_text("x").alias("p")).collect()]
     assert got == [f"{v:.2f}%" for v in vals]
+
+
+def test_window_bound_text(spark):
+    from matchstream.functions.format import window_bound_text
+
+    df = spark.createDataFrame([(t("06:13:00"),)], "w timestamp_ntz")
+    assert df.select(window_bound_text("w").alias("s")).first().s == "2025-04-15 06:13:00"
+
+
+def test_cluster_conf_sizes():
+    from matchstream.session import ROCKSDB_PROVIDER, cluster_conf
+
+    conf = cluster_conf(8000, input_bytes=100 * 1024**4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert conf["spark.sql.streaming.stateStore.providerClass"] == ROCKSDB_PROVIDER
+    assert int(cluster_conf(10)["spark.sql.shuffle.partitions"]) == 200
