@@ -2,13 +2,19 @@
 
 ``from_json`` in PERMISSIVE mode turns malformed text into a struct of NULLs
 (not a NULL struct), so the schema carries a ``_corrupt_record`` field that
-receives the raw text of any message that did not parse.  A message that
-parsed but whose timestamp is not a valid ISO time is quarantined too; both
-checks are plain column expressions over the parsed struct.
+receives the raw text of any message that did not parse.  Rules:
+
+* nothing usable parsed (malformed text, not an object) -> quarantine
+  ``malformed_json``;
+* event time missing or not a valid ISO time -> quarantine ``bad_timestamp``;
+* a field of the wrong type (``"shots_taken": "abc"``) only nulls that field:
+  the rest of the event is kept and counted, as a plain PERMISSIVE parse did.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,11 +56,13 @@ def _decoded(df: DataFrame, value_col: str, with_event_id: bool, ntz: bool) -> D
     ]
     if with_event_id:
         cols.insert(1, F.col("d.event_id").alias("event_id"))
-    return out.select(*cols).withColumn(
-        "reason",
-        F.when(F.col(CORRUPT).isNotNull() | F.col("value").isNull(), F.lit("malformed_json"))
-        .when(F.col("event_timestamp").isNull(), F.lit("bad_timestamp")),
+    nothing_parsed = reduce(lambda a, b: a & b, [F.col(f"d.{f.name}").isNull() for f in WIRE_EVENT.fields])
+    typed = out.select(*cols, nothing_parsed.alias("_empty"))
+    reason = (
+        F.when(F.col("value").isNull() | (F.col(CORRUPT).isNotNull() & F.col("_empty")), F.lit("malformed_json"))
+        .when(F.col("event_timestamp").isNull(), F.lit("bad_timestamp"))
     )
+    return typed.select(*[c for c in typed.columns if c != "_empty"], reason.alias("reason"))
 
 
 def parse_json_events(

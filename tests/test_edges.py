@@ -214,3 +214,20 @@ def test_cluster_conf_sizes():
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
     assert conf["spark.sql.streaming.stateStore.providerClass"] == ROCKSDB_PROVIDER
     assert int(cluster_conf(10)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_wrong_typed_field_keeps_the_event(spark):
+    msgs = spark.createDataFrame(
+        [
+            ('{"timestamp":"2025-04-15T06:12:00","event_type":"shot","team":"A","player":"p",'
+             '"shots_taken":"abc","goals_scored":2}',),
+            ("",),
+            ("{}",),
+            ("[]",),
+        ],
+        "value string",
+    )
+    good, bad = parse_json_events(msgs)
+    rows = good.collect()
+    assert len(rows) == 1 and rows[0].shots_taken is None and rows[0].goals_scored == 2
+    assert sorted(r.reason for r in bad.collect()) == ["bad_timestamp", "bad_timestamp", "malformed_json"]
