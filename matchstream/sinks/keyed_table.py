@@ -2,7 +2,7 @@
 
 Layout under ``path``::
 
-    v00000007/<part>=.../part-*.parquet   data written by version 7
+    v00000007-<id>/<part>=.../part-*.parquet   data written by version 7
     _log/00000007.json                    commit record of version 7
 
 A commit record names, for every table partition, the version directory that
@@ -25,6 +25,7 @@ merge proportional to the data it touches, not to the table.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,7 +149,10 @@ class KeyedTable:
         self, head: dict | None, update: DataFrame, touched: list[str], query_id: str, batch_id: int
     ) -> None:
         version = 0 if head is None else head["version"] + 1
-        vdir = f"{self.path}/v{version:08d}"
+        # A fresh folder per attempt: a job that died half-way never blocks
+        # or pollutes the retry, and uncommitted folders are never read.
+        vname = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
+        vdir = f"{self.path}/{vname}"
         cols = update.columns
         current = None if head is None else self._read_parts(head, touched)
         if current is not None:
@@ -167,7 +171,7 @@ class KeyedTable:
             merged.write.mode("errorifexists").parquet(vdir)
         parts = dict(head["parts"]) if head else {}
         for t in touched:
-            parts[t] = f"v{version:08d}"
+            parts[t] = vname
         self._publish(
             {
                 "version": version,
@@ -194,6 +198,8 @@ class KeyedTable:
         newest = max(referenced)
         removed = []
         for name in fs.list_names(self.spark, self.path):
+            # Unreferenced folders older than the newest commit: superseded
+            # versions and attempts that died before publishing.
             if name.startswith("v") and name not in referenced and name < newest:
                 fs.delete_tree(self.spark, f"{self.path}/{name}")
                 removed.append(name)
