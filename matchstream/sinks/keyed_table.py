@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,17 +44,25 @@ class KeyedTable:
         path: str,
         keys: Sequence[str],
         partition_by: tuple[str, Column] | None = None,
+        finalize: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         """``partition_by`` = (column name, expression over the row) or None.
 
         The expression should yield path-safe text such as a date
         (``to_date(window_start)``); it must be a function of the keys so that
         a key never moves between partitions.
+
+        ``finalize`` runs over the merged rows of every rewritten partition
+        before they are written (update columns only; it may add columns).
+        A computation over groups that never span partitions — such as a
+        per-(team, window) total with date-of-window partitions — is then
+        exact after every merge.
         """
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.partition_by = partition_by
+        self.finalize = finalize
 
     # ---- commit log -----------------------------------------------------
     def _log_dir(self) -> str:
@@ -160,6 +168,9 @@ class KeyedTable:
             merged = kept.unionByName(update)
         else:
             merged = update
+        if self.finalize is not None:
+            merged = self.finalize(merged)
+        stored_schema = merged.schema
         if self.partition_by:
             name, expr = self.partition_by
             merged = merged.withColumn(name, F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)))
@@ -178,7 +189,7 @@ class KeyedTable:
                 "query_id": query_id,
                 "batch_id": batch_id,
                 "parts": parts,
-                "schema": update.schema.json(),
+                "schema": stored_schema.json(),
             }
         )
 

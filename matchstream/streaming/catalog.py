@@ -81,6 +81,17 @@ def q_stream_yellow_momentum(spark, sf_dir):
     return _ntz(table.read(), "window_start", "window_end")
 
 
+def q_stream_yellow_momentum_live(spark, sf_dir):
+    """Update mode; the team flag is recomputed over each rewritten
+    window-date partition, so it is exact after every micro-batch."""
+    base = scratch_path(spark, "stream-momentum-live")
+    table = KeyedTable(spark, os.path.join(base, "table"), CARD_KEYS, _by_window_date(),
+                       finalize=momentum_batch)
+    stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
+    run_available(stream, table, os.path.join(base, "checkpoint"), "update")
+    return _ntz(table.read(), "window_start", "window_end")
+
+
 def q_stream_player_stats(spark, sf_dir):
     table, ckpt = _table(spark, "stream-players", PLAYER_KEYS)
     stream = player_stats_stream(event_stream(spark, sf_dir, "goal", "assist", "shot"))
@@ -98,6 +109,7 @@ STREAM_QUERIES = {
     "stream_fouls": q_stream_fouls,
     "stream_yellow_cards": q_stream_yellow_cards,
     "stream_yellow_momentum": q_stream_yellow_momentum,
+    "stream_yellow_momentum_live": q_stream_yellow_momentum_live,
     "stream_player_stats": q_stream_player_stats,
     "stream_scoreboard": q_stream_scoreboard,
 }
@@ -115,6 +127,7 @@ def stream_oracles() -> dict[str, str]:
         "stream_fouls": p + fouls_cte("1 minute") + "\nSELECT * FROM fouls",
         "stream_yellow_cards": p + cards_cte("5 minutes", "1 minute", 5) + CARDS_SELECT,
         "stream_yellow_momentum": p + cards_cte("60 minutes", "10 minutes", 6) + closed,
+        "stream_yellow_momentum_live": p + cards_cte("60 minutes", "10 minutes", 6) + MOMENTUM_SELECT,
         "stream_player_stats": p
         + players_cte(PERFORMANCE_WHERE)
         + "\nSELECT team, player, total_goals_scored AS goals, total_assists AS assists,"

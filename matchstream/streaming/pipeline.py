@@ -5,8 +5,9 @@ topic's JSON messages, parses them (bad messages go to a quarantine table),
 runs the streaming metric and upserts a keyed result table:
 
     team_stats_1min    -> foul_stats                (update, 1-min tumbling)
-    live_card          -> yellow_card_stats          (update, 5/1-min sliding)
-    live_card          -> yellow_momentum_stats      (append + team flag)
+    live_card          -> yellow_card_stats          (update, 5/1-min sliding, both flags
+                                                   recomputed per rewritten partition)
+    live_card          -> yellow_momentum_stats      (append: closed windows only)
     player_performance -> player_performance_stats   (update, running totals)
     live_score         -> scoreboard                 (update, dedup + sum)
 
@@ -119,7 +120,7 @@ def start_match_streams(
 
     cards, bad = parsed(TOPIC_LIVE_CARD)
     quarantined.append(bad)
-    t = table("yellow_card_stats", CARD_KEYS, _by_window_date())
+    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, _by_window_date(), finalize=momentum_batch)
     started["yellow_card_stats"] = (
         start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_card_stats"), "update",
                        trigger=trigger, query_name="yellow_card_stats"),

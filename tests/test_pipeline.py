@@ -74,7 +74,7 @@ def test_topic_pipeline_equals_batch(spark, tmp_dir):
     tables = {k: v[1] for k, v in started.items()}
     assert _same(_ntz(tables["foul_stats"].read(), "window_start", "window_end"), fouls_tumbling(events))
     assert _same(_ntz(tables["yellow_card_stats"].read(), "window_start", "window_end"),
-                 yellow_cards_sliding(events))
+                 yellow_momentum(events))
     assert _same(tables["player_performance_stats"].read(),
                  player_table_rows(player_totals(events, performance_only=True)))
     assert _same(tables["scoreboard"].read(), scoreboard(events))

@@ -349,3 +349,20 @@ def test_rocksdb_state_store(spark, tmp_dir):
         spark.conf.set(key, old)
     batch = load_match_events_from_testdata(spark, SF01)
     assert _same(_ntz(table.read(), "window_start", "window_end"), fouls_tumbling(batch))
+
+
+def test_live_team_flag_exact_after_every_batch(spark, tmp_dir):
+    """Update mode over 7 files: flags of teammates whose own counts did not
+    change in a micro-batch are still recomputed (the stale-flag trap)."""
+    src = os.path.join(tmp_dir, "in")
+    split_events(SF01, src, 7)
+    table = KeyedTable(spark, os.path.join(tmp_dir, "live"), ["team", "player", "window_start"],
+                       ("window_date", F.to_date("window_start")), finalize=momentum_batch)
+    stream = yellow_cards_stream(
+        event_stream(spark, src, "yellow_card", max_files_per_trigger=1, glob="*.parquet"),
+        "60 minutes", "10 minutes",
+    )
+    run_available(stream, table, os.path.join(tmp_dir, "ck"), "update")
+    batch = load_match_events_from_testdata(spark, SF01)
+    got = _ntz(table.read(), "window_start", "window_end")
+    assert _same(got, yellow_momentum(batch, "60 minutes", "10 minutes"))
