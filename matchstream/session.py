@@ -88,7 +88,19 @@ def work_root(spark: SparkSession) -> str:
     directory); only when neither is set — local runs and tests — a folder is
     created and registered so later calls agree.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context, only the session conf
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            root = tempfile.mkdtemp(prefix="matchstream-work-")
+            try:
+                spark.conf.set("spark.checkpoint.dir", root)
+            except Exception:  # core conf not settable: keep it for this process
+                pass
+        return root
     root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)

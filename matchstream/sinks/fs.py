@@ -2,28 +2,52 @@
 
 Paths may be local, HDFS or object-store URIs; the JVM's FileSystem for the
 path is used so that commit markers land in the same shared storage as the
-data (never on a machine-local disk of the driver).
+data (never on a machine-local disk of the driver).  Without JVM access
+(Spark Connect clients) only local ``file:`` paths are supported.
 """
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import SparkSession
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+def _jvm_fs(spark: SparkSession, path: str):
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # Spark Connect
+        return None
     jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, jpath
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+
+def _local(path: str) -> str:
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+    if "://" in path:
+        raise RuntimeError(f"no JVM file system access for {path}")
+    return path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_and_path(spark, path)
+    h = _jvm_fs(spark, path)
+    if h is None:
+        return os.path.exists(_local(path))
+    fs, p = h
     return bool(fs.exists(p))
 
 
 def list_names(spark: SparkSession, directory: str) -> list[str]:
-    fs, p = _fs_and_path(spark, directory)
+    h = _jvm_fs(spark, directory)
+    if h is None:
+        d = _local(directory)
+        return sorted(os.listdir(d)) if os.path.isdir(d) else []
+    fs, p = h
     if not fs.exists(p):
         return []
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
@@ -31,7 +55,17 @@ def list_names(spark: SparkSession, directory: str) -> list[str]:
 
 def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
     """Create ``path`` with ``text``; False if it already exists (no overwrite)."""
-    fs, p = _fs_and_path(spark, path)
+    h = _jvm_fs(spark, path)
+    if h is None:
+        local = _local(path)
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as f:
+                f.write(text)
+        except FileExistsError:
+            return False
+        return True
+    fs, p = h
     if fs.exists(p):
         return False
     out = fs.create(p, False)
@@ -43,16 +77,23 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs_and_path(spark, path)
+    h = _jvm_fs(spark, path)
+    if h is None:
+        with open(_local(path), encoding="utf-8") as f:
+            return f.read()
+    fs, p = h
     stream = fs.open(p)
     try:
-        jvm = spark.sparkContext._jvm
-        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
     finally:
         stream.close()
     return bytes(data).decode("utf-8")
 
 
 def delete_tree(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_and_path(spark, path)
+    h = _jvm_fs(spark, path)
+    if h is None:
+        shutil.rmtree(_local(path), ignore_errors=True)
+        return
+    fs, p = h
     fs.delete(p, True)

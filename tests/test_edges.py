@@ -231,3 +231,22 @@ def test_wrong_typed_field_keeps_the_event(spark):
     rows = good.collect()
     assert len(rows) == 1 and rows[0].shots_taken is None and rows[0].goals_scored == 2
     assert sorted(r.reason for r in bad.collect()) == ["bad_timestamp", "bad_timestamp", "malformed_json"]
+
+
+def test_fs_helpers_without_jvm(tmp_dir):
+    """The commit-record helpers also work for a client without JVM access."""
+    from matchstream.sinks import fs
+
+    class NoContext:
+        @property
+        def sparkContext(self):
+            raise RuntimeError("remote session")
+
+    s = NoContext()
+    path = f"file:{tmp_dir}/log/00000000.json"
+    assert fs.write_new_text(s, path, "{}")
+    assert not fs.write_new_text(s, path, "{}")
+    assert fs.read_text(s, path) == "{}"
+    assert fs.list_names(s, f"{tmp_dir}/log") == ["00000000.json"]
+    fs.delete_tree(s, f"{tmp_dir}/log")
+    assert not fs.exists(s, f"{tmp_dir}/log")
