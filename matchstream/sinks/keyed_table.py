@@ -174,9 +174,10 @@ class KeyedTable:
         if self.partition_by:
             name, expr = self.partition_by
             merged = merged.withColumn(name, F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)))
-            # One writer task per touched partition: no small-file spray
-            # (partitions are a few days of aggregated rows per merge).
-            merged = merged.repartition(name)
+            # REBALANCE by the partition column: about one writer per touched
+            # partition (no small-file spray), while AQE splits a partition
+            # that is much larger than the advisory size across tasks.
+            merged = merged.hint("rebalance", name)
             merged.write.mode("errorifexists").partitionBy(name).parquet(vdir)
         else:
             merged.write.mode("errorifexists").parquet(vdir)
