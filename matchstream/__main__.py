@@ -14,6 +14,9 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+# String widths of the relational ``match_events`` table (fixed values).
+MATCH_EVENTS_DDL = "event_type VARCHAR(50), team VARCHAR(100), player VARCHAR(100)"
+
 
 def _session(args) -> SparkSession:
     from matchstream.session import build_session
@@ -37,8 +40,14 @@ def _events(spark: SparkSession, args) -> DataFrame:
 
 def cmd_load(spark, args) -> None:
     from matchstream.sources.files import append_match_events, read_events_csv
+    from matchstream.sources.jdbc import write_jdbc
 
-    append_match_events(read_events_csv(spark, args.csv), args.table)
+    events = read_events_csv(spark, args.csv)
+    if args.jdbc_url:
+        write_jdbc(events, args.jdbc_url, args.jdbc_table, mode="append", driver=args.jdbc_driver,
+                   user=args.jdbc_user, password=args.jdbc_password, column_types=MATCH_EVENTS_DDL)
+    if args.table:
+        append_match_events(events, args.table)
 
 
 def cmd_batch(spark, args) -> None:
@@ -124,7 +133,12 @@ def parser() -> argparse.ArgumentParser:
 
     sp = sub.add_parser("load")
     sp.add_argument("--csv", required=True)
-    sp.add_argument("--table", required=True)
+    sp.add_argument("--table", help="match_events Parquet table")
+    sp.add_argument("--jdbc-url")
+    sp.add_argument("--jdbc-table", default="match_events")
+    sp.add_argument("--jdbc-driver")
+    sp.add_argument("--jdbc-user")
+    sp.add_argument("--jdbc-password")
 
     sp = sub.add_parser("batch")
     source_args(sp)

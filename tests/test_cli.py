@@ -36,3 +36,19 @@ def test_load_batch_route_stream_serve(spark, tmp_dir, capsys):
     for view, header in (("fouls", "fouls"), ("cards", "yellow_cards"), ("players", "scoring_percentage")):
         main(["serve", "--out", out, "--view", view, "-n", "5"])
         assert header in capsys.readouterr().out
+
+
+def test_load_into_jdbc_and_batch_from_it(spark, tmp_dir, capsys):
+    csv = os.path.join(tmp_dir, "csv")
+    events = load_match_events_from_testdata(spark, SF001)
+    write_events_csv(events, csv)
+    url = f"jdbc:derby:{os.path.join(tmp_dir, 'db')};create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    main(["load", "--csv", csv, "--jdbc-url", url, "--jdbc-driver", driver])
+    report = os.path.join(tmp_dir, "report")
+    main(["batch", "--jdbc-url", url, "--jdbc-table", "MATCH_EVENTS", "--jdbc-driver", driver,
+          "--out", report, "--persist"])
+    from matchstream.operators import scoreboard
+
+    got = {r.team: r.goals for r in spark.read.parquet(os.path.join(report, "scoreboard")).collect()}
+    assert got == {r.team: r.goals for r in scoreboard(events).collect()}
