@@ -49,14 +49,14 @@ def brute_sliding(evs, duration_s, slide_s):
 
 
 @SETTINGS
-@given(evs=st.lists(event, max_size=40), shape=st.sampled_from([(300, 60), (3600, 600), (600, 600)]))
+@given(evs=st.lists(event, max_size=40), shape=st.sampled_from([(300, 60), (3600, 600), (600, 600), (3600, 60)]))
 def test_sliding_counts_match_brute_force(spark, evs, shape):
     duration_s, slide_s = shape
     df = frame(spark, evs)
     expected = brute_sliding(evs, duration_s, slide_s)
     epoch = dt.datetime(1970, 1, 1)
-    for strategy in ("native", "panes"):
-        if strategy == "panes" and duration_s == slide_s:
+    for strategy in ("native", "panes", "blocks"):
+        if strategy != "native" and duration_s == slide_s:
             strategy = "auto"
         got = yellow_cards_sliding(df, f"{duration_s} seconds", f"{slide_s} seconds", strategy=strategy)
         counted = Counter()
@@ -100,3 +100,23 @@ def test_scoreboard_first_per_timestamp_and_replay(spark, evs):
         assert got.get(team, 0) == expected.get(team, 0)
     replay = {r.team: r.goals for r in scoreboard(df.unionByName(df)).collect()}
     assert replay == got
+
+
+def test_strategies_agree_on_driver_data(spark):
+    import os
+
+    from matchstream.sources.testdata import load_match_events_from_testdata
+    from tests.conftest import SF01
+
+    if not os.path.exists(SF01):
+        return
+    ev = load_match_events_from_testdata(spark, SF01, ["yellow_card"])
+    results = [
+        yellow_cards_sliding(ev, "60 minutes", "1 minute", strategy=s) for s in ("native", "panes", "blocks")
+    ]
+    for other in results[1:]:
+        assert results[0].exceptAll(other).count() == 0 and other.exceptAll(results[0]).count() == 0
+    ym = yellow_momentum(ev, "60 minutes", "1 minute")  # auto -> blocks, flag via window
+    joined = yellow_momentum(ev, "60 minutes", "1 minute", strategy="native", method="join")
+    assert ym.exceptAll(joined.select(*ym.columns)).count() == 0
+    assert joined.exceptAll(ym.select(*joined.columns)).count() == 0
