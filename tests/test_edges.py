@@ -250,3 +250,19 @@ def test_fs_helpers_without_jvm(tmp_dir):
     assert fs.list_names(s, f"{tmp_dir}/log") == ["00000000.json"]
     fs.delete_tree(s, f"{tmp_dir}/log")
     assert not fs.exists(s, f"{tmp_dir}/log")
+
+
+def test_null_team_and_player_form_their_own_groups(spark):
+    df = events(
+        spark,
+        [
+            (1, t("06:12:00"), "foul", None, None, 0, 0),
+            (2, t("06:12:10"), "foul", None, "p", 0, 0),
+            (3, t("06:12:20"), "shot", None, None, 4, 1),
+            (4, t("06:12:30"), "shot", "A", "p", 2, 1),
+        ],
+    )
+    fouls = {(r.team, r.fouls) for r in fouls_tumbling(df).collect()}
+    assert fouls == {(None, 2)}
+    players = {(r.team, r.player): r.total_shots_taken for r in player_totals(df).collect()}
+    assert players == {(None, None): 4, (None, "p"): 0, ("A", "p"): 2}
