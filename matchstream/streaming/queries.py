@@ -98,3 +98,35 @@ def scoreboard_stream(events: DataFrame, delay: str = WATERMARK_DELAY, exact: bo
     return firsts.groupBy("team").agg(
         F.sum(F.coalesce(F.col("goals_scored"), F.lit(0))).cast("bigint").alias("goals")
     )
+
+
+def goal_firsts_stream(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Output mode ``update``; one row per goal timestamp: the lowest event id.
+
+    The hot-key-safe scoreboard form.  Deduplication is a streaming
+    aggregation ``min(struct(event_id, team, goals))`` per timestamp, which
+    Spark aggregates partially before the state shuffle, so a timestamp that
+    carries a large share of a micro-batch is collapsed map-side (the
+    ``dropDuplicates`` forms send every copy to one state partition).  It
+    also gives the batch rule exactly (lowest ``event_id`` within the
+    watermark).  Upsert the rows keyed by ``event_timestamp`` (partitioned by
+    hour) and read the board with :func:`scoreboard_from_firsts`.
+    """
+    goals = goal_events(with_event_time(events)).withWatermark(EVENT_TIME, delay)
+    first = F.min(F.struct("event_id", "team", F.coalesce(F.col("goals_scored"), F.lit(0)).alias("goals")))
+    return goals.groupBy(EVENT_TIME).agg(first.alias("_f")).select(
+        EVENT_TIME, F.col("_f.event_id").alias("event_id"), F.col("_f.team").alias("team"),
+        F.col("_f.goals").cast("bigint").alias("goals"),
+    )
+
+
+def goal_firsts_partition() -> tuple[str, F.Column]:
+    """Hour partitions keep each merge to the goals of the touched hours."""
+    return ("goal_hour", F.date_format(EVENT_TIME, "yyyyMMddHH"))
+
+
+def scoreboard_from_firsts(firsts: DataFrame) -> DataFrame:
+    """``team, goals`` summed over the first goal of every timestamp (known teams zero-filled)."""
+    from matchstream.operators.serving import scoreboard_readout
+
+    return scoreboard_readout(firsts.groupBy("team").agg(F.sum("goals").alias("goals")))

@@ -389,3 +389,23 @@ def test_scoreboard_unchanged_when_whole_input_is_replayed(spark, tmp_dir):
     assert sorted(tuple(r) for r in board.read().collect()) == before
     batch = load_match_events_from_testdata(spark, SF01)
     assert _same(board.read(), scoreboard(batch))
+
+
+def test_hot_key_safe_scoreboard_stream(spark, tmp_dir):
+    from matchstream.streaming.queries import (
+        goal_firsts_partition,
+        goal_firsts_stream,
+        scoreboard_from_firsts,
+    )
+
+    src = os.path.join(tmp_dir, "in")
+    paths = split_events(SF01, src, 3)
+    import shutil
+
+    shutil.copy(paths[1], paths[1].replace("part-", "dup-"))  # a burst of repeated events
+    table = KeyedTable(spark, os.path.join(tmp_dir, "firsts"), ["event_timestamp"], goal_firsts_partition())
+    stream = goal_firsts_stream(event_stream(spark, src, "goal", max_files_per_trigger=1, glob="*.parquet"))
+    run_available(stream, table, os.path.join(tmp_dir, "ck"), "update")
+    batch = load_match_events_from_testdata(spark, SF01)
+    assert _same(scoreboard_from_firsts(table.read()), scoreboard(batch))
+    assert table.read().count() == batch.where("event_type = 'goal'").select("event_timestamp").distinct().count()
