@@ -28,6 +28,9 @@ from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.testdata import ORACLE_PRELUDE, RAW_EVENTS, adapt_events
 from matchstream.streaming.queries import (
     fouls_stream,
+    goal_firsts_partition,
+    goal_firsts_stream,
+    scoreboard_from_firsts,
     momentum_batch,
     player_stats_stream,
     player_table_rows,
@@ -105,6 +108,13 @@ def q_stream_scoreboard(spark, sf_dir):
     return scoreboard_readout(table.read())
 
 
+def q_stream_scoreboard_firsts(spark, sf_dir):
+    """Hot-key-safe form: per-timestamp firsts by streaming min(struct), summed on read."""
+    table, ckpt = _table(spark, "stream-goal-firsts", ["event_timestamp"], goal_firsts_partition())
+    run_available(goal_firsts_stream(event_stream(spark, sf_dir, "goal")), table, ckpt, "update")
+    return scoreboard_from_firsts(table.read())
+
+
 STREAM_QUERIES = {
     "stream_fouls": q_stream_fouls,
     "stream_yellow_cards": q_stream_yellow_cards,
@@ -112,6 +122,7 @@ STREAM_QUERIES = {
     "stream_yellow_momentum_live": q_stream_yellow_momentum_live,
     "stream_player_stats": q_stream_player_stats,
     "stream_scoreboard": q_stream_scoreboard,
+    "stream_scoreboard_firsts": q_stream_scoreboard_firsts,
 }
 
 
@@ -133,4 +144,5 @@ def stream_oracles() -> dict[str, str]:
         + "\nSELECT team, player, total_goals_scored AS goals, total_assists AS assists,"
         " total_shots_taken AS shots_taken, scoring_percentage FROM players",
         "stream_scoreboard": p + scoreboard_sql("event_timestamp", False),
+        "stream_scoreboard_firsts": p + scoreboard_sql("event_timestamp", False),
     }
