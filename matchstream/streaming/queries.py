@@ -110,7 +110,8 @@ def goal_firsts_stream(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
     ``dropDuplicates`` forms send every copy to one state partition).  It
     also gives the batch rule exactly (lowest ``event_id`` within the
     watermark).  Upsert the rows keyed by ``event_timestamp`` (partitioned by
-    hour) and read the board with :func:`scoreboard_from_firsts`.
+    :func:`goal_firsts_partition`) and read the board with
+    :func:`scoreboard_from_firsts`.
     """
     goals = goal_events(with_event_time(events)).withWatermark(EVENT_TIME, delay)
     first = F.min(F.struct("event_id", "team", F.coalesce(F.col("goals_scored"), F.lit(0)).alias("goals")))
@@ -120,9 +121,14 @@ def goal_firsts_stream(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
     )
 
 
-def goal_firsts_partition() -> tuple[str, F.Column]:
-    """Hour partitions keep each merge to the goals of the touched hours."""
-    return ("goal_hour", F.date_format(EVENT_TIME, "yyyyMMddHH"))
+def goal_firsts_partition(granularity: str = "day") -> tuple[str, F.Column]:
+    """Partitions of the firsts table: a merge rewrites the touched ones.
+
+    ``"day"`` suits backfills (few folders); ``"hour"`` keeps live merges to
+    the goals of the current hour when goal rates are very high.
+    """
+    fmt = {"day": "yyyyMMdd", "hour": "yyyyMMddHH"}[granularity]
+    return (f"goal_{granularity}", F.date_format(EVENT_TIME, fmt))
 
 
 def scoreboard_from_firsts(firsts: DataFrame) -> DataFrame:

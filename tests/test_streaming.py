@@ -403,7 +403,7 @@ def test_hot_key_safe_scoreboard_stream(spark, tmp_dir):
     import shutil
 
     shutil.copy(paths[1], paths[1].replace("part-", "dup-"))  # a burst of repeated events
-    table = KeyedTable(spark, os.path.join(tmp_dir, "firsts"), ["event_timestamp"], goal_firsts_partition())
+    table = KeyedTable(spark, os.path.join(tmp_dir, "firsts"), ["event_timestamp"], goal_firsts_partition("hour"))
     stream = goal_firsts_stream(event_stream(spark, src, "goal", max_files_per_trigger=1, glob="*.parquet"))
     run_available(stream, table, os.path.join(tmp_dir, "ck"), "update")
     batch = load_match_events_from_testdata(spark, SF01)
