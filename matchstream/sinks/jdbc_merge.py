@@ -95,7 +95,7 @@ class JdbcKeyedTable:
     def merge(self, update: DataFrame) -> None:
         """Stage ``update`` (overwrite) and MERGE it into the target."""
         try:
-            self.read().limit(0).collect()
+            self.read()  # resolving the schema queries the table's metadata only
             exists = True
         except Exception:  # target missing: first write creates it
             exists = False
