@@ -60,6 +60,18 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _rows(table: KeyedTable, stream: DataFrame, transform=None) -> DataFrame:
+    """The table's rows; an empty, correctly typed result when nothing was written."""
+    df = table.read()
+    if df is not None:
+        return df
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    empty = transform(empty) if transform else empty
+    if table.finalize is not None:
+        empty = table.finalize(empty)
+    return empty
+
+
 def _table(spark: SparkSession, label: str, keys, partition_by=None) -> tuple[KeyedTable, str]:
     base = scratch_path(spark, label)
     return KeyedTable(spark, os.path.join(base, "table"), keys, partition_by), os.path.join(base, "checkpoint")
@@ -67,21 +79,23 @@ def _table(spark: SparkSession, label: str, keys, partition_by=None) -> tuple[Ke
 
 def q_stream_fouls(spark, sf_dir):
     table, ckpt = _table(spark, "stream-fouls", FOUL_KEYS, _by_window_date())
-    run_available(fouls_stream(event_stream(spark, sf_dir, "foul")), table, ckpt, "update")
-    return _ntz(table.read(), "window_start", "window_end")
+    stream = fouls_stream(event_stream(spark, sf_dir, "foul"))
+    run_available(stream, table, ckpt, "update")
+    return _ntz(_rows(table, stream), "window_start", "window_end")
 
 
 def q_stream_yellow_cards(spark, sf_dir):
     table, ckpt = _table(spark, "stream-cards", CARD_KEYS, _by_window_date())
-    run_available(yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card")), table, ckpt, "update")
-    return _ntz(table.read(), "window_start", "window_end")
+    stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"))
+    run_available(stream, table, ckpt, "update")
+    return _ntz(_rows(table, stream), "window_start", "window_end")
 
 
 def q_stream_yellow_momentum(spark, sf_dir):
     table, ckpt = _table(spark, "stream-momentum", CARD_KEYS, _by_window_date())
     stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
     run_available(stream, table, ckpt, "append", transform=momentum_batch)
-    return _ntz(table.read(), "window_start", "window_end")
+    return _ntz(_rows(table, stream, momentum_batch), "window_start", "window_end")
 
 
 def q_stream_yellow_momentum_live(spark, sf_dir):
@@ -92,27 +106,29 @@ def q_stream_yellow_momentum_live(spark, sf_dir):
                        finalize=momentum_batch)
     stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
     run_available(stream, table, os.path.join(base, "checkpoint"), "update")
-    return _ntz(table.read(), "window_start", "window_end")
+    return _ntz(_rows(table, stream), "window_start", "window_end")
 
 
 def q_stream_player_stats(spark, sf_dir):
     table, ckpt = _table(spark, "stream-players", PLAYER_KEYS)
     stream = player_stats_stream(event_stream(spark, sf_dir, "goal", "assist", "shot"))
     run_available(stream, table, ckpt, "update", transform=player_table_rows)
-    return table.read()
+    return _rows(table, stream, player_table_rows)
 
 
 def q_stream_scoreboard(spark, sf_dir):
     table, ckpt = _table(spark, "stream-scoreboard", SCOREBOARD_KEYS)
-    run_available(scoreboard_stream(event_stream(spark, sf_dir, "goal")), table, ckpt, "update")
-    return scoreboard_readout(table.read())
+    stream = scoreboard_stream(event_stream(spark, sf_dir, "goal"))
+    run_available(stream, table, ckpt, "update")
+    return scoreboard_readout(_rows(table, stream))
 
 
 def q_stream_scoreboard_firsts(spark, sf_dir):
     """Hot-key-safe form: per-timestamp firsts by streaming min(struct), summed on read."""
     table, ckpt = _table(spark, "stream-goal-firsts", ["event_timestamp"], goal_firsts_partition())
-    run_available(goal_firsts_stream(event_stream(spark, sf_dir, "goal")), table, ckpt, "update")
-    return scoreboard_from_firsts(table.read())
+    stream = goal_firsts_stream(event_stream(spark, sf_dir, "goal"))
+    run_available(stream, table, ckpt, "update")
+    return scoreboard_from_firsts(_rows(table, stream))
 
 
 STREAM_QUERIES = {

@@ -409,3 +409,23 @@ def test_hot_key_safe_scoreboard_stream(spark, tmp_dir):
     batch = load_match_events_from_testdata(spark, SF01)
     assert _same(scoreboard_from_firsts(table.read()), scoreboard(batch))
     assert table.read().count() == batch.where("event_type = 'goal'").select("event_timestamp").distinct().count()
+
+
+def test_streamed_keys_on_input_without_rows(spark, tmp_dir):
+    """An input with no events of the needed types gives empty, typed results."""
+    import __spark_entry__ as entry_mod
+
+    src = os.path.join(tmp_dir, "sf")
+    os.makedirs(src)
+    table_in = pq.read_table(os.path.join(SF01, "events.parquet"))
+    pdf = table_in.to_pandas()
+    only_views = pdf[pdf["event_type"] == "view"].head(50)   # fouls only
+    pq.write_table(pa.Table.from_pandas(only_views, schema=table_in.schema, preserve_index=False),
+                   os.path.join(src, "events.parquet"))
+    q = entry_mod.queries()
+    assert q["stream_yellow_cards"](spark, src).count() == 0
+    assert "team_momentum_lost" in q["stream_yellow_momentum_live"](spark, src).columns
+    assert q["stream_player_stats"](spark, src).count() == 0
+    assert {r.team: r.goals for r in q["stream_scoreboard"](spark, src).collect()} == {
+        "FC Python": 0, "AI United": 0}
+    assert q["stream_fouls"](spark, src).agg(F.sum("fouls")).first()[0] == 50
