@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchstream.llm import exact_dedup, language_id
+from matchstream.llm import bpe, exact_dedup, language_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_language_id": language_id.op9_language_id,
 }
 
