@@ -7,8 +7,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from matchstream.session import scratch_path
 
@@ -48,6 +50,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def first_row() -> int:
+    """The number of the first row of this task's partition."""
+    return TaskContext.get().partitionId() << 36
+
+
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """``df`` with a number for each row, by partition and the order in it.
+
+    Over a table in storage a second run gives the same numbers.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = first_row()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.arange(row, row + b.num_rows))], names=[*b.schema.names, name]
+            )
+            row += b.num_rows
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
+
+
 def reducers(spark: SparkSession) -> int:
     """The number of shuffle partitions that the session is sized for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

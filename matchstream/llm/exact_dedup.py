@@ -17,12 +17,11 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from matchstream.llm.common import prepare, stored, table, utf8, with_columns_of
+from matchstream.llm.common import first_row, prepare, stored, table, utf8, with_columns_of
 
 #: Bytes of text that a trie holds in memory before subtrees are spilled.
 TRIE_BYTES = 48 << 20
@@ -172,7 +171,7 @@ def _mark(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 36
+        row = first_row()
         seen: dict[bytes, list] = {}
         held = 0
         for b in batches:

@@ -21,11 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstream.llm.common import mixed, prepare, reducers, stored, table, utf8
+from matchstream.llm.common import first_row, mixed, numbered, prepare, reducers, stored, table, utf8
 from matchstream.llm.components import components
 from matchstream.llm.rtree import GROUPS, CountRTree, count_vector
 from matchstream.llm.shingles import shingle_sets, signature
@@ -60,14 +59,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, width
     Row numbers follow from the partition and the order in it, so that a
     second run over the same partitions gives the same.
     """
-    part = TaskContext.get().partitionId()
-    ids, sets, total, number = [], [], 0, 0
+    row = first_row()
+    ids, sets, total = [], [], 0
 
     def done() -> tuple:
         marks = [signature(s) for s in sets]
         first: dict[bytes, int] = {}
         same = [first.setdefault(m, i) for i, m in enumerate(marks)]
-        return (part << 42) | (number << 18), ids, sets, marks, same
+        return row, ids, sets, marks, same
 
     for b in batches:
         rows = utf8(b.column(text_col))
@@ -77,7 +76,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, width
             total += len(s)
             if total >= CHUNK_SHINGLES or len(ids) >= CHUNK_DOCS:
                 yield done()
-                ids, sets, total, number = [], [], 0, number + 1
+                row += len(ids)
+                ids, sets, total = [], [], 0
     if ids:
         yield done()
 
@@ -193,8 +193,8 @@ def _survivors(share: tuple[int, int]):
             hot, hot_df = _join_blobs(shared["hot"], _U64), _join_blobs(shared["hot_df"], _U32)
             order = np.argsort(hot, kind="stable")
             hot, hot_df = hot[order], hot_df[order]
-            for row, n, stands, own in zip(*(docs[c].to_pylist() for c in ("row", "n", "stands", "hot"))):
-                i = row & ((1 << 18) - 1)
+            for row, chunk, n, stands, own in zip(*(docs[c].to_pylist() for c in ("row", "chunk", "n", "stands", "hot"))):
+                i = row - chunk
                 a, b = np.searchsorted(holders, [i, i + 1])
                 own = np.frombuffer(own, _U64)
                 count = b - a + len(own)
@@ -392,8 +392,8 @@ def jaccard_groups(
 
     links = stored(_contract(kept, share), "jaccard-links")
     groups = components(links)
-    links = links.unionByName(_complete(kept, groups, share))
-    groups = components(links)
+    stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups = components(stars.unionByName(_complete(kept, groups, share)))
 
     classes = classes.join(groups, F.col("class") == F.col("node"), "left")
     classes = classes.select("mark", F.coalesce("component", "class").alias("component"))
@@ -416,3 +416,9 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and group of every document, four words and 0.85."""
     found = jaccard_groups(table(spark, sf_dir, "documents"), 4, (85, 100))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document of each group of near copies stays, five words and 0.8."""
+    first = jaccard_groups(docs, 5, (80, 100)).where("first").select(F.col("row").alias("_row"))
+    return numbered(docs).join(first, "_row", "left_semi").select(*docs.columns)

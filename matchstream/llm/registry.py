@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchstream.llm import bpe, exact_dedup, jaccard_join, language_id
+from matchstream.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_language_id": language_id.op9_language_id,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
