@@ -51,7 +51,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def first_row() -> int:
-    """The number of the first row of this task's partition."""
+    """The number of the first row of this task's partition.
+
+    Partitions are counted within the stage, so tables numbered by it must reach
+    a shuffle or a write before they are united with others.
+    """
     return TaskContext.get().partitionId() << 36
 
 

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchstream.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id
+from matchstream.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op7_byte_bpe": bpe.op7_byte_bpe,
