@@ -10,6 +10,7 @@ the second best language says how sure that is; narrow margins are rejected.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,19 +24,19 @@ from matchstream.llm.common import crc32_of_id, prepare, table, texts
 
 #: Sample of the labelled rows that the dictionaries are made from: at most so
 #: many documents for a language, and so many characters of each.
-SAMPLE_DOCS = 128
+SAMPLE_DOCS = 400
 SAMPLE_CHARS = 1_500
 #: More labels than this are no language column.
 MOST_LANGUAGES = 500
 #: Bytes of a language's dictionary, and of the one that narrow cases are
-#: measured with as well.
-DICTIONARY, SECOND_DICTIONARY = 1 << 14, 1 << 16
+#: measured with as well, by a more thorough search.
+DICTIONARY, SECOND_DICTIONARY = 1 << 14, 1 << 17
 #: Characters compressed at once.  A long text is summed up block by block, so
 #: that the dictionary counts in all of it and not in its beginning only.
 BLOCK_CHARS = 1_024
 #: Margins below the first value are measured again with the second dictionary
 #: added; a text is rejected when its margin stays below the second value.
-NARROW, MIN_MARGIN = 0.02, 0.001
+NARROW, MIN_MARGIN = 0.05, 0.001
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -50,7 +51,8 @@ def learn_samples(labelled: DataFrame, text: str = "text", lang: str = "lang") -
 
     Takes the ``SAMPLE_DOCS`` rows of each language that come first by a hash
     of their text.  Rows whose text or label is null, or whose text has no
-    letter, teach nothing.  The result is bounded by the number of languages.
+    letter, teach nothing.  The languages come in the order of their number of
+    rows; the result is bounded by their number.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
@@ -59,10 +61,11 @@ def learn_samples(labelled: DataFrame, text: str = "text", lang: str = "lang") -
     first = Window.partitionBy("lang").orderBy("h", "text")
     chosen = rows.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE_DOCS)
     joined = chosen.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "text"))).alias("rows"))
-    found = joined.select("lang", F.concat_ws("\n", F.col("rows.text")).alias("text")).limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} labels: not a language column")
-    return {r["lang"]: r["text"] for r in found}
+    found = {r["lang"]: r["text"] for r in joined.select("lang", F.concat_ws("\n", F.col("rows.text")).alias("text")).collect()}
+    return {r["lang"]: found[r["lang"]] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))}
 
 
 def blocks(text: str, size: int) -> list[bytes]:
@@ -90,16 +93,24 @@ class Classifier:
     """Compressors of all learned languages, made once in each task."""
 
     def __init__(self, samples: dict[str, str]) -> None:
-        self.first = [(lang, self._compressor(samples[lang], DICTIONARY)) for lang in sorted(samples)]
-        self.second = [(lang, self._compressor(samples[lang], SECOND_DICTIONARY)) for lang in sorted(samples)]
+        lines = {lang: [blocks(x, len(x) + 1) for x in text.split("\n")] for lang, text in samples.items()}
+        words = {lang: {w for parts in own for p in parts for w in p.split()} for lang, own in lines.items()}
+        holders = Counter(w for own in words.values() for w in own)
+        # What most languages' texts hold, licence lines and the like, tells none of them.
+        common = {w for w, n in holders.items() if len(samples) > 1 and 2 * n > len(samples)}
+        content = {
+            lang: b"".join(b" %b " % b" ".join(w for w in p.split() if w not in common) for parts in own for p in parts)
+            for lang, own in lines.items()
+        }
+        self.first = [(lang, self._compressor(c, DICTIONARY, zstandard.STRATEGY_LAZY2)) for lang, c in content.items()]
+        self.second = [(lang, self._compressor(c, SECOND_DICTIONARY, zstandard.STRATEGY_BTLAZY2)) for lang, c in content.items()]
 
     @staticmethod
-    def _compressor(sample: str, size: int) -> zstandard.ZstdCompressor:
-        content = b"".join(blocks(sample, SAMPLE_CHARS))
-        dictionary = zstandard.ZstdCompressionDict(content[:size] or b"        ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def _compressor(content: bytes, size: int, strategy: int) -> zstandard.ZstdCompressor:
+        dictionary = zstandard.ZstdCompressionDict(content[:size].ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         bits = size.bit_length()
         parameters = zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_LAZY2, min_match=4, search_log=4, hash_log=bits, chain_log=bits,
+            strategy=strategy, min_match=4, search_log=4, hash_log=bits, chain_log=bits,
             window_log=bits + 1, write_content_size=0, write_checksum=0, write_dict_id=0,
         )
         return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters)
@@ -109,7 +120,7 @@ class Classifier:
 
         The score is the margin: the share of bytes by which the second best
         language needs more than the best, at most 1.  With a single learned
-        language the score is 1.  Ties go to the language first by name.
+        language the score is 1.  Ties go to the language with more labelled rows.
         """
         if not self.first or not _LETTER.search(text):
             return UNDETERMINED, 0.0, True
@@ -122,8 +133,8 @@ class Classifier:
 
     @staticmethod
     def _best(sizes: dict[str, int]) -> tuple[str, float]:
-        ranked = sorted((n, lang) for lang, n in sizes.items())
-        return ranked[0][1], min(1.0, ranked[1][0] / ranked[0][0] - 1) if len(ranked) > 1 else 1.0
+        ranked = sorted(sizes.items(), key=lambda x: x[1])  # stable: equal sizes in the order of the samples
+        return ranked[0][0], min(1.0, ranked[1][1] / ranked[0][1] - 1) if len(ranked) > 1 else 1.0
 
 
 def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> DataFrame:
