@@ -29,7 +29,7 @@ from matchstream.llm.components import components
 from matchstream.llm.rtree import GROUPS, CountRTree, count_vector
 from matchstream.llm.shingles import shingle_sets, signature
 
-#: Shingles and documents of a chunk, within which a shingle is sent once.
+#: Shingles and documents of a chunk, within which a document has 16 bits.
 CHUNK_SHINGLES, CHUNK_DOCS = 1 << 20, 1 << 16
 #: A shingle that so many documents of a chunk hold is sent as a count.
 HOT = 16
@@ -38,7 +38,7 @@ BLOCK = 512
 #: Rounds of joins on the smallest hash, each with another hash.
 ROUNDS = 2
 
-_U64, _U32 = np.dtype("<u8"), np.dtype("<u4")
+_U64, _U32, _U16 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("<u2")
 
 
 def _blob(x: np.ndarray, kind: np.dtype) -> bytes:
@@ -74,7 +74,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, width
             ids.append(doc_id)
             sets.append(s)
             total += len(s)
-            if total >= CHUNK_SHINGLES or len(ids) >= CHUNK_DOCS:
+            if total >= CHUNK_SHINGLES or len(ids) == CHUNK_DOCS:
                 yield done()
                 row += len(ids)
                 ids, sets, total = [], [], 0
@@ -138,7 +138,7 @@ def _incidence_blobs(docs: DataFrame, id_col: str, text_col: str, width: int, bu
                 rows["bucket"].append(k)
                 rows["chunk"].append(first)
                 rows["cold"].append(_blob(h[~is_hot], _U64))
-                rows["docs"].append(_blob(d[~is_hot], _U32))
+                rows["docs"].append(_blob(d[~is_hot], _U16))
                 rows["hot"].append(_blob(h[lead], _U64))
                 rows["held"].append(_blob(c[lead], _U32))
             kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 4
@@ -152,7 +152,7 @@ def _count_bucket(t: pa.Table) -> pa.Table:
     chunks = np.array(t["chunk"].to_pylist(), np.int64)
     n_cold, n_hot = _counts(t["cold"], _U64), _counts(t["hot"], _U64)
     cold, hot = _join_blobs(t["cold"], _U64), _join_blobs(t["hot"], _U64)
-    docs = _join_blobs(t["docs"], _U32)
+    docs = _join_blobs(t["docs"], _U16)
     weight = np.concatenate([np.ones(len(cold), np.int64), _join_blobs(t["held"], _U32).astype(np.int64)])
     hashes = np.concatenate([cold, hot])
     distinct, which = np.unique(hashes, return_inverse=True)
@@ -167,7 +167,7 @@ def _count_bucket(t: pa.Table) -> pa.Table:
         if two.any() or c < d:
             rows["chunk"].append(int(chunks[i]))
             rows["shared"].append(_blob(cold[a:b][two], _U64))
-            rows["docs"].append(_blob(docs[a:b][two], _U32))
+            rows["docs"].append(_blob(docs[a:b][two], _U16))
             rows["df"].append(_blob(df_cold[a:b][two], _U32))
             rows["hot"].append(_blob(hot[c:d], _U64))
             rows["hot_df"].append(_blob(df_hot[c:d], _U32))
@@ -187,20 +187,20 @@ def _survivors(share: tuple[int, int]):
         rows: dict[str, list] = {k: [] for k in ("row", "n", "shared", "prefix")}
         if docs.num_rows and shared.num_rows:
             hashes, df = _join_blobs(shared["shared"], _U64), _join_blobs(shared["df"], _U32)
-            holders = _join_blobs(shared["docs"], _U32)
+            holders = _join_blobs(shared["docs"], _U16)
             order = np.argsort(holders, kind="stable")
             hashes, df, holders = hashes[order], df[order], holders[order]
             hot, hot_df = _join_blobs(shared["hot"], _U64), _join_blobs(shared["hot_df"], _U32)
             order = np.argsort(hot, kind="stable")
             hot, hot_df = hot[order], hot_df[order]
-            for row, chunk, n, stands, own in zip(*(docs[c].to_pylist() for c in ("row", "chunk", "n", "stands", "hot"))):
+            for row, chunk, n, own in zip(*(docs[c].to_pylist() for c in ("row", "chunk", "n", "hot"))):
                 i = row - chunk
                 a, b = np.searchsorted(holders, [i, i + 1])
                 own = np.frombuffer(own, _U64)
                 count = b - a + len(own)
                 single = n - count
                 prefix = n - _needed(n, share) + 1
-                if not stands or not count or single >= prefix:
+                if not count or single >= prefix:
                     continue
                 h = np.concatenate([hashes[a:b], own])
                 f = np.concatenate([df[a:b], hot_df[np.searchsorted(hot, own)]])
@@ -385,10 +385,12 @@ def jaccard_groups(
     shared = blobs.groupBy("bucket").applyInArrow(
         _count_bucket, "chunk long, shared binary, docs binary, df binary, hot binary, hot_df binary"
     )
-    may = rows.select("chunk", "row", "n", "stands", "hot").groupBy("chunk").cogroup(shared.groupBy("chunk"))
-    may = may.applyInArrow(_survivors(share), "row long, n long, shared binary, prefix binary")
     classes = rows.groupBy("mark").agg(F.min("row").alias("class"))
-    kept = stored(may.join(classes.select(F.col("class").alias("row")), "row", "left_semi"), "jaccard-survivors")
+    standing = rows.where("stands").select("chunk", "row", "n", "hot")
+    standing = standing.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
+    may = standing.groupBy("chunk").cogroup(shared.groupBy("chunk"))
+    kept = may.applyInArrow(_survivors(share), "row long, n long, shared binary, prefix binary")
+    kept = stored(kept, "jaccard-survivors")
 
     links = stored(_contract(kept, share), "jaccard-links")
     groups = components(links)
