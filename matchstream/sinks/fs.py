@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import shutil
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,6 +44,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    h = _jvm_fs(spark, path)
+    if h is None:
+        os.makedirs(_local(path), exist_ok=True)
+    else:
+        fs, p = h
+        fs.mkdirs(p)
+
+
 def list_names(spark: SparkSession, directory: str) -> list[str]:
     h = _jvm_fs(spark, directory)
     if h is None:
@@ -54,25 +65,46 @@ def list_names(spark: SparkSession, directory: str) -> list[str]:
 
 
 def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text``; False if it already exists (no overwrite)."""
+    """Create ``path`` with ``text`` in one step; False if it already exists.
+
+    The text goes to a temporary file next to it, which is then renamed without
+    overwriting: a crash leaves either no file or the whole one.
+    """
+    directory, name = path.rsplit("/", 1)
+    temporary = f"{directory}/.{name}.{uuid.uuid4().hex}.tmp"
     h = _jvm_fs(spark, path)
     if h is None:
         local = _local(path)
         os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(_local(temporary), "x", encoding="utf-8") as f:
+            f.write(text)
         try:
-            with open(local, "x", encoding="utf-8") as f:
-                f.write(text)
+            os.link(_local(temporary), local)  # fails if the name is taken
         except FileExistsError:
             return False
+        finally:
+            os.unlink(_local(temporary))
         return True
     fs, p = h
     if fs.exists(p):
         return False
-    out = fs.create(p, False)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    draft = jvm.org.apache.hadoop.fs.Path(temporary)
+    out = fs.create(draft, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+        context.rename(draft, p, rename)
+    except Py4JJavaError:
+        fs.delete(draft, False)
+        if fs.exists(p):
+            return False
+        raise
     return True
 
 

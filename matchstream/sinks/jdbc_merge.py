@@ -1,9 +1,13 @@
-"""Keyed upsert into a relational table: distributed staging write + one MERGE.
-
-Executors write the (key-unique) update rows into a staging table with the
-JDBC writer, in parallel batches; the driver then issues a single set-based
-``MERGE`` — control only, no rows pass through the driver.  Values are
-absolute, so repeating a micro-batch leaves the target unchanged.
+"""Keyed upsert into a relational table: distributed staging write + one statement.
+
+Executors write the (key-unique) update rows into a staging table of the query
+with the JDBC writer, in parallel batches over a bounded number of connections;
+the driver then issues a single set-based statement — control only, no rows pass
+through the driver.  It is ``MERGE`` with null-safe keys, or for MySQL, which has
+no ``MERGE``, ``INSERT ... SELECT ... ON DUPLICATE KEY UPDATE``; there the target
+needs a unique key.  Values are absolute, so repeating a micro-batch leaves the
+target unchanged.  The target is created empty, so that the first load is merged
+like any other and can be repeated.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ def merge_statement(
     (``quote`` is the dialect's identifier quote).
     """
     q = lambda c: f"{quote}{c}{quote}"
-    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    on = " AND ".join(f"(t.{q(k)} = s.{q(k)} OR (t.{q(k)} IS NULL AND s.{q(k)} IS NULL))" for k in keys)
     values = [c for c in columns if c not in keys]
     sets = ", ".join(f"{q(c)} = s.{q(c)}" for c in values)
     cols = ", ".join(q(c) for c in columns)
@@ -36,7 +40,34 @@ def merge_statement(
     )
 
 
+def mysql_upsert_statement(target: str, staging: str, keys: Sequence[str], columns: Sequence[str]) -> str:
+    """MySQL's upsert of all staged rows; it goes by the target's unique key.
+
+    MySQL takes NULLs in a unique key as different, so the key columns are
+    written with :data:`MYSQL_NULL` in the place of NULL.
+    """
+    q = lambda c: f"`{c}`"
+    cols = ", ".join(q(c) for c in columns)
+    values = [c for c in columns if c not in keys] or [keys[0]]
+    sets = ", ".join(f"{q(c)} = VALUES({q(c)})" for c in values)
+    return f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {staging} ON DUPLICATE KEY UPDATE {sets}"
+
+
+#: What stands for NULL in text keys of a MySQL table.
+MYSQL_NULL = "\\N"
+
+
+def is_mysql(url: str) -> bool:
+    return url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
+
+
 class JdbcKeyedTable:
+    """A database table with a key, upserted from micro-batches.
+
+    ``query`` names the writer: it is part of the staging table's name, so that
+    two queries don't share one.  ``connections`` bounds the parallel writes.
+    """
+
     def __init__(
         self,
         spark: SparkSession,
@@ -47,25 +78,40 @@ class JdbcKeyedTable:
         user: str | None = None,
         password: str | None = None,
         column_types: str | None = None,
+        query: str = "batch",
+        connections: int = 8,
     ) -> None:
         self.spark = spark
         self.url = url
         self.table = table
-        self.staging = f"{table}_staging"
+        self.staging = f"{table}_staging_{query}"
+        self.connections = connections
+        self.mysql = is_mysql(url)
         self.keys = list(keys)
         self.driver = driver
         self.user = user
         self.password = password
         self.column_types = column_types
 
-    def _execute(self, sql: str) -> None:
+    def _connect(self):
         jvm = self.spark.sparkContext._jvm
         if self.driver:
             jvm.java.lang.Class.forName(self.driver)
         if self.user is not None:
-            conn = jvm.java.sql.DriverManager.getConnection(self.url, self.user, self.password)
-        else:
-            conn = jvm.java.sql.DriverManager.getConnection(self.url)
+            return jvm.java.sql.DriverManager.getConnection(self.url, self.user, self.password)
+        return jvm.java.sql.DriverManager.getConnection(self.url)
+
+    def exists(self) -> bool:
+        """Whether the target is there, by the database's metadata; errors of the connection are raised."""
+        conn = self._connect()
+        try:
+            names = {self.table, self.table.upper(), self.table.lower()}
+            return any(conn.getMetaData().getTables(conn.getCatalog(), None, n, None).next() for n in sorted(names))
+        finally:
+            conn.close()
+
+    def _execute(self, sql: str) -> None:
+        conn = self._connect()
         try:
             stmt = conn.createStatement()
             stmt.executeUpdate(sql)
@@ -83,6 +129,7 @@ class JdbcKeyedTable:
             user=self.user,
             password=self.password,
             column_types=self.column_types,
+            num_partitions=self.connections,
         )
 
     def read(self) -> DataFrame:
@@ -93,19 +140,21 @@ class JdbcKeyedTable:
         return reader.load()
 
     def merge(self, update: DataFrame) -> None:
-        """Stage ``update`` (overwrite) and MERGE it into the target."""
-        try:
-            self.read()  # resolving the schema queries the table's metadata only
-            exists = True
-        except Exception:  # target missing: first write creates it
-            exists = False
-        if not exists:
-            self._write(update, self.table, "append")
-            return
+        """Stage ``update`` (overwrite) and merge it into the target."""
+        if self.mysql:
+            text = {f.name for f in update.schema.fields if f.name in self.keys and f.dataType.simpleString() == "string"}
+            update = update.fillna(MYSQL_NULL, subset=sorted(text)) if text else update
+        if not self.exists():
+            self._write(update.limit(0), self.table, "append")
+            if self.mysql:
+                self._execute(f"ALTER TABLE {self.table} ADD UNIQUE KEY ({', '.join(f'`{k}`' for k in self.keys)})")
         self._write(update, self.staging, "overwrite")
-        self._execute(merge_statement(self.table, self.staging, self.keys, update.columns))
+        statement = mysql_upsert_statement if self.mysql else merge_statement
+        self._execute(statement(self.table, self.staging, self.keys, update.columns))
+
+    def batch_writer(self, query_id=None):
+        """A ``foreachBatch`` callback; merges are idempotent, so the query's id is not needed."""
 
-    def batch_writer(self):
         def write(batch_df: DataFrame, batch_id: int) -> None:
             batch = batch_df.persist()
             try:

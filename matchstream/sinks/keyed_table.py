@@ -14,9 +14,11 @@ rewrites only the partitions its update touches:
 
 and publishes the next commit record only after the data is written.  A crash
 between the two leaves the previous version current; the replayed micro-batch
-redoes the merge.  A (query, batch) that is not newer than the committed one
-is skipped, so replays never apply twice — and since the rows carry absolute
-values (not increments) even a repeated merge is harmless.
+redoes the merge.  A batch that is not newer than the committed one of the same
+query id is skipped, so replays never apply twice — and since the rows carry
+absolute values (not increments) even a repeated merge is harmless.  Keys are
+compared null-safe: a NULL team or player is a key of its own.  Superseded
+versions and old commit records are removed every ``VACUUM_EVERY`` commits.
 
 Partitioning by a coarse column (the date of ``window_start``) keeps each
 merge proportional to the data it touches, not to the table.
@@ -27,6 +29,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +39,8 @@ from pyspark.sql import types as T
 from matchstream.sinks import fs
 
 NO_PARTITION = "__all__"
+#: Commits between two clean-ups, and commits whose data stays readable.
+VACUUM_EVERY, KEEP_VERSIONS = 20, 10
 
 
 class KeyedTable:
@@ -68,14 +74,26 @@ class KeyedTable:
     def _log_dir(self) -> str:
         return f"{self.path}/_log"
 
+    def _log_names(self) -> list[str]:
+        return [n for n in fs.list_names(self.spark, self._log_dir()) if n.endswith(".json") and n[0] != "."]
+
     def head(self) -> dict | None:
-        names = [n for n in fs.list_names(self.spark, self._log_dir()) if n.endswith(".json")]
-        if not names:
-            return None
-        return json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{names[-1]}"))
+        """The newest commit record that is whole.
+
+        A newer record that can't be read (cut off by a crash of a file system
+        without atomic rename) was never current; ``next_version`` passes it by.
+        """
+        names = self._log_names()
+        for name in reversed(names):
+            try:
+                record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
+            except ValueError:
+                continue
+            return {**record, "next_version": int(names[-1].split(".")[0]) + 1}
+        return None
 
     def _publish(self, record: dict) -> None:
-        name = f"{self._log_dir()}/{record['version']:08d}.json"
+        name = f"{self._log_dir()}/{record['version']:08d}.json"  # sorts by version
         if not fs.write_new_text(self.spark, name, json.dumps(record, sort_keys=True)):
             raise RuntimeError(f"concurrent writer committed version {record['version']} first")
 
@@ -95,6 +113,23 @@ class KeyedTable:
             return None
         return self._read_parts(head, None)
 
+    def read_newest(self, n: int) -> DataFrame | None:
+        """Rows of the newest partitions that hold at least ``n`` rows together, all of them if there are fewer.
+
+        Partitions sort by their value, so with a time as partition the latest
+        rows are read without opening the history.
+        """
+        head = self.head()
+        if head is None or not head["parts"]:
+            return None
+        chosen, rows = [], 0
+        for part in sorted((p for p in head["parts"] if p != NO_PARTITION), reverse=True):
+            chosen.append(part)
+            rows += self._read_parts(head, [part]).count()
+            if rows >= n:
+                return self._read_parts(head, chosen)
+        return self.read()
+
     def _read_parts(self, head: dict, parts: Sequence[str] | None) -> DataFrame | None:
         paths = self._part_paths(head, parts)
         if not paths:
@@ -126,21 +161,24 @@ class KeyedTable:
     def merge(
         self,
         update: DataFrame,
-        query_id: str = "",
-        batch_id: int = -1,
+        query_id: str | None = None,
+        batch_id: int | None = None,
         cached: bool = False,
         touched: list[str] | None = None,
     ) -> bool:
         """Upsert ``update`` (unique per key).  Returns False when skipped as a
-        replay or when ``update`` is empty.
+        replay or when ``update`` is empty.  Without a query and batch id nothing
+        counts as a replay.
 
         ``update`` is read more than once (partition discovery, its keys for
         the anti-join, its rows for the union), so it is persisted for the
         merge unless the caller already did.
         """
         head = self.head()
-        if head is not None and head.get("query_id") == query_id and batch_id <= head.get("batch_id", -1):
-            return False
+        if head is not None and query_id is not None and batch_id is not None:
+            done = head.get("batches", {}).get(query_id)
+            if done is not None and batch_id <= done:
+                return False
         if not cached:
             update = update.persist()
         try:
@@ -154,9 +192,9 @@ class KeyedTable:
         return True
 
     def _write_version(
-        self, head: dict | None, update: DataFrame, touched: list[str], query_id: str, batch_id: int
+        self, head: dict | None, update: DataFrame, touched: list[str], query_id: str | None, batch_id: int | None
     ) -> None:
-        version = 0 if head is None else head["version"] + 1
+        version = 0 if head is None else head["next_version"]
         # A fresh folder per attempt: a job that died half-way never blocks
         # or pollutes the retry, and uncommitted folders are never read.
         vname = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -164,7 +202,9 @@ class KeyedTable:
         cols = update.columns
         current = None if head is None else self._read_parts(head, touched)
         if current is not None:
-            kept = current.join(update.select(*self.keys), on=self.keys, how="left_anti").select(*cols)
+            new_keys = update.select(*[F.col(k).alias(f"_new_{k}") for k in self.keys])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys])
+            kept = current.join(new_keys, same, "left_anti").select(*cols)
             merged = kept.unionByName(update)
         else:
             merged = update
@@ -187,26 +227,44 @@ class KeyedTable:
         self._publish(
             {
                 "version": version,
-                "query_id": query_id,
-                "batch_id": batch_id,
+                "batches": self._batches(head, query_id, batch_id),
                 "parts": parts,
                 "schema": stored_schema.json(),
             }
         )
+        if version % VACUUM_EVERY == VACUUM_EVERY - 1:
+            self.vacuum()
+
+    @staticmethod
+    def _batches(head: dict | None, query_id: str | None, batch_id: int | None) -> dict[str, int]:
+        """The last batch of each query that wrote here, the writer's last; only the newest few queries count."""
+        batches = dict(head.get("batches", {})) if head else {}
+        if query_id is not None and batch_id is not None:
+            batches.pop(query_id, None)
+            batches[query_id] = batch_id
+        return dict(list(batches.items())[-KEEP_VERSIONS:])
 
-    def vacuum(self, keep_versions: int = 10) -> list[str]:
-        """Delete version folders no longer referenced by the last ``keep_versions`` commits.
+    def vacuum(self, keep_versions: int = KEEP_VERSIONS) -> list[str]:
+        """Delete version folders no longer referenced by the last ``keep_versions`` commits, and older records.
 
         Readers of an older snapshot keep working for ``keep_versions``
         commits; returns the removed folder names.
         """
-        logs = [n for n in fs.list_names(self.spark, self._log_dir()) if n.endswith(".json")]
-        if not logs:
+        logs = self._log_names()
+        if self.head() is None:
             return []
-        referenced = set()
-        for name in logs[-keep_versions:]:
-            record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
-            referenced.update(record["parts"].values())
+        referenced: set[str] = set()
+        kept = 0
+        for name in reversed(logs):
+            try:
+                record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
+            except ValueError:
+                continue
+            if kept < keep_versions:
+                referenced.update(record["parts"].values())
+                kept += 1
+            else:
+                fs.delete_tree(self.spark, f"{self._log_dir()}/{name}")
         newest = max(referenced)
         removed = []
         for name in fs.list_names(self.spark, self.path):
@@ -217,13 +275,18 @@ class KeyedTable:
                 removed.append(name)
         return removed
 
-    def batch_writer(self, query_id: str):
-        """A ``foreachBatch`` callback that merges every non-empty micro-batch."""
+    def batch_writer(self, query_id: Callable[[], str] | str):
+        """A ``foreachBatch`` callback that merges every non-empty micro-batch.
+
+        ``query_id`` (or what it returns when the first batch comes) names the
+        query across restarts; see ``runner.checkpoint_id``.
+        """
 
         def write(batch_df: DataFrame, batch_id: int) -> None:
             batch = batch_df.persist()
             try:
-                self.merge(batch, query_id=query_id, batch_id=batch_id, cached=True)
+                own = query_id() if callable(query_id) else query_id
+                self.merge(batch, query_id=own, batch_id=batch_id, cached=True)
             finally:
                 batch.unpersist()
 

@@ -1,31 +1,79 @@
 """Progress metrics of streaming queries as DataFrames.
 
-Each query's ``recentProgress`` (one small record per micro-batch, kept by
-Spark) becomes a row; the aggregates are Spark aggregations over those rows:
-batch duration mean / min / max per query, the overall mean, and input rows
-per second.  Input rows are the rows read (``numInputRows``), the same count
-a batch run reports.
+A listener writes each micro-batch's record to a table in shared storage, so
+none is lost however long a query runs (``recentProgress`` holds the last
+hundred only).  The aggregates are Spark aggregations over that table: batch
+duration mean / min / max per query, the overall mean, and input rows per
+second.  Input rows are the rows read (``numInputRows``), the same count a
+batch run reports.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from matchstream.sinks import fs
 
 PROGRESS_SCHEMA = "query string, batch_id long, num_input_rows long, duration_ms long"
 
 
-def progress_rows(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    rows = []
-    for q in queries:
-        name = q.name or str(q.id)
-        for p in q.recentProgress:
-            duration = (p.durationMs or {}).get("triggerExecution", 0)
-            rows.append((name, int(p.batchId), int(p.numInputRows), int(duration)))
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+class ProgressLog(StreamingQueryListener):
+    """Writes a record for each micro-batch of the session's queries under ``path``.
+
+    One small file a record, named by run and batch: ``progress-<run>-<batch>``.
+    Use it as a context manager; at its end it waits for the queries that have
+    stopped to be recorded in full.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self.ended = threading.Condition()
+        self.open: set[str] = set()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        running = {str(q.runId) for q in self.spark.streams.active}
+        with self.ended:  # events come in order, a run's end last
+            self.ended.wait_for(lambda: self.open <= running, timeout=60)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        with self.ended:
+            self.open.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        record = {
+            "query": p.name or str(p.id),
+            "batch_id": int(p.batchId),
+            "num_input_rows": int(p.numInputRows),
+            "duration_ms": int((p.durationMs or {}).get("triggerExecution", 0)),
+        }
+        # A trigger without data reports the same batch again: the time tells them apart.
+        moment = "".join(c for c in p.timestamp if c.isdigit())
+        fs.write_new_text(self.spark, f"{self.path}/progress-{p.runId}-{p.batchId}-{moment}.json", json.dumps(record))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.ended:
+            self.open.discard(str(event.runId))
+            self.ended.notify_all()
+
+    def rows(self) -> DataFrame:
+        """All records so far."""
+        if not [n for n in fs.list_names(self.spark, self.path) if n.startswith("progress-")]:
+            return self.spark.createDataFrame([], PROGRESS_SCHEMA)
+        return self.spark.read.schema(PROGRESS_SCHEMA).option("pathGlobFilter", "progress-*").json(self.path)
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:

@@ -8,17 +8,28 @@ skipped by the table.  Several queries can run side by side in one session.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from matchstream.sinks import fs
+from matchstream.sinks.jdbc_merge import JdbcKeyedTable
 from matchstream.sinks.keyed_table import KeyedTable
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark stored in a checkpoint when its query first started.
+
+    It stays the same over restarts; a new checkpoint at an old path has another.
+    """
+    return json.loads(fs.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def start_to_table(
     stream: DataFrame,
-    table: KeyedTable,
+    table: KeyedTable | JdbcKeyedTable,
     checkpoint: str,
     output_mode: str = "update",
     transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -27,7 +38,7 @@ def start_to_table(
 ) -> StreamingQuery:
     """Start ``stream`` writing into ``table``; ``transform`` runs per micro-batch."""
 
-    merge = table.batch_writer(query_id=checkpoint)
+    merge = table.batch_writer(query_id=lambda: checkpoint_id(table.spark, checkpoint))
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         merge(transform(batch_df) if transform else batch_df, batch_id)
@@ -49,9 +60,12 @@ def run_available(
     checkpoint: str,
     output_mode: str = "update",
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    timeout_s: float | None = 900,
+    timeout_s: float | None = None,
 ) -> StreamingQuery:
-    """Process everything available now, then stop; raise if the query failed."""
+    """Process everything available now, then stop; raise if the query failed.
+
+    There is no time limit unless one is given.
+    """
     query = start_to_table(stream, table, checkpoint, output_mode, transform)
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False:

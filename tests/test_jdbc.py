@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchstream.operators import fouls_tumbling
-from matchstream.sinks.jdbc_merge import JdbcKeyedTable, merge_statement
+from matchstream.sinks.jdbc_merge import JdbcKeyedTable, is_mysql, merge_statement, mysql_upsert_statement
 from matchstream.sources.jdbc import read_jdbc, write_jdbc
 from matchstream.sources.testdata import load_match_events_from_testdata
 from tests.conftest import SF001
@@ -23,11 +23,35 @@ def url(tmp_dir):
 def test_merge_statement_shape():
     sql = merge_statement("t", "s", ["team"], ["team", "goals"])
     assert sql == (
-        'MERGE INTO t t USING s s ON t."team" = s."team" WHEN MATCHED THEN UPDATE SET "goals" = s."goals"'
+        'MERGE INTO t t USING s s ON (t."team" = s."team" OR (t."team" IS NULL AND s."team" IS NULL)) WHEN MATCHED THEN UPDATE SET "goals" = s."goals"'
         ' WHEN NOT MATCHED THEN INSERT ("team", "goals") VALUES (s."team", s."goals")'
     )
 
 
+def test_mysql_statement_shape():
+    assert mysql_upsert_statement("t", "s", ["team"], ["team", "goals"]) == (
+        "INSERT INTO t (`team`, `goals`) SELECT `team`, `goals` FROM s ON DUPLICATE KEY UPDATE `goals` = VALUES(`goals`)"
+    )
+    assert is_mysql("jdbc:mysql://h/db") and not is_mysql("jdbc:derby:db")
+
+
+def test_null_keys_and_missing_target(spark, url):
+    schema = "team string, window_start int, fouls long"
+    table = JdbcKeyedTable(spark, url, "foul_stats", ["team", "window_start"], driver=DRIVER, column_types="team VARCHAR(100)")
+    assert not table.exists()
+    for n in (1, 2, 3):
+        table.merge(spark.createDataFrame([("A", None, n), ("B", None, n), ("A", 1, n)], schema))
+    assert table.exists()
+    rows = {(r.team, r.window_start, r.fouls) for r in table.read().collect()}
+    assert rows == {("A", None, 3), ("B", None, 3), ("A", 1, 3)} and table.read().count() == 3
+
+
+def test_connection_errors_are_raised(spark):
+    table = JdbcKeyedTable(spark, "jdbc:nonsense:x", "t", ["team"])
+    with pytest.raises(Exception, match="driver|Driver"):
+        table.merge(spark.createDataFrame([("A", 1)], "team string, n long"))
+
+
 @pytest.mark.skipif(not os.path.exists(SF001), reason="driver test data absent")
 def test_partitioned_read_with_pushdown(spark, url):
     events = load_match_events_from_testdata(spark, SF001)

@@ -1,0 +1,135 @@
+"""The keyed table loses and duplicates nothing; progress and reads are whole."""
+
+import json
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchstream.sinks import fs
+from matchstream.sinks.keyed_table import VACUUM_EVERY, KeyedTable
+from matchstream.streaming.progress import ProgressLog, progress_summary
+from matchstream.streaming.queries import goal_firsts_stream, scoreboard_from_firsts, scoreboard_stream
+from matchstream.streaming.runner import checkpoint_id, run_available
+
+SCHEMA = "team string, player string, n long"
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def stored(table):
+    return sorted((tuple(r) for r in table.read().collect()), key=str)
+
+
+def test_merges_without_ids_all_count(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    assert table.merge(rows(spark, ("A", None, 1)))
+    assert table.merge(rows(spark, ("A", None, 2), ("B", None, 5)))
+    assert stored(table) == [("A", None, 2), ("B", None, 5)]
+
+
+def test_null_is_a_key_of_its_own(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team", "player"])
+    for n in (1, 2, 3):
+        table.merge(rows(spark, ("A", None, n), (None, None, n), (None, "p", n)), "q", n)
+    assert stored(table) == sorted([("A", None, 3), (None, None, 3), (None, "p", 3)], key=str)
+
+
+def test_unreadable_newest_record(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    table.merge(rows(spark, ("A", None, 1)), "q", 0)
+    open(os.path.join(tmp_dir, "t", "_log", "00000001.json"), "w").close()
+    assert stored(table) == [("A", None, 1)]
+    assert table.merge(rows(spark, ("B", None, 2)), "q", 1)
+    assert stored(table) == [("A", None, 1), ("B", None, 2)]
+
+
+def test_commit_is_atomic_and_exclusive(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "d", "x.json")
+    assert fs.write_new_text(spark, path, "{}")
+    assert not fs.write_new_text(spark, path, "other")
+    assert fs.read_text(spark, path) == "{}"
+    assert [n for n in os.listdir(os.path.dirname(path)) if not n.endswith(".crc")] == ["x.json"]
+
+
+def test_log_and_versions_stay_bounded(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    for i in range(VACUUM_EVERY + 1):
+        table.merge(rows(spark, ("A", None, i)), "q", i)
+    logs = [n for n in os.listdir(os.path.join(tmp_dir, "t", "_log")) if n.endswith(".json") and n[0] != "."]
+    assert len(logs) <= VACUUM_EVERY // 2 + 2
+    assert stored(table) == [("A", None, VACUUM_EVERY)]
+
+
+def _goals(spark, folder, name, *values):
+    """One input file of goals: (time, team, goals)."""
+    df = spark.createDataFrame([(i, t, "goal", team, "p", 0, n) for i, (t, team, n) in enumerate(values)],
+                               "event_id long, event_timestamp string, event_type string, team string, player string, shots_taken int, goals_scored int")
+    df = df.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    df.coalesce(1).write.mode("append").parquet(os.path.join(folder, name))
+    return df.schema
+
+
+def _stream(spark, folder, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(folder)
+
+
+@pytest.mark.parametrize("form", [scoreboard_stream, goal_firsts_stream])
+def test_late_goal_counts(spark, tmp_dir, form):
+    src = os.path.join(tmp_dir, "in")
+    schema = _goals(spark, src, "a", ("2024-01-01 10:00:00", "A", 1))
+    _goals(spark, src, "b", ("2024-01-01 11:00:00", "A", 1))
+    _goals(spark, src, "c", ("2024-01-01 12:00:00", "A", 1))
+    _goals(spark, src, "d", ("2024-01-01 09:00:00", "A", 10), ("2024-01-01 10:00:00", "A", 1))  # late, and a repeat
+    key = "team" if form is scoreboard_stream else "event_timestamp"
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), [key])
+    run_available(form(_stream(spark, src, schema)), table, os.path.join(tmp_dir, "ck"))
+    board = table.read() if form is scoreboard_stream else scoreboard_from_firsts(table.read())
+    assert {r.team: r.goals for r in board.collect()}["A"] == 13
+
+
+def test_new_checkpoint_at_an_old_path(spark, tmp_dir):
+    src, ck = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ck")
+    schema = _goals(spark, src, "a", ("2024-01-01 10:00:00", "A", 1))
+    _goals(spark, src, "b", ("2024-01-01 11:00:00", "A", 1))
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    run_available(scoreboard_stream(_stream(spark, src, schema)), table, ck)
+    old = checkpoint_id(spark, ck)
+    shutil.move(ck, ck + "-old")
+    _goals(spark, src, "c", ("2024-01-01 12:00:00", "B", 5))
+    run_available(scoreboard_stream(_stream(spark, src, schema)), table, ck)  # batch ids start at 0 again
+    assert checkpoint_id(spark, ck) != old
+    assert {r.team: r.goals for r in table.read().collect()} == {"A": 2, "B": 5}
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    df = spark.range(330).repartition(110).withColumn("x", F.lit(1))
+    df.write.parquet(src)
+    with ProgressLog(spark, os.path.join(tmp_dir, "progress")) as log:
+        q = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src).writeStream.format("noop")
+             .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    assert len(q.recentProgress) <= 100
+    total = next(r for r in progress_summary(log.rows()).collect() if r.query == "all")
+    assert total.input_rows == 330 and total.batches >= 110
+
+
+def test_newest_rows_open_only_the_newest_partitions(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["n"], ("day", F.format_string("%03d", F.col("n").cast("int") % 10)))
+    table.merge(spark.range(100).select(F.lit("A").alias("team"), F.lit("p").alias("player"), F.col("id").alias("n")))
+    newest = table.read_newest(15)
+    assert len(newest.inputFiles()) == 2 and {r.n % 10 for r in newest.collect()} == {9, 8}
+    assert table.read_newest(1000).count() == 100
+
+
+def test_one_event_rewrites_one_partition(spark, tmp_dir):
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["n"], ("day", (F.col("n") % 10).cast("string")))
+    every = spark.range(100).select(F.lit("A").alias("team"), F.lit("p").alias("player"), F.col("id").alias("n"))
+    table.merge(every)
+    table.merge(every.where("n = 7"))
+    parts = json.loads(json.dumps(table.head()["parts"]))
+    assert [k for k, v in parts.items() if v.startswith("v00000001")] == ["7"]
