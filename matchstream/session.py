@@ -9,6 +9,7 @@ instead of the JVM heap.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,7 +56,8 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    work_root(spark)
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        work_root(spark)
     return spark
 
 
@@ -81,6 +83,13 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str,
     }
 
 
+def _local_root(master: str) -> str:
+    """A temporary folder for local runs; on a cluster a shared one must be configured."""
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="matchstream-work-")
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -95,7 +104,7 @@ def work_root(spark: SparkSession) -> str:
     if sc is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            root = tempfile.mkdtemp(prefix="matchstream-work-")
+            root = _local_root(spark.conf.get("spark.master", ""))
             try:
                 spark.conf.set("spark.checkpoint.dir", root)
             except Exception:  # core conf not settable: keep it for this process
@@ -108,7 +117,7 @@ def work_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(root)
             root = sc.getCheckpointDir() or root
     if not root:
-        root = tempfile.mkdtemp(prefix="matchstream-work-")
+        root = _local_root(sc.master)
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root

@@ -9,12 +9,16 @@ prunes whole directories before any file is opened.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchstream.functions.casts import int_or_zero, iso_timestamp
 from matchstream.schema import CSV_TEXT
+from matchstream.sinks import fs
 
 
 def csv_text_schema(with_event_id: bool = False) -> T.StructType:
@@ -39,17 +43,47 @@ def type_csv_events(text: DataFrame, ntz: bool = True, with_event_id: bool = Fal
     return text.select(*cols)
 
 
+def read_csv_text(spark: SparkSession, path: str, with_event_id: bool = False) -> DataFrame:
+    """The text columns of header CSV files, taken by name and in any order.
+
+    All files must have the same header.  A missing column raises; further
+    columns are ignored.  Quotes within quoted cells are doubled.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+    header = reader.csv(path).columns  # reads a header, no data
+    wanted = [f.name for f in csv_text_schema(with_event_id).fields]
+    missing = [c for c in wanted if c not in header]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    return reader.schema(schema).option("mode", "PERMISSIVE").csv(path).select(*wanted)
+
+
 def read_events_csv(
     spark: SparkSession, path: str, ntz: bool = True, with_event_id: bool = False
 ) -> DataFrame:
-    """Header CSV (``timestamp,event_type,team,player,shots_taken,goals_scored``)."""
-    text = (
-        spark.read.schema(csv_text_schema(with_event_id))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+    """Header CSV (``timestamp,event_type,team,player,shots_taken,goals_scored``), bad rows left out."""
+    return read_events_csv_checked(spark, path, ntz, with_event_id)[0]
+
+
+def read_events_csv_checked(
+    spark: SparkSession, path: str, ntz: bool = True, with_event_id: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(events, quarantine) of header CSV files.
+
+    Quarantined are rows with a missing or bad time (``bad_timestamp``) or a
+    number that is neither blank nor an integer (``bad_integer``); they keep
+    their text columns and get a ``reason``.
+    """
+    text = read_csv_text(spark, path, with_event_id)
+    numbers = {"shots_taken": "int", "goals_scored": "int"} | ({"event_id": "bigint"} if with_event_id else {})
+    bad_number = reduce(
+        or_,
+        [F.coalesce(F.trim(c) != "", F.lit(False)) & F.trim(c).try_cast(kind).isNull() for c, kind in numbers.items()],
     )
-    return type_csv_events(text, ntz=ntz, with_event_id=with_event_id)
+    reason = F.when(iso_timestamp("timestamp", ntz=ntz).isNull(), "bad_timestamp").when(bad_number, "bad_integer")
+    good = type_csv_events(text.where(reason.isNull()), ntz=ntz, with_event_id=with_event_id)
+    return good, text.withColumn("reason", reason).where("reason is not null")
 
 
 def events_to_csv_text(events: DataFrame, with_event_id: bool = False) -> DataFrame:
@@ -76,17 +110,27 @@ def read_events_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_match_events(events: DataFrame, path: str, partition_by_date: bool = True) -> None:
+def append_match_events(
+    events: DataFrame, path: str, partition_by_date: bool = True, load_id: str | None = None
+) -> None:
     """K1: append typed events to the ``match_events`` Parquet table.
 
-    Partitioning by ``event_date`` lets time-range summaries prune directories.
+    Partitioning by ``event_date`` lets time-range summaries prune directories;
+    rows are rebalanced by date first, so that a date has about one file, and
+    one that is too large for a task is split.  A ``load_id`` names the load: a
+    retry with the same id replaces the rows of the earlier attempt.  Use it for
+    all loads of a table or for none, since it is a partition column too.
     """
-    out = events
-    writer_cols: list[str] = []
+    out, parts = events, []
+    if load_id is not None:
+        out, parts = out.withColumn("load_id", F.lit(load_id)), ["load_id"]
     if partition_by_date:
-        out = events.withColumn("event_date", F.to_date("event_timestamp"))
-        writer_cols = ["event_date"]
-    writer = out.write.mode("append")
-    if writer_cols:
-        writer = writer.partitionBy(*writer_cols)
-    writer.parquet(path)
+        out = out.withColumn("event_date", F.to_date("event_timestamp")).hint("rebalance", "event_date")
+        parts.append("event_date")
+    if load_id is None:
+        writer = out.write.mode("append")
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        return
+    # The earlier attempt's folder goes as a whole: its dates may differ.
+    fs.delete_tree(events.sparkSession, f"{path.rstrip('/')}/load_id={load_id}")
+    out.write.mode("append").partitionBy(*parts).parquet(path)
