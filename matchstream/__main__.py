@@ -19,10 +19,11 @@ MATCH_EVENTS_DDL = "event_type VARCHAR(50), team VARCHAR(100), player VARCHAR(10
 
 
 def _session(args) -> SparkSession:
-    from matchstream.session import build_session
+    from matchstream.session import build_session, cluster_conf
 
+    conf = cluster_conf(args.total_cores) if args.total_cores else None
     return build_session(args.master, app_name=f"matchstream-{args.command}",
-                         rocksdb_state=getattr(args, "rocksdb", False))
+                         rocksdb_state=getattr(args, "rocksdb", False), extra_conf=conf)
 
 
 def _events(spark: SparkSession, args) -> DataFrame:
@@ -33,21 +34,25 @@ def _events(spark: SparkSession, args) -> DataFrame:
         return read_events_csv(spark, args.csv)
     if args.jdbc_url:
         df = read_jdbc(spark, args.jdbc_url, args.jdbc_table, driver=args.jdbc_driver,
-                       user=args.jdbc_user, password=args.jdbc_password)
+                       user=args.jdbc_user, password=args.jdbc_password,
+                       partition_column=args.jdbc_partition_column, lower_bound=args.jdbc_lower,
+                       upper_bound=args.jdbc_upper, num_partitions=args.jdbc_partitions)
         return df
     return spark.read.parquet(args.table)
 
 
 def cmd_load(spark, args) -> None:
-    from matchstream.sources.files import append_match_events, read_events_csv
+    from matchstream.sources.files import append_match_events, read_events_csv_checked
     from matchstream.sources.jdbc import write_jdbc
 
-    events = read_events_csv(spark, args.csv)
+    events, bad = read_events_csv_checked(spark, args.csv)
+    if args.quarantine:
+        bad.write.mode("overwrite").parquet(args.quarantine)
     if args.jdbc_url:
         write_jdbc(events, args.jdbc_url, args.jdbc_table, mode="append", driver=args.jdbc_driver,
                    user=args.jdbc_user, password=args.jdbc_password, column_types=MATCH_EVENTS_DDL)
     if args.table:
-        append_match_events(events, args.table)
+        append_match_events(events, args.table, load_id=args.load_id)
 
 
 def cmd_batch(spark, args) -> None:
@@ -64,7 +69,7 @@ def cmd_route(spark, args) -> None:
     from matchstream.operators.routing import route_topics, write_routed_files
     from matchstream.sources.kafka import write_kafka
 
-    routed = route_topics(_events(spark, args))
+    routed = route_topics(_events(spark, args), with_event_id=True)
     if args.kafka:
         write_kafka(routed, args.kafka)
     else:
@@ -77,11 +82,24 @@ def cmd_stream(spark, args) -> None:
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.every}
     started = start_match_streams(spark, args.out, topics_dir=args.topics_dir,
                                   kafka_servers=args.kafka, trigger=trigger,
-                                  max_files_per_trigger=args.max_files_per_trigger)
+                                  max_files_per_trigger=args.max_files_per_trigger,
+                                  starting_offsets=args.starting_offsets,
+                                  max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                  jdbc=_jdbc_tables(spark, args) if args.jdbc_url else None)
     if args.available_now:
         await_all(started)
     else:
-        spark.streams.awaitAnyTermination()
+        await_all(started)
+
+
+def _jdbc_tables(spark: SparkSession, args):
+    from matchstream.sinks.jdbc_merge import JdbcKeyedTable
+
+    return lambda name, keys: JdbcKeyedTable(
+        spark, args.jdbc_url, name, keys, driver=args.jdbc_driver, user=args.jdbc_user,
+        password=args.jdbc_password, query=name, connections=args.jdbc_connections,
+        column_types=", ".join(f"{k} VARCHAR(100)" for k in keys if k in ("team", "player")) or None,
+    )
 
 
 def cmd_serve(spark, args) -> None:
@@ -93,19 +111,31 @@ def cmd_serve(spark, args) -> None:
         scoreboard_readout,
         top_players,
     )
-    from matchstream.schema import CARD_KEYS, FOUL_KEYS, PLAYER_KEYS, SCOREBOARD_KEYS
+    from matchstream.schema import CARD_KEYS, FOUL_KEYS, GOAL_FIRST_KEYS, PLAYER_KEYS
     from matchstream.sinks.keyed_table import KeyedTable
+    from matchstream.streaming.pipeline import by_key, by_window_date
+    from matchstream.streaming.queries import goal_firsts_partition, scoreboard_from_firsts
+
+    def table(name, keys, part=None):
+        return KeyedTable(spark, f"{args.out.rstrip('/')}/{name}", keys, part)
+
+    def rows_or_none_yet(df, schema):
+        return spark.createDataFrame([], schema) if df is None else df
 
-    out = args.out.rstrip("/")
     view = args.view
     if view == "scoreboard":
-        df = scoreboard_readout(KeyedTable(spark, f"{out}/scoreboard", SCOREBOARD_KEYS).read(), spark)
+        firsts = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition()).read()
+        df = scoreboard_readout(None, spark) if firsts is None else scoreboard_from_firsts(firsts)
     elif view == "fouls":
-        df = latest_fouls(KeyedTable(spark, f"{out}/foul_stats", FOUL_KEYS).read(), args.n)
+        rows = table("foul_stats", FOUL_KEYS, by_window_date()).read_newest(args.n)
+        df = latest_fouls(rows_or_none_yet(rows, "team string, fouls long, window_start timestamp, window_end timestamp"), args.n)
     elif view == "cards":
-        df = latest_yellow_cards(KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS).read(), args.n)
+        rows = table("yellow_card_stats", CARD_KEYS, by_window_date()).read_newest(args.n)
+        schema = "team string, player string, yellow_cards long, window_start timestamp, window_end timestamp, player_alert boolean"
+        df = latest_yellow_cards(rows_or_none_yet(rows, schema), args.n)
     else:
-        rows = KeyedTable(spark, f"{out}/player_performance_stats", PLAYER_KEYS).read()
+        schema = "team string, player string, goals long, assists long, shots_taken long, scoring_percentage double"
+        rows = rows_or_none_yet(table("player_performance_stats", PLAYER_KEYS, by_key(PLAYER_KEYS)).read(), schema)
         renamed = rows.select(
             "team", "player",
             F.col("goals").alias("total_goals_scored"),
@@ -114,12 +144,14 @@ def cmd_serve(spark, args) -> None:
             "scoring_percentage",
         )
         df = top_players(renamed, args.n)
-    df.show(args.n, truncate=False)
+    # The latest and top views hold at most n rows; the scoreboard has no limit.
+    df.show(max(args.n, df.count()) if view == "scoreboard" else args.n, truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="matchstream")
     p.add_argument("--master", default=None, help="Spark master (default: from the launcher)")
+    p.add_argument("--total-cores", type=int, default=None, help="cores of the cluster: applies its sizes")
     sub = p.add_subparsers(dest="command", required=True)
 
     def source_args(sp):
@@ -130,8 +162,14 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-driver")
         sp.add_argument("--jdbc-user")
         sp.add_argument("--jdbc-password")
+        sp.add_argument("--jdbc-partition-column", help="numeric or time column to split the read by")
+        sp.add_argument("--jdbc-lower")
+        sp.add_argument("--jdbc-upper")
+        sp.add_argument("--jdbc-partitions", type=int)
 
     sp = sub.add_parser("load")
+    sp.add_argument("--quarantine", help="folder for rows with a bad time or number")
+    sp.add_argument("--load-id", help="a retry with the same id replaces the earlier attempt's rows")
     sp.add_argument("--csv", required=True)
     sp.add_argument("--table", help="match_events Parquet table")
     sp.add_argument("--jdbc-url")
@@ -161,6 +199,13 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--every", default="5 seconds")
     sp.add_argument("--max-files-per-trigger", type=int, default=None)
     sp.add_argument("--rocksdb", action="store_true")
+    sp.add_argument("--starting-offsets", default="earliest")
+    sp.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    sp.add_argument("--jdbc-url", help="write the result tables to a database")
+    sp.add_argument("--jdbc-driver")
+    sp.add_argument("--jdbc-user")
+    sp.add_argument("--jdbc-password")
+    sp.add_argument("--jdbc-connections", type=int, default=8)
 
     sp = sub.add_parser("serve")
     sp.add_argument("--out", required=True)

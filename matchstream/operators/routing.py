@@ -44,12 +44,15 @@ def wire_value(time_format: str = WIRE_TIME_FORMAT, extra_fields: tuple[str, ...
     return F.to_json(F.named_struct(*parts))
 
 
-def route_topics(events: DataFrame) -> DataFrame:
-    """``topic, event_id?, value`` — one row per (event, topic)."""
+def route_topics(events: DataFrame, with_event_id: bool = False) -> DataFrame:
+    """``topic, event_id?, value`` — one row per (event, topic).
+
+    ``with_event_id`` puts the id into the message too, for consumers that need
+    the lowest one of several events.
+    """
     extra = ["event_id"] if "event_id" in events.columns else []
-    return events.select(
-        F.explode(topics_for(F.col("event_type"))).alias("topic"), *extra, wire_value().alias("value")
-    )
+    value = wire_value(extra_fields=tuple(extra) if with_event_id else ())
+    return events.select(F.explode(topics_for(F.col("event_type"))).alias("topic"), *extra, value.alias("value"))
 
 
 def write_routed_files(routed: DataFrame, path: str) -> None:

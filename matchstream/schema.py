@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # --- Fixed values (must equal the original application's) -------------------
-# Event types, in the order the generator lists them.
-EVENT_TYPES = ("goal", "assist", "shot", "foul", "yellow_card")
 # Event types counted in player performance.
 PERFORMANCE_TYPES = ("goal", "assist", "shot")
 # Teams known before any event arrives (scoreboard starts them at 0).
@@ -32,19 +30,6 @@ ALERT_LABEL = "🚨 OUT"
 # Topic for events of an unknown type (never guessed from a previous row).
 TOPIC_UNROUTED = "unrouted"
 
-# Canonical bounded table ``match_events``.  ``event_id`` is optional: when
-# present it is the deterministic tie-break for "first event" semantics.
-MATCH_EVENTS = T.StructType(
-    [
-        T.StructField("event_timestamp", T.TimestampType(), True),
-        T.StructField("event_type", T.StringType(), True),
-        T.StructField("team", T.StringType(), True),
-        T.StructField("player", T.StringType(), True),
-        T.StructField("shots_taken", T.IntegerType(), True),
-        T.StructField("goals_scored", T.IntegerType(), True),
-    ]
-)
-
 # The CSV files carry the same six fields under the wire name ``timestamp``;
 # everything is read as text and typed with try-casts (ANSI-safe).
 CSV_TEXT = T.StructType(
@@ -75,3 +60,4 @@ FOUL_KEYS = ("team", "window_start")
 CARD_KEYS = ("team", "player", "window_start")
 PLAYER_KEYS = ("team", "player")
 SCOREBOARD_KEYS = ("team",)
+GOAL_FIRST_KEYS = ("event_timestamp",)

@@ -25,8 +25,9 @@ from matchstream.plans.oracle import (
 from matchstream.schema import CARD_KEYS, FOUL_KEYS, PLAYER_KEYS, SCOREBOARD_KEYS
 from matchstream.session import scratch_path
 from matchstream.sinks.keyed_table import KeyedTable
-from matchstream.sources.testdata import ORACLE_PRELUDE, RAW_EVENTS, adapt_events
+from matchstream.sources.testdata import ORACLE_PRELUDE, RAW_EVENTS, adapt_events, load_match_events_from_testdata
 from matchstream.streaming.queries import (
+    flush_open_windows,
     fouls_stream,
     goal_firsts_partition,
     goal_firsts_stream,
@@ -95,6 +96,8 @@ def q_stream_yellow_momentum(spark, sf_dir):
     table, ckpt = _table(spark, "stream-momentum", CARD_KEYS, _by_window_date())
     stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
     run_available(stream, table, ckpt, "append", transform=momentum_batch)
+    events = load_match_events_from_testdata(spark, sf_dir, ("yellow_card",))
+    flush_open_windows(table, events, "60 minutes", "10 minutes")
     return _ntz(_rows(table, stream, momentum_batch), "window_start", "window_end")
 
 
@@ -131,6 +134,25 @@ def q_stream_scoreboard_firsts(spark, sf_dir):
     return scoreboard_from_firsts(_rows(table, stream))
 
 
+def q_stream_scoreboard_collisions(spark, sf_dir):
+    """Goal times cut to the hour, so that many goals share a time and only the first counts."""
+    table, ckpt = _table(spark, "stream-goal-hours", ["event_timestamp"], goal_firsts_partition())
+    events = event_stream(spark, sf_dir, "goal")
+    hours = events.withColumn("event_timestamp", F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz"))
+    stream = goal_firsts_stream(hours)
+    run_available(stream, table, ckpt, "update")
+    return scoreboard_from_firsts(_rows(table, stream))
+
+
+def q_stream_fouls_null_keys(spark, sf_dir):
+    """Every third event without a team: NULL is a key of its own in the stored table."""
+    table, ckpt = _table(spark, "stream-null-keys", FOUL_KEYS, _by_window_date())
+    events = event_stream(spark, sf_dir, "foul")
+    stream = fouls_stream(events.withColumn("team", F.when(F.col("event_id") % 3 != 0, F.col("team"))))
+    run_available(stream, table, ckpt, "update")
+    return _ntz(_rows(table, stream), "window_start", "window_end")
+
+
 STREAM_QUERIES = {
     "stream_fouls": q_stream_fouls,
     "stream_yellow_cards": q_stream_yellow_cards,
@@ -139,21 +161,17 @@ STREAM_QUERIES = {
     "stream_player_stats": q_stream_player_stats,
     "stream_scoreboard": q_stream_scoreboard,
     "stream_scoreboard_firsts": q_stream_scoreboard_firsts,
+    "stream_scoreboard_collisions": q_stream_scoreboard_collisions,
+    "stream_fouls_null_keys": q_stream_fouls_null_keys,
 }
 
 
 def stream_oracles() -> dict[str, str]:
     p = ORACLE_PRELUDE
-    closed = (
-        "\nSELECT * FROM ("
-        + MOMENTUM_SELECT
-        + ") m WHERE window_end <= (SELECT max(event_timestamp) FROM match_events"
-        " WHERE event_type = 'yellow_card') - INTERVAL '2 minutes'"
-    )
     return {
         "stream_fouls": p + fouls_cte("1 minute") + "\nSELECT * FROM fouls",
         "stream_yellow_cards": p + cards_cte("5 minutes", "1 minute", 5) + CARDS_SELECT,
-        "stream_yellow_momentum": p + cards_cte("60 minutes", "10 minutes", 6) + closed,
+        "stream_yellow_momentum": p + cards_cte("60 minutes", "10 minutes", 6) + MOMENTUM_SELECT,
         "stream_yellow_momentum_live": p + cards_cte("60 minutes", "10 minutes", 6) + MOMENTUM_SELECT,
         "stream_player_stats": p
         + players_cte(PERFORMANCE_WHERE)
@@ -161,4 +179,10 @@ def stream_oracles() -> dict[str, str]:
         " total_shots_taken AS shots_taken, scoring_percentage FROM players",
         "stream_scoreboard": p + scoreboard_sql("event_timestamp", False),
         "stream_scoreboard_firsts": p + scoreboard_sql("event_timestamp", False),
+        "stream_scoreboard_collisions": p + scoreboard_sql("date_trunc('hour', event_timestamp)", False),
+        "stream_fouls_null_keys": p
+        + "\nSELECT CASE WHEN event_id % 3 <> 0 THEN team END AS team, count(*) AS fouls,"
+        " date_trunc('minute', event_timestamp) AS window_start,"
+        " date_trunc('minute', event_timestamp) + INTERVAL '1 minute' AS window_end"
+        " FROM match_events WHERE event_type = 'foul' GROUP BY ALL",
     }

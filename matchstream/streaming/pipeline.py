@@ -9,15 +9,21 @@ runs the streaming metric and upserts a keyed result table:
                                                    recomputed per rewritten partition)
     live_card          -> yellow_momentum_stats      (append: closed windows only)
     player_performance -> player_performance_stats   (update, running totals)
-    live_score         -> scoreboard                 (update, dedup + sum)
-
-Topics are read from ``topic=<name>`` folders (file replay) or from Kafka
-when ``kafka_servers`` is given.  All queries run concurrently in one
-session; each has its own checkpoint under ``out_dir/_checkpoints``.
+    live_score         -> goal_firsts                (update, first goal of each time;
+                                                   the scoreboard is summed on read)
+
+Topics are read from the file replay's folder, by its commit log if a router
+stream wrote it, or from Kafka when ``kafka_servers`` is given.  All queries run
+concurrently in one session; each has its own checkpoint under
+``out_dir/_checkpoints``.  The result tables are keyed file tables, or tables of
+a database when ``jdbc`` is given.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,21 +33,24 @@ from matchstream.operators.routing import route_topics
 from matchstream.schema import (
     CARD_KEYS,
     FOUL_KEYS,
+    GOAL_FIRST_KEYS,
     PLAYER_KEYS,
-    SCOREBOARD_KEYS,
     TOPIC_LIVE_CARD,
     TOPIC_LIVE_SCORE,
     TOPIC_PLAYER_PERFORMANCE,
     TOPIC_TEAM_STATS,
 )
+from matchstream.sinks import fs
+from matchstream.sinks.jdbc_merge import JdbcKeyedTable
 from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.kafka import read_kafka_stream
 from matchstream.streaming.queries import (
     fouls_stream,
+    goal_firsts_partition,
+    goal_firsts_stream,
     momentum_batch,
     player_stats_stream,
     player_table_rows,
-    scoreboard_stream,
     yellow_cards_stream,
 )
 from matchstream.streaming.runner import start_to_table
@@ -53,14 +62,23 @@ def topic_messages(
     topics_dir: str | None = None,
     kafka_servers: str | None = None,
     max_files_per_trigger: int | None = None,
+    starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Raw messages (column ``value``) of one topic."""
+    """Raw messages (column ``value``) of one topic.
+
+    The files of all topics are read from their common folder, so that the log
+    of a router stream tells which files are committed, and filtered on the
+    partition column; a topic without any message yet is simply empty.
+    """
     if kafka_servers:
-        return read_kafka_stream(spark, kafka_servers, topic).select("value")
-    reader = spark.readStream.schema("value string")
+        stream = read_kafka_stream(spark, kafka_servers, topic, starting_offsets, max_offsets_per_trigger)
+        return stream.select("value")
+    fs.make_directory(spark, topics_dir)
+    reader = spark.readStream.schema("value string, topic string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(f"{topics_dir.rstrip('/')}/topic={topic}")
+    return reader.parquet(topics_dir).where(F.col("topic") == topic).select("value")
 
 
 def start_router_stream(
@@ -75,7 +93,7 @@ def start_router_stream(
     A stateless, narrow query (append mode): each micro-batch's rows go
     straight from the tasks to ``topic=<name>`` folders or to Kafka.
     """
-    routed = route_topics(events).select("topic", "value")
+    routed = route_topics(events, with_event_id=True).select("topic", "value")
     writer = routed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if kafka_servers:
         writer = writer.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
@@ -84,10 +102,20 @@ def start_router_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _by_window_date():
+def by_window_date():
+    """One partition for each day of windows."""
     return ("window_date", F.to_date("window_start"))
 
 
+#: Partitions of tables whose keys have no time.
+KEY_BUCKETS = 64
+
+
+def by_key(keys: Sequence[str]):
+    """Partitions by hash of the key, so that a merge rewrites what it touches only."""
+    return ("key_bucket", F.format_string("%03d", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")))
+
+
 def start_match_streams(
     spark: SparkSession,
     out_dir: str,
@@ -95,38 +123,59 @@ def start_match_streams(
     kafka_servers: str | None = None,
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
-) -> dict[str, tuple[StreamingQuery, KeyedTable | str]]:
-    """Start every family's query; returns name -> (query, result table or path)."""
-    out = out_dir.rstrip("/")
+    starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+    jdbc: Callable[[str, Sequence[str]], JdbcKeyedTable] | None = None,
+) -> dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]]:
+    """Start every family's query; returns name -> (query, result table or path).
+
+    ``jdbc`` makes the database table of a name and keys; without it the results
+    are keyed file tables.  The yellow-card table with both flags needs whole
+    windows at each merge and stays a file table.  If one query can't start,
+    those that did are stopped.
+    """
+    started: dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]] = {}
+    try:
+        _start_all(
+            started, spark, out_dir.rstrip("/"), trigger, jdbc,
+            lambda topic: topic_messages(
+                spark, topic, topics_dir, kafka_servers, max_files_per_trigger, starting_offsets, max_offsets_per_trigger
+            ),
+        )
+    except BaseException:
+        for query, _ in started.values():
+            query.stop()
+        raise
+    return started
+
 
-    def parsed(topic: str) -> tuple[DataFrame, DataFrame]:
-        msgs = topic_messages(spark, topic, topics_dir, kafka_servers, max_files_per_trigger)
-        return parse_json_events(msgs, "value", ntz=True)
+def _start_all(started, spark, out, trigger, jdbc, messages) -> None:
+    def parsed(topic: str, with_event_id: bool = False) -> tuple[DataFrame, DataFrame]:
+        return parse_json_events(messages(topic), "value", with_event_id=with_event_id, ntz=True)
 
-    def table(name: str, keys, part=None) -> KeyedTable:
-        return KeyedTable(spark, f"{out}/{name}", keys, part)
+    def table(name: str, keys, part=None) -> KeyedTable | JdbcKeyedTable:
+        return jdbc(name, keys) if jdbc else KeyedTable(spark, f"{out}/{name}", keys, part)
 
     def ckpt(name: str) -> str:
         return f"{out}/_checkpoints/{name}"
 
-    started: dict[str, tuple[StreamingQuery, KeyedTable | str]] = {}
     quarantined = []
 
     fouls, bad = parsed(TOPIC_TEAM_STATS)
     quarantined.append(bad)
-    t = table("foul_stats", FOUL_KEYS, _by_window_date())
+    t = table("foul_stats", FOUL_KEYS, by_window_date())
     started["foul_stats"] = (start_to_table(fouls_stream(fouls), t, ckpt("foul_stats"), "update",
                                             trigger=trigger, query_name="foul_stats"), t)
 
     cards, bad = parsed(TOPIC_LIVE_CARD)
     quarantined.append(bad)
-    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, _by_window_date(), finalize=momentum_batch)
+    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, by_window_date(), finalize=momentum_batch)
     started["yellow_card_stats"] = (
         start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_card_stats"), "update",
                        trigger=trigger, query_name="yellow_card_stats"),
         t,
     )
-    t = table("yellow_momentum_stats", CARD_KEYS, _by_window_date())
+    t = table("yellow_momentum_stats", CARD_KEYS, by_window_date())
     started["yellow_momentum_stats"] = (
         start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_momentum_stats"), "append",
                        transform=momentum_batch, trigger=trigger, query_name="yellow_momentum_stats"),
@@ -135,19 +184,19 @@ def start_match_streams(
 
     plays, bad = parsed(TOPIC_PLAYER_PERFORMANCE)
     quarantined.append(bad)
-    t = table("player_performance_stats", PLAYER_KEYS)
+    t = table("player_performance_stats", PLAYER_KEYS, by_key(PLAYER_KEYS))
     started["player_performance_stats"] = (
         start_to_table(player_stats_stream(plays), t, ckpt("player_performance_stats"), "update",
                        transform=player_table_rows, trigger=trigger, query_name="player_performance_stats"),
         t,
     )
 
-    goals, bad = parsed(TOPIC_LIVE_SCORE)
+    goals, bad = parsed(TOPIC_LIVE_SCORE, with_event_id=True)
     quarantined.append(bad)
-    t = table("scoreboard", SCOREBOARD_KEYS)
-    started["scoreboard"] = (
-        start_to_table(scoreboard_stream(goals), t, ckpt("scoreboard"), "update",
-                       trigger=trigger, query_name="scoreboard"),
+    t = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition())
+    started["goal_firsts"] = (
+        start_to_table(goal_firsts_stream(goals), t, ckpt("goal_firsts"), "update",
+                       trigger=trigger, query_name="goal_firsts"),
         t,
     )
 
@@ -162,14 +211,27 @@ def start_match_streams(
         .trigger(**(trigger or {"availableNow": True}))
     )
     started["quarantine"] = (writer.start(), f"{out}/quarantine")
-    return started
 
 
-def await_all(started: dict[str, tuple[StreamingQuery, object]], timeout_s: float = 1800) -> None:
-    """Wait for every query (availableNow runs end by themselves); raise on failure."""
-    for name, (query, _) in started.items():
-        if query.awaitTermination(timeout_s) is False:
+def await_all(started: dict[str, tuple[StreamingQuery, object]], timeout_s: float | None = None) -> None:
+    """Wait for every query (availableNow runs end by themselves).
+
+    All are watched at once: when one fails, the others are stopped and its
+    error is raised.  There is no time limit unless one is given.
+    """
+    until = None if timeout_s is None else time.monotonic() + timeout_s
+    running = dict(started)
+    try:
+        while running:
+            for name, (query, _) in list(running.items()):
+                if query.isActive and query.awaitTermination(0.2) is False:
+                    continue
+                if query.exception() is not None:
+                    raise RuntimeError(f"{name}: {query.exception()}")
+                del running[name]
+            if running and until is not None and time.monotonic() > until:
+                raise TimeoutError(f"{', '.join(running)} did not finish")
+    except BaseException:
+        for query, _ in running.values():
             query.stop()
-            raise TimeoutError(f"{name} did not finish")
-        if query.exception() is not None:
-            raise RuntimeError(f"{name}: {query.exception()}")
+        raise

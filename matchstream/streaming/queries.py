@@ -8,8 +8,8 @@ watermark, the output mode, and — for the team flag — the per-batch step.
   (2 minutes by default) bounds the state and drops late rows.
 * player totals: unwindowed running sums, ``update`` mode — the state holds
   one row per (team, player), only changed players are emitted.
-* scoreboard: goals deduplicated on the event time within the watermark,
-  then summed per team, ``update`` mode.
+* scoreboard: the first goal of each event time, kept for ever (the exact
+  form: no goal comes too late), then summed per team.
 * yellow momentum: per-player window counts in ``append`` mode.  A window is
   emitted once, when the watermark passes its end, and *all* its rows leave
   the state in the same micro-batch; the team total is then an exact window
@@ -28,6 +28,7 @@ from matchstream.operators.fouls import fouls_tumbling
 from matchstream.operators.players import player_totals
 from matchstream.operators.scoreboard import goal_events
 from matchstream.schema import CARD_SLIDE, CARD_WINDOW, FOUL_WINDOW, WATERMARK_DELAY
+from matchstream.sinks.keyed_table import KeyedTable
 
 EVENT_TIME = "event_timestamp"
 
@@ -81,39 +82,44 @@ def player_table_rows(players: DataFrame) -> DataFrame:
     return renamed.fillna(0, subset=["goals", "assists", "shots_taken", "scoring_percentage"])
 
 
-def scoreboard_stream(events: DataFrame, delay: str = WATERMARK_DELAY, exact: bool = False) -> DataFrame:
+def scoreboard_stream(events: DataFrame, delay: str | None = None) -> DataFrame:
     """Output mode ``update``; ``team, goals``.
 
-    Goals are deduplicated on the event time.  ``exact=False`` keeps each
-    key in state only while it is within the watermark
-    (``dropDuplicatesWithinWatermark``); a replay of an expired key is itself
-    behind the watermark and dropped as late, so nothing counts twice.
-    ``exact=True`` uses ``dropDuplicates`` on the key.
+    Goals are deduplicated on the event time.  Without a ``delay`` the state
+    holds every event time for ever, as the original consumer did: no goal is
+    dropped as late and none counts twice.  With a ``delay`` the state is
+    bounded by a watermark, at the price that goals which come later than that
+    are lost.  Of several goals of one time the one read first counts; see
+    :func:`goal_firsts_stream` for the lowest event id.
     """
-    goals = goal_events(with_event_time(events)).withWatermark(EVENT_TIME, delay)
-    if exact:
+    goals = goal_events(with_event_time(events))
+    if delay is None:
         firsts = goals.dropDuplicates([EVENT_TIME])
     else:
-        firsts = goals.dropDuplicatesWithinWatermark([EVENT_TIME])
+        firsts = goals.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark([EVENT_TIME])
     return firsts.groupBy("team").agg(
         F.sum(F.coalesce(F.col("goals_scored"), F.lit(0))).cast("bigint").alias("goals")
     )
 
 
-def goal_firsts_stream(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+def goal_firsts_stream(events: DataFrame, delay: str | None = None) -> DataFrame:
     """Output mode ``update``; one row per goal timestamp: the lowest event id.
 
+    Exact without a ``delay``: the state keeps every goal time, none is late.
+    With one, goals later than that are dropped and the state is bounded.
+
     The hot-key-safe scoreboard form.  Deduplication is a streaming
     aggregation ``min(struct(event_id, team, goals))`` per timestamp, which
     Spark aggregates partially before the state shuffle, so a timestamp that
     carries a large share of a micro-batch is collapsed map-side (the
     ``dropDuplicates`` forms send every copy to one state partition).  It
-    also gives the batch rule exactly (lowest ``event_id`` within the
-    watermark).  Upsert the rows keyed by ``event_timestamp`` (partitioned by
+    also gives the batch rule exactly (lowest ``event_id``).  Upsert the rows keyed by ``event_timestamp`` (partitioned by
     :func:`goal_firsts_partition`) and read the board with
     :func:`scoreboard_from_firsts`.
     """
-    goals = goal_events(with_event_time(events)).withWatermark(EVENT_TIME, delay)
+    goals = goal_events(with_event_time(events))
+    if delay is not None:
+        goals = goals.withWatermark(EVENT_TIME, delay)
     first = F.min(F.struct("event_id", "team", F.coalesce(F.col("goals_scored"), F.lit(0)).alias("goals")))
     return goals.groupBy(EVENT_TIME).agg(first.alias("_f")).select(
         EVENT_TIME, F.col("_f.event_id").alias("event_id"), F.col("_f.team").alias("team"),
@@ -121,6 +127,25 @@ def goal_firsts_stream(events: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
     )
 
 
+def flush_open_windows(
+    table: KeyedTable, events: DataFrame, duration: str, slide: str, delay: str = WATERMARK_DELAY
+) -> None:
+    """At the end of a bounded replay: write the windows that the watermark never closed.
+
+    Append mode emits a window when the watermark passes its end; those that are
+    still open when the input ends (at most ``duration + delay`` of it) are
+    computed from the events of that last stretch and merged.
+    """
+    cards = card_events(with_event_time(events))
+    last = cards.agg(F.max(EVENT_TIME)).first()[0]
+    if last is None:
+        return
+    closed = F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+    stretch = cards.where(F.col(EVENT_TIME) >= closed - F.expr(f"INTERVAL {duration}"))
+    windows = yellow_cards_sliding(stretch, duration, slide).where(F.col("window_end") > closed)
+    table.merge(momentum_batch(windows))
+
+
 def goal_firsts_partition(granularity: str = "day") -> tuple[str, F.Column]:
     """Partitions of the firsts table: a merge rewrites the touched ones.
 

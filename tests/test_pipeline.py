@@ -16,8 +16,9 @@ from matchstream.operators import (
 )
 from matchstream.operators.cards import with_team_momentum_join
 from matchstream.operators.routing import write_routed_files
-from matchstream.plans.batch import register_views, run_match_report, team_card_totals_sql
+from matchstream.plans.batch import register_views, run_match_report
 from matchstream.sources.testdata import load_match_events_from_testdata
+from matchstream.streaming.queries import scoreboard_from_firsts
 from matchstream.streaming.pipeline import await_all, start_match_streams
 from matchstream.streaming.queries import player_table_rows
 from tests.conftest import SF001, SF01
@@ -53,18 +54,18 @@ def test_combined_report(spark, tmp_dir, persist):
 def test_sql_view_route_equals_join_form(spark):
     events = load_match_events_from_testdata(spark, SF001)
     register_views(spark, events, prefix="t_")
-    totals = team_card_totals_sql(spark, "t_yellow_stats")
+    totals = spark.sql("select window_start, window_end, team, sum(yellow_cards) as cards from t_yellow_stats group by all")
     cards = yellow_cards_sliding(events)
     via_sql = cards.join(totals, ["team", "window_start", "window_end"], "left").withColumn(
-        "team_momentum_lost", F.col("total_team_cards") > 3
-    ).drop("total_team_cards")
+        "team_momentum_lost", F.col("cards") > 3
+    ).drop("cards")
     assert _same(via_sql, with_team_momentum_join(cards))
 
 
 def test_topic_pipeline_equals_batch(spark, tmp_dir):
     events = load_match_events_from_testdata(spark, SF01)
     topics = os.path.join(tmp_dir, "topics")
-    write_routed_files(route_topics(events), topics)
+    write_routed_files(route_topics(events, with_event_id=True), topics)
     # two bad messages on the foul topic
     spark.createDataFrame([("{oops",), ('{"timestamp":"nope","event_type":"foul"}',)], "value string") \
         .write.mode("append").parquet(os.path.join(topics, "topic=team_stats_1min"))
@@ -77,9 +78,63 @@ def test_topic_pipeline_equals_batch(spark, tmp_dir):
                  yellow_momentum(events))
     assert _same(tables["player_performance_stats"].read(),
                  player_table_rows(player_totals(events, performance_only=True)))
-    assert _same(tables["scoreboard"].read(), scoreboard(events))
+    assert _same(scoreboard_from_firsts(tables["goal_firsts"].read()), scoreboard(events))
     last = events.where("event_type = 'yellow_card'").agg(F.max("event_timestamp")).first()[0]
     closed = yellow_momentum(events).where(F.col("window_end") <= F.lit(last - dt.timedelta(minutes=2)))
     assert _same(_ntz(tables["yellow_momentum_stats"].read(), "window_start", "window_end"), closed)
     bad = spark.read.parquet(tables["quarantine"])
     assert sorted(r.reason for r in bad.collect()) == ["bad_timestamp", "malformed_json"]
+
+
+def test_goals_only(spark, tmp_dir):
+    """A match without a card or foul yet: the other queries run on empty topics."""
+    events = load_match_events_from_testdata(spark, SF01, ["goal"])
+    topics = os.path.join(tmp_dir, "topics")
+    write_routed_files(route_topics(events, with_event_id=True).where("topic = 'live_score'"), topics)
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
+    await_all(started)
+    assert _same(scoreboard_from_firsts(started["goal_firsts"][1].read()), scoreboard(events))
+    assert started["foul_stats"][1].read() is None
+
+
+def test_no_topics_at_all(spark, tmp_dir):
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=os.path.join(tmp_dir, "none"))
+    await_all(started)
+    assert started["goal_firsts"][1].read() is None
+
+
+def test_one_failure_stops_the_others(spark, tmp_dir):
+    from matchstream.operators.routing import write_routed_files as write
+
+    topics = os.path.join(tmp_dir, "topics")
+    write(route_topics(load_match_events_from_testdata(spark, SF001), with_event_id=True), topics)
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics,
+                                  trigger={"processingTime": "1 second"})
+
+    def fail(batch, batch_id):
+        raise ValueError("broken sink")
+
+    rate = spark.readStream.format("rate").load().writeStream.foreachBatch(fail)
+    started["broken"] = (rate.option("checkpointLocation", os.path.join(tmp_dir, "ck")).start(), None)
+    with pytest.raises(RuntimeError, match="broken"):
+        await_all(started)
+    assert not any(q.isActive for q, _ in started.values())
+
+
+def test_database_sink(spark, tmp_dir):
+    from matchstream.sinks.jdbc_merge import JdbcKeyedTable
+
+    events = load_match_events_from_testdata(spark, SF001)
+    topics = os.path.join(tmp_dir, "topics")
+    write_routed_files(route_topics(events, with_event_id=True), topics)
+    url = f"jdbc:derby:{os.path.join(tmp_dir, 'db')};create=true"
+
+    def table(name, keys):
+        types = ", ".join(f"{k} VARCHAR(100)" for k in keys if k in ("team", "player")) or None
+        return JdbcKeyedTable(spark, url, name, keys, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
+                              column_types=types, query=name)
+
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics, jdbc=table)
+    await_all(started)
+    fouls = started["foul_stats"][1].read()
+    assert _same(_ntz(fouls, "window_start", "window_end"), fouls_tumbling(events))

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
+from matchstream.plans.registry import all_queries
 from matchstream.operators import player_totals, time_range
 from matchstream.sources.files import append_match_events
 from matchstream.sources.testdata import load_match_events_from_testdata
@@ -35,7 +36,7 @@ def test_type_filter_reaches_the_scan(spark, key, pushed):
 
 
 def test_no_cartesian_or_nested_loop_anywhere(spark):
-    for key, fn in entry_mod.queries().items():
+    for key, fn in all_queries().items():
         if key.startswith("stream_") or key == "load_match_events":
             continue
         plan = plan_text(fn(spark, SF01))

@@ -14,12 +14,13 @@ from matchstream.operators.cards import yellow_momentum
 from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.testdata import load_match_events_from_testdata
 from matchstream.streaming.catalog import event_stream
-from matchstream.streaming.progress import progress_rows, progress_summary
+from matchstream.streaming.progress import ProgressLog, progress_summary
 from matchstream.streaming.queries import (
     fouls_stream,
     momentum_batch,
     player_stats_stream,
     player_table_rows,
+    scoreboard_from_firsts,
     scoreboard_stream,
     yellow_cards_stream,
 )
@@ -210,12 +211,13 @@ def test_progress_summary(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     split_events(SF01, src, 2)
     table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team", "window_start"])
-    q = start_to_table(
-        fouls_stream(event_stream(spark, src, "foul", max_files_per_trigger=1, glob="*.parquet")),
-        table, os.path.join(tmp_dir, "ck"), query_name="fouls_progress_test",
-    )
-    q.awaitTermination(600)
-    summary = {r.query: r for r in progress_summary(progress_rows(spark, [q])).collect()}
+    with ProgressLog(spark, os.path.join(tmp_dir, "progress")) as log:
+        q = start_to_table(
+            fouls_stream(event_stream(spark, src, "foul", max_files_per_trigger=1, glob="*.parquet")),
+            table, os.path.join(tmp_dir, "ck"), query_name="fouls_progress_test",
+        )
+        q.awaitTermination(600)
+    summary = {r.query: r for r in progress_summary(log.rows()).collect()}
     assert summary["all"].input_rows == 10000
     assert summary["fouls_progress_test"].batches >= 2
     assert summary["all"].rows_per_s > 0
@@ -235,10 +237,10 @@ def test_router_stream_feeds_topic_pipeline(spark, tmp_dir):
     assert q.exception() is None
     routed = spark.read.parquet(topics)
     batch = load_match_events_from_testdata(spark, SF01)
-    assert _same(routed.select("topic", "value"), route_topics(batch).select("topic", "value"))
+    assert _same(routed.select("topic", "value"), route_topics(batch, with_event_id=True).select("topic", "value"))
     started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
     await_all(started)
-    assert _same(started["scoreboard"][1].read(), scoreboard(batch))
+    assert _same(scoreboard_from_firsts(started["goal_firsts"][1].read()), scoreboard(batch))
 
 
 def test_vacuum_keeps_referenced_versions(spark, tmp_dir):
@@ -306,7 +308,7 @@ def test_exact_dedup_mode_equals_batch(spark, tmp_dir):
     batch = load_match_events_from_testdata(spark, SF01)
     board = KeyedTable(spark, os.path.join(tmp_dir, "b"), ["team"])
     stream = event_stream(spark, src, "goal", max_files_per_trigger=1, glob="*.parquet")
-    run_available(scoreboard_stream(stream, exact=True), board, os.path.join(tmp_dir, "ck"))
+    run_available(scoreboard_stream(stream), board, os.path.join(tmp_dir, "ck"))
     assert _same(board.read(), scoreboard(batch))
 
 
