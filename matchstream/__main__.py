@@ -85,7 +85,8 @@ def cmd_stream(spark, args) -> None:
                                   max_files_per_trigger=args.max_files_per_trigger,
                                   starting_offsets=args.starting_offsets,
                                   max_offsets_per_trigger=args.max_offsets_per_trigger,
-                                  jdbc=_jdbc_tables(spark, args) if args.jdbc_url else None)
+                                  jdbc=_jdbc_tables(spark, args) if args.jdbc_url else None,
+                                  bucket=args.bucket)
     if args.available_now:
         await_all(started)
     else:
@@ -113,7 +114,7 @@ def cmd_serve(spark, args) -> None:
     )
     from matchstream.schema import CARD_KEYS, FOUL_KEYS, GOAL_FIRST_KEYS, PLAYER_KEYS
     from matchstream.sinks.keyed_table import KeyedTable
-    from matchstream.streaming.pipeline import by_key, by_window_date
+    from matchstream.streaming.pipeline import by_key, by_window
     from matchstream.streaming.queries import goal_firsts_partition, scoreboard_from_firsts
 
     def table(name, keys, part=None):
@@ -124,13 +125,13 @@ def cmd_serve(spark, args) -> None:
 
     view = args.view
     if view == "scoreboard":
-        firsts = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition()).read()
+        firsts = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition(args.bucket)).read()
         df = scoreboard_readout(None, spark) if firsts is None else scoreboard_from_firsts(firsts)
     elif view == "fouls":
-        rows = table("foul_stats", FOUL_KEYS, by_window_date()).read_newest(args.n)
+        rows = table("foul_stats", FOUL_KEYS, by_window(args.bucket)).read_newest(args.n)
         df = latest_fouls(rows_or_none_yet(rows, "team string, fouls long, window_start timestamp, window_end timestamp"), args.n)
     elif view == "cards":
-        rows = table("yellow_card_stats", CARD_KEYS, by_window_date()).read_newest(args.n)
+        rows = table("yellow_card_stats", CARD_KEYS, by_window(args.bucket)).read_newest(args.n)
         schema = "team string, player string, yellow_cards long, window_start timestamp, window_end timestamp, player_alert boolean"
         df = latest_yellow_cards(rows_or_none_yet(rows, schema), args.n)
     else:
@@ -199,6 +200,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--every", default="5 seconds")
     sp.add_argument("--max-files-per-trigger", type=int, default=None)
     sp.add_argument("--rocksdb", action="store_true")
+    sp.add_argument("--bucket", choices=["day", "hour"], default="day", help="partitions of the result tables")
     sp.add_argument("--starting-offsets", default="earliest")
     sp.add_argument("--max-offsets-per-trigger", type=int, default=None)
     sp.add_argument("--jdbc-url", help="write the result tables to a database")
@@ -211,6 +213,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--out", required=True)
     sp.add_argument("--view", choices=["scoreboard", "fouls", "cards", "players"], default="scoreboard")
     sp.add_argument("-n", type=int, default=20)
+    sp.add_argument("--bucket", choices=["day", "hour"], default="day", help="as the stream command's")
     return p
 
 

@@ -21,9 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# From this many windows per row on, "auto" counts by blocks instead of
-# fanning panes out (the fan-out costs panes x n rows).
-BLOCKS_FROM_RATIO = 32
+# With more windows per row than this, "auto" counts by blocks instead of
+# fanning panes out (the fan-out costs panes x n rows).  Both give the same rows.
+BLOCKS_ABOVE_RATIO = 32
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -172,6 +172,7 @@ def sliding_counts(
     name: str,
     strategy: str = "auto",
     cluster_by: Sequence[str] | None = None,
+    blocks_above: int = BLOCKS_ABOVE_RATIO,
 ) -> DataFrame:
     """Rows per (sliding window, keys): ``keys..., name, window_start, window_end``.
 
@@ -179,7 +180,7 @@ def sliding_counts(
     ``"panes"`` pre-aggregates slide-wide panes (needs slide | duration);
     ``"blocks"`` counts from panes by block prefix sums (see
     :func:`sliding_counts_by_blocks`); ``"auto"`` picks panes for small
-    ratios and blocks from ``BLOCKS_FROM_RATIO`` windows per row on.  ``cluster_by`` (panes only) names
+    ratios and blocks for more than ``blocks_above`` windows per row.  ``cluster_by`` (panes only) names
     columns among ``["window_start", *keys]`` to hash-partition the fanned-out
     panes by, so that a following per-window computation on those columns
     reuses the partitioning instead of shuffling again (with blocks, that
@@ -188,7 +189,7 @@ def sliding_counts(
     d, s = interval_micros(duration), interval_micros(slide)
     divisible = d % s == 0 and d > s
     if strategy == "auto" and divisible:
-        strategy = "blocks" if d // s > BLOCKS_FROM_RATIO else "panes"
+        strategy = "blocks" if d // s > blocks_above else "panes"
     if strategy == "blocks":
         return sliding_counts_by_blocks(df, time_col, duration, slide, keys, name)
     use_panes = strategy == "panes"

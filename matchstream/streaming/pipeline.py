@@ -102,9 +102,14 @@ def start_router_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def by_window_date():
-    """One partition for each day of windows."""
-    return ("window_date", F.to_date("window_start"))
+def by_window(bucket: str = "day"):
+    """One partition for each day or hour of windows.
+
+    A merge rewrites the partitions that its batch touches: days suit backfills
+    (few folders), hours a live stream, whose batches touch the last windows only.
+    """
+    fmt = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}[bucket]
+    return (f"window_{bucket}", F.date_format("window_start", fmt))
 
 
 #: Partitions of tables whose keys have no time.
@@ -126,18 +131,20 @@ def start_match_streams(
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     jdbc: Callable[[str, Sequence[str]], JdbcKeyedTable] | None = None,
+    bucket: str = "day",
 ) -> dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]]:
     """Start every family's query; returns name -> (query, result table or path).
 
     ``jdbc`` makes the database table of a name and keys; without it the results
-    are keyed file tables.  The yellow-card table with both flags needs whole
+    are keyed file tables, with partitions by ``bucket`` ("day" or "hour") of
+    their windows.  The yellow-card table with both flags needs whole
     windows at each merge and stays a file table.  If one query can't start,
     those that did are stopped.
     """
     started: dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]] = {}
     try:
         _start_all(
-            started, spark, out_dir.rstrip("/"), trigger, jdbc,
+            started, spark, out_dir.rstrip("/"), trigger, jdbc, bucket,
             lambda topic: topic_messages(
                 spark, topic, topics_dir, kafka_servers, max_files_per_trigger, starting_offsets, max_offsets_per_trigger
             ),
@@ -149,7 +156,7 @@ def start_match_streams(
     return started
 
 
-def _start_all(started, spark, out, trigger, jdbc, messages) -> None:
+def _start_all(started, spark, out, trigger, jdbc, bucket, messages) -> None:
     def parsed(topic: str, with_event_id: bool = False) -> tuple[DataFrame, DataFrame]:
         return parse_json_events(messages(topic), "value", with_event_id=with_event_id, ntz=True)
 
@@ -163,19 +170,19 @@ def _start_all(started, spark, out, trigger, jdbc, messages) -> None:
 
     fouls, bad = parsed(TOPIC_TEAM_STATS)
     quarantined.append(bad)
-    t = table("foul_stats", FOUL_KEYS, by_window_date())
+    t = table("foul_stats", FOUL_KEYS, by_window(bucket))
     started["foul_stats"] = (start_to_table(fouls_stream(fouls), t, ckpt("foul_stats"), "update",
                                             trigger=trigger, query_name="foul_stats"), t)
 
     cards, bad = parsed(TOPIC_LIVE_CARD)
     quarantined.append(bad)
-    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, by_window_date(), finalize=momentum_batch)
+    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, by_window(bucket), finalize=momentum_batch)
     started["yellow_card_stats"] = (
         start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_card_stats"), "update",
                        trigger=trigger, query_name="yellow_card_stats"),
         t,
     )
-    t = table("yellow_momentum_stats", CARD_KEYS, by_window_date())
+    t = table("yellow_momentum_stats", CARD_KEYS, by_window(bucket))
     started["yellow_momentum_stats"] = (
         start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_momentum_stats"), "append",
                        transform=momentum_batch, trigger=trigger, query_name="yellow_momentum_stats"),
@@ -193,7 +200,7 @@ def _start_all(started, spark, out, trigger, jdbc, messages) -> None:
 
     goals, bad = parsed(TOPIC_LIVE_SCORE, with_event_id=True)
     quarantined.append(bad)
-    t = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition())
+    t = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition(bucket))
     started["goal_firsts"] = (
         start_to_table(goal_firsts_stream(goals), t, ckpt("goal_firsts"), "update",
                        trigger=trigger, query_name="goal_firsts"),
