@@ -266,17 +266,18 @@ def _fetch(text: str, total_blocks: int):
 
 
 def _expand(t: pa.Table) -> pa.Table:
-    """One block: the repeated windows of segments that aren't repeated as a whole, as runs."""
+    """One block: the repeated windows of segments that aren't repeated as a whole, as runs packed by chunk."""
     strings = t["bytes"].to_pylist()
     places = zip(*(t[c].to_pylist() for c in ("chunk", "row", "at", "whole")))
-    rows = []
+    runs: dict[int, list[tuple[int, int, int]]] = {}
     for (chunk, row, at, whole), repeated in zip(places, repeated_windows(strings, LENGTH), strict=True):
         if not whole and repeated.any():
             edge = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
             starts = np.flatnonzero(edge == 1)
-            rows += [(chunk, row, at + a, b - a) for a, b in zip(starts.tolist(), np.flatnonzero(edge == -1).tolist())]
-    columns = zip(*rows) if rows else [[]] * 4
-    return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["chunk", "row", "first", "windows"])
+            own = runs.setdefault(chunk, [])
+            own += [(row, at + a, b - a) for a, b in zip(starts.tolist(), np.flatnonzero(edge == -1).tolist())]
+    packed = [np.array(r, np.int64).tobytes() for r in runs.values()]
+    return pa.table({"chunk": pa.array(list(runs), pa.int64()), "runs": pa.array(packed, pa.binary())})
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary"
@@ -299,16 +300,14 @@ def _remove(text: str, others: list[str], with_kept: bool):
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         flags = _Known(known.filter(pa.array([x is not None for x in known["anchor"].to_pylist()], pa.bool_())))
-        runs: dict[int, list[tuple[int, int]]] = {}
-        for row, first, windows in zip(*(known[c].to_pylist() for c in ("row", "first", "windows"))):
-            if row is not None:
-                runs.setdefault(row, []).append((first, windows))
+        runs = np.frombuffer(b"".join(r for r in known["runs"].to_pylist() if r is not None), np.int64).reshape(-1, 3)
+        runs = runs[np.argsort(runs[:, 0], kind="stable")]
         out: list[tuple] = []
         for row, data in zip(docs["_row"].to_pylist(), utf8(docs[text]), strict=True):
             first, count, anchor, content = segments(data)
             whole = (flags.of(anchor, content)[1] & _WHOLE) > 0
-            more = np.array(runs.get(row, []), np.int64).reshape(-1, 2)
-            spans, kept = _cover(data, np.concatenate([first[whole], more[:, 0]]), np.concatenate([count[whole], more[:, 1]]))
+            more = runs[slice(*np.searchsorted(runs[:, 0], [row, row + 1]))]
+            spans, kept = _cover(data, np.concatenate([first[whole], more[:, 1]]), np.concatenate([count[whole], more[:, 2]]))
             out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans, kept if with_kept else None))
         columns = list(zip(*out)) if out else [[]] * 6
         kinds = [pa.int64()] * 3 + [pa.string(), kind, pa.binary()]
@@ -349,13 +348,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = True)
     fetched = lean.groupBy("_chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
         _fetch(text, total_blocks), "block long, chunk long, row long, at long, whole boolean, bytes binary"
     )
-    runs = fetched.groupBy("block").applyInArrow(_expand, "chunk long, row long, first long, windows long")
+    runs = fetched.groupBy("block").applyInArrow(_expand, "chunk long, runs binary")
     runs = stored(runs, "repeat-runs")
     nothing = [F.lit(None).cast("binary").alias(c) for c in ("anchor", "content", "flags", "blocks")]
-    known = counted.select(
-        "chunk", "anchor", "content", "flags", "blocks",
-        *[F.lit(None).cast("long").alias(c) for c in ("row", "first", "windows")],
-    ).unionByName(runs.select("chunk", *nothing, "row", "first", "windows"))
+    known = counted.select("chunk", "anchor", "content", "flags", "blocks", F.lit(None).cast("binary").alias("runs"))
+    known = known.unionByName(runs.select("chunk", *nothing, "runs"))
     fields = [f for f in docs.schema.fields if f.name in others]
     return chunked.groupBy("_chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _remove(text, others, with_kept), StructType(fields + result.fields)
