@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,8 @@ from matchstream.session import scratch_path
 #: whole texts, so the default of 10,000 rows could be gigabytes.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
+#: Bytes of text in a chunk of documents.
+CHUNK_BYTES = 2 << 20
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -76,16 +78,42 @@ def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, LongType())]))
 
 
+def chunked(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the number of each row and of its chunk of about ``CHUNK_BYTES`` of text.
+
+    The numbers are those of ``numbered``, and the same in each run.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = chunk = first_row()
+        held = 0
+        for b in batches:
+            chunks = []
+            for data in utf8(b.column(text)):
+                if held and held + len(data) > CHUNK_BYTES:
+                    chunk, held = row, 0
+                held += len(data)
+                chunks.append(chunk)
+                row += 1
+            rows = np.arange(row - b.num_rows, row)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(rows), pa.array(chunks, pa.int64())], names=[*b.schema.names, "_row", "_chunk"]
+            )
+
+    new = [StructField("_row", LongType()), StructField("_chunk", LongType())]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *new]))
+
+
 def reducers(spark: SparkSession) -> int:
     """The number of shuffle partitions that the session is sized for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_columns_of(docs: DataFrame, prefix: str, names: Iterable[str]) -> None:
-    """Fail early if ``docs`` has columns that an operator adds itself."""
-    taken = [c for c in docs.columns if c.startswith(prefix)]
+def no_reserved_columns(docs: DataFrame) -> None:
+    """Fail early if ``docs`` has columns of the kind that operators add themselves."""
+    taken = [c for c in docs.columns if c.startswith("_")]
     if taken:
-        raise ValueError(f"columns starting with {prefix!r} are reserved, found {taken} (adding {list(names)})")
+        raise ValueError(f"column names that start with an underscore are reserved: {taken}")
 
 
 def texts(column: pa.Array) -> list[str]:

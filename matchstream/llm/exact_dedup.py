@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from matchstream.llm.common import first_row, prepare, stored, table, utf8, with_columns_of
+from matchstream.llm.common import first_row, no_reserved_columns, prepare, stored, table, utf8
 
 #: Bytes of text that a trie holds in memory before subtrees are spilled.
 TRIE_BYTES = 48 << 20
@@ -237,7 +237,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = docs.sparkSession
     prepare(spark)
-    with_columns_of(docs, "_", _MARKS.names)
+    no_reserved_columns(docs)
     new = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.select(*[c for c in docs.columns if c not in new])
     marked = stored(_mark(docs, id_col, text_col), "exact-dedup")

@@ -25,21 +25,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from matchstream.llm.bwt import repeated_windows
-from matchstream.llm.common import first_row, mixed, prepare, reducers, stored, table, utf8
+from matchstream.llm.common import chunked, mixed, no_reserved_columns, prepare, reducers, stored, table, utf8
 
 LENGTH = 200
 GRAM = 64
-#: Bytes of text in a chunk of documents, and in a piece of a long document.
-CHUNK_BYTES, PIECE_BYTES = 2 << 20, 1 << 20
+#: Bytes of a long document that are looked at at once.
+PIECE_BYTES = 1 << 20
 #: Bytes of segments in a block of the transform.
 BLOCK_BYTES = 1 << 19
 #: An anchor with more different segments is dealt window by window.
 MOST_SEGMENTS = 1024
 
-_U64, _U32, _U8 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1")
+_U64, _I64, _U32, _U8 = np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1")
 _VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xDA942042E4DD58B5
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
@@ -105,29 +105,7 @@ def _repeat(values: pa.ChunkedArray, sizes: pa.ChunkedArray, width: int) -> np.n
     return np.repeat(np.array(values.to_pylist(), np.int64), [len(x) // width for x in sizes.to_pylist()])
 
 
-def _chunked(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with the number of each row and of its chunk of about ``CHUNK_BYTES``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = chunk = first_row()
-        held = 0
-        for b in batches:
-            chunks = []
-            for data in utf8(b.column(text)):
-                if held and held + len(data) > CHUNK_BYTES:
-                    chunk, held = row, 0
-                held += len(data)
-                chunks.append(chunk)
-                row += 1
-            rows = np.arange(row - b.num_rows, row)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(rows), pa.array(chunks, pa.int64())], names=[*b.schema.names, "_row", "_chunk"]
-            )
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_row", LongType()), StructField("_chunk", LongType())]))
-
-
-def _hash_blobs(chunked: DataFrame, text: str, buckets: int) -> DataFrame:
+def _hash_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
     """The distinct segments of each chunk, packed by bucket of the anchor, and whether the chunk has them twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +142,7 @@ def _hash_blobs(chunked: DataFrame, text: str, buckets: int) -> DataFrame:
         if found:
             yield packed(chunk, found)
 
-    return chunked.mapInArrow(
+    return docs.mapInArrow(
         run, "bucket int, chunk long, anchor binary, content binary, windows binary, twice binary"
     )
 
@@ -232,15 +210,19 @@ class _Known:
         return at, np.where(self.key[at] == key, self.flags[at], 0)
 
 
+_PACKED = "block long, chunk long, rows binary, ats binary, sizes binary, whole binary, bytes binary"
+
+
 def _fetch(text: str, total_blocks: int):
-    """Per chunk: the bytes of the segments to be fetched, with their block."""
+    """Per chunk: the bytes of the segments to be fetched, packed by block."""
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        rows: list[tuple] = []
+        blocks: dict[int, list[tuple]] = {}
+        chunk = docs["_chunk"][0].as_py() if docs.num_rows else 0
         if known.num_rows:
             flags = _Known(known)
             done = np.zeros(len(flags.key), bool)
-            for chunk, row, data in zip(docs["_chunk"].to_pylist(), docs["_row"].to_pylist(), utf8(docs[text]), strict=True):
+            for row, data in zip(docs["_row"].to_pylist(), utf8(docs[text]), strict=True):
                 first, count, anchor, content = segments(data)
                 at, flag = flags.of(anchor, content)
                 for i in np.flatnonzero(flag & _FETCH).tolist():
@@ -250,16 +232,24 @@ def _fetch(text: str, total_blocks: int):
                     a, n, parts = int(first[i]), int(count[i]), int(flags.blocks[at[i]])
                     whole = bool(flag[i] & _WHOLE)
                     if not parts:
-                        rows.append((int(anchor[i] % np.uint64(total_blocks)), chunk, row, a, whole, data[a : a + n + LENGTH - 1]))
+                        block = int(anchor[i] % np.uint64(total_blocks))
+                        blocks.setdefault(block, []).append((row, a, whole, data[a : a + n + LENGTH - 1]))
                         continue
                     for p in range(a, a + n):
                         window = data[p : p + LENGTH]
                         part = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little") % parts
                         block = int(mixed(anchor[i : i + 1] + np.uint64(part + 1))[0] % np.uint64(total_blocks))
-                        rows.append((block, chunk, row, p, whole, window))
-        columns = zip(*rows) if rows else [[]] * 6
-        kinds = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
-        names = ["block", "chunk", "row", "at", "whole", "bytes"]
+                        blocks.setdefault(block, []).append((row, p, whole, window))
+        packed = []
+        for block, own in blocks.items():
+            rows, ats, whole, strings = zip(*own)
+            sizes = np.array([len(x) for x in strings])
+            packed.append(
+                (block, chunk, _pack(np.array(rows), _I64), _pack(np.array(ats), _I64), _pack(sizes, _U32), bytes(whole), b"".join(strings))
+            )
+        columns = zip(*packed) if packed else [[]] * 7
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 5
+        names = [f.split()[0] for f in _PACKED.split(", ")]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
@@ -267,8 +257,12 @@ def _fetch(text: str, total_blocks: int):
 
 def _expand(t: pa.Table) -> pa.Table:
     """One block: the repeated windows of segments that aren't repeated as a whole, as runs packed by chunk."""
-    strings = t["bytes"].to_pylist()
-    places = zip(*(t[c].to_pylist() for c in ("chunk", "row", "at", "whole")))
+    strings: list[bytes] = []
+    for sizes, data in zip(t["sizes"].to_pylist(), t["bytes"].to_pylist()):
+        ends = np.cumsum(np.frombuffer(sizes, _U32), dtype=np.int64)
+        strings += [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    chunks = np.repeat(np.array(t["chunk"].to_pylist(), np.int64), [len(x) // 4 for x in t["sizes"].to_pylist()])
+    places = zip(chunks.tolist(), _all(t["rows"], _I64).tolist(), _all(t["ats"], _I64).tolist(), _all(t["whole"], _U8).tolist())
     runs: dict[int, list[tuple[int, int, int]]] = {}
     for (chunk, row, at, whole), repeated in zip(places, repeated_windows(strings, LENGTH), strict=True):
         if not whole and repeated.any():
@@ -334,19 +328,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = True)
     """
     spark = docs.sparkSession
     prepare(spark)
+    no_reserved_columns(docs)
     result = StructType.fromDDL(_RESULT)
     others = [c for c in docs.columns if c != text and c not in result.names]
-    chunked = _chunked(docs.select(*others, text), text)
-    blobs = _hash_blobs(_chunked(docs.select(text), text), text, 4 * reducers(spark))
+    blobs = _hash_blobs(chunked(docs.select(text), text), text, 4 * reducers(spark))
     counted = blobs.groupBy("bucket").applyInArrow(
         _count_bucket, "chunk long, anchor binary, content binary, flags binary, blocks binary, size long"
     )
     counted = stored(counted, "repeat-segments")
     size = counted.agg(F.sum("size")).first()[0] or 0
     total_blocks = max(1, -(-size // BLOCK_BYTES))
-    lean = _chunked(docs.select(text), text)
+    lean = chunked(docs.select(text), text)
     fetched = lean.groupBy("_chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
-        _fetch(text, total_blocks), "block long, chunk long, row long, at long, whole boolean, bytes binary"
+        _fetch(text, total_blocks), _PACKED
     )
     runs = fetched.groupBy("block").applyInArrow(_expand, "chunk long, runs binary")
     runs = stored(runs, "repeat-runs")
@@ -354,7 +348,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = True)
     known = counted.select("chunk", "anchor", "content", "flags", "blocks", F.lit(None).cast("binary").alias("runs"))
     known = known.unionByName(runs.select("chunk", *nothing, "runs"))
     fields = [f for f in docs.schema.fields if f.name in others]
-    return chunked.groupBy("_chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+    return chunked(docs.select(*others, text), text).groupBy("_chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _remove(text, others, with_kept), StructType(fields + result.fields)
     )
 
