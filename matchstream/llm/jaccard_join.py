@@ -421,6 +421,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near copies stays, five words and 0.8."""
-    first = jaccard_groups(docs, 5, (80, 100)).where("first").select(F.col("row").alias("_row"))
-    return numbered(docs).join(first, "_row", "left_semi").select(*docs.columns)
+    """Pipeline stage: one document of each group of near copies stays, five words and 0.8.
+
+    The rows that go are written first, so that the size of that table is known
+    when the join with the texts is planned.
+    """
+    gone = jaccard_groups(docs, 5, (80, 100)).where("not first").select(F.col("row").alias("_row"))
+    return numbered(docs).join(stored(gone, "jaccard-gone"), "_row", "left_anti").select(*docs.columns)
