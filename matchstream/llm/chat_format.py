@@ -20,12 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer, processors
 
-from matchstream.llm.common import prepare, table
+from matchstream.llm.common import pieces, prepare, table
 
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: The role whose texts are under the loss mask.
 LEARNED_ROLE = "assistant"
 
+#: Characters that are encoded at once.
+CHUNK_CHARS = 1 << 17
+
 _OPENING = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(SEPARATOR) + "(.*?)" + re.escape(END), re.DOTALL)
@@ -126,30 +129,29 @@ def format_conversations(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(SparkFiles.get(name))
-        ints, flags = pa.list_(pa.int32()), pa.list_(pa.bool_())
+        names = [conv, *(f.split()[0] for f in FORMATTED.split(", "))]
         for b in batches:
             turns = [list(zip(r, t)) for r, t in zip(b.column("roles").to_pylist(), b.column("texts").to_pylist())]
             made = [render(t) for t in turns]
-            encoded = tok.encode_batch([m[0] for m in made], add_special_tokens=False)
-            ids, masks, firsts, lasts = [], [], [], []
-            for e, (_, starts, ends) in zip(encoded, made):
-                offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
-                ids.append(e.ids)
-                masks.append(masked(offsets, starts, ends))
-                firsts.append(offsets[:, 0])
-                lasts.append(offsets[:, 1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(conv),
-                    pa.array([len(t) for t in turns], pa.int64()),
-                    pa.array([m[0] for m in made], pa.string()),
-                    pa.array(ids, ints),
-                    pa.array(masks, flags),
-                    pa.array(firsts, ints),
-                    pa.array(lasts, ints),
-                ],
-                names=[conv, *(f.split()[0] for f in FORMATTED.split(", "))],
-            )
+            # An encoding takes many times the memory of its text: a few at a time.
+            for i, j in pieces([len(m[0]) for m in made], CHUNK_CHARS):
+                ids, masks, offsets = [], [], []
+                for e, (_, starts, ends) in zip(tok.encode_batch([m[0] for m in made[i:j]], add_special_tokens=False), made[i:j]):
+                    ids.append(np.array(e.ids, np.int32))
+                    offsets.append(np.array(e.offsets, np.int32).reshape(-1, 2))
+                    masks.append(masked(offsets[-1], starts, ends))
+                bounds = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                both = np.concatenate(offsets)
+                columns = [np.concatenate(ids), np.concatenate(masks), both[:, 0].copy(), both[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column(conv).slice(i, j - i),
+                        pa.array([len(t) for t in turns[i:j]], pa.int64()),
+                        pa.array([m[0] for m in made[i:j]], pa.string()),
+                        *(pa.ListArray.from_arrays(bounds, pa.array(c)) for c in columns),
+                    ],
+                    names=names,
+                )
 
     return grouped.mapInArrow(run, f"{conv} {grouped.schema[conv].dataType.simpleString()}, {FORMATTED}")
 
@@ -157,9 +159,10 @@ def format_conversations(
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a formatted conversation holds, read back from it."""
     for b in batches:
-        columns = ("formatted", "token_starts", "token_ends", "loss_mask")
+        columns = ("token_starts", "token_ends", "loss_mask")
         turns, chars, losses, sizes = [], [], [], []
-        for formatted, starts, ends, mask in zip(*(b.column(c).to_pylist() for c in columns)):
+        for i in range(b.num_rows):
+            formatted, (starts, ends, mask) = b.column("formatted")[i].as_py(), (b.column(c)[i].as_py() for c in columns)
             said = "".join(f"{role}\n{text}\n" for role, text in read_turns(formatted))
             turns.append(hashlib.sha256(said.encode()).hexdigest())
             loss = read_loss(formatted, starts, ends, mask)
