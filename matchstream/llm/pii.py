@@ -78,18 +78,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # ---------------------------------------------------------------- tokens and shapes
 
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
-_TRIGGER = re.compile(r"[0-9@]+")
-#: Characters on either side of a digit or an @ that are labelled with it.
+_TRIGGER = re.compile(r"[0-9]+")
+#: Address characters with single spaces between: what a spaced-out address around an @ consists of.
+_RUN = re.compile(r"[\w.%+@-]+(?: [\w.%+@-]+)*")
+#: Characters on either side of a digit, or of the run of an @, that are labelled with it.
 CONTEXT = 24
 
 
+def _places(text: str) -> list[tuple[int, int]]:
+    """Where digits and the whole runs around each ``@`` are."""
+    found = [m.span() for m in _TRIGGER.finditer(text)]
+    at = text.find("@")
+    while at >= 0:
+        first, last = text.rfind("\n", 0, at) + 1, text.find("\n", at)
+        last = len(text) if last < 0 else last
+        found += [m.span() for m in _RUN.finditer(text, first, last) if "@" in m.group()]
+        at = text.find("@", last)
+    return sorted(found)
+
+
 def windows(text: str) -> Iterator[tuple[int, int]]:
-    """The parts of a text around digits and ``@``; overlapping ones are joined."""
+    """The parts of a text around digits and ``@``, in whole words; overlapping ones are joined."""
     start = end = -1
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+    for a, b in _places(text):
+        a, b = max(0, a - CONTEXT), min(len(text), b + CONTEXT)
+        while a > max(end, 0) and text[a - 1].isalnum() and text[a].isalnum():
+            a -= 1
+        if b > end:
+            while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+                b += 1
         if a <= end:
-            end = b
+            end = max(end, b)
         else:
             if end >= 0:
                 yield start, end
@@ -99,13 +118,8 @@ def windows(text: str) -> Iterator[tuple[int, int]]:
 
 
 def tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """Spans of digits, letters or single signs; those cut by the window's edges are left out."""
-    found = [m.span() for m in _TOKEN.finditer(text, start, end)]
-    if found and start and found[0][0] == start and (text[start - 1].isalnum() and text[start].isalnum()):
-        found = found[1:]
-    if found and end < len(text) and found[-1][1] == end and (text[end].isalnum() and text[end - 1].isalnum()):
-        found = found[:-1]
-    return found
+    """Spans of digits, letters or single signs."""
+    return [m.span() for m in _TOKEN.finditer(text, start, end)]
 
 
 def shape(word: str) -> str:
@@ -139,8 +153,8 @@ def features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
 
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _INDEX = {label: i for i, label in enumerate(LABELS)}
-#: Sequences decoded at once.
-DECODED = 2048
+#: Sequences decoded at once, and their places, padding included.
+DECODED, PLACES = 2048, 1 << 16
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -170,8 +184,11 @@ class Field:
         """The best labels of each sequence, by Viterbi over batches of similar length."""
         out: list[list[int]] = [[] for _ in rows]
         order = sorted((i for i, r in enumerate(rows) if r), key=lambda i: len(rows[i]))
-        for at in range(0, len(order), DECODED):
-            some = order[at : at + DECODED]
+        while order:
+            n = min(DECODED, len(order))
+            while n > 1 and n * len(rows[order[n - 1]]) > PLACES:
+                n = max(1, min(n - 1, PLACES // len(rows[order[n - 1]])))
+            some, order = order[:n], order[n:]
             encoded, lengths = self.encode([rows[i] for i in some])
             score = self.scores(encoded)
             best = score[:, 0] + self.steps[-1][None, :]
