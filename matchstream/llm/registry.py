@@ -11,6 +11,7 @@ from matchstream.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    fill_middle,
     fuzzy_lines,
     jaccard_join,
     language_id,
@@ -30,9 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_language_id": language_id.op9_language_id,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op6_chat_format": chat_format.OP6_SQL,
+    "op13_fill_middle": fill_middle.OP13_SQL,
 }
