@@ -16,6 +16,7 @@ from matchstream.llm import (
     jaccard_join,
     language_id,
     link_graph,
+    packing,
     pii,
     suffix_dedup,
 )
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_language_id": language_id.op9_language_id,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op12_packing": packing.op12_packing,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 

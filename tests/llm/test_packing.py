@@ -1,0 +1,172 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_data import words
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from matchstream.llm import packing as X
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def tokenizer():
+    own = Tokenizer.from_file(PATH)
+    own.encode_special_tokens = True
+    return own
+
+
+def greedy(lengths, capacity):
+    """Room left in each sequence, packed piece by piece."""
+    large = sorted((n for n in lengths if 3 * n > capacity), reverse=True)
+    rooms = []
+    while large:
+        n = large.pop(0)
+        mate = next((m for m in large if m <= capacity - n), None)
+        if mate is not None:
+            large.remove(mate)
+        rooms.append(capacity - n - (mate or 0))
+    for n in sorted((n for n in lengths if 3 * n <= capacity), reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - n)
+        else:
+            rooms.append(capacity - n)
+    return sorted(rooms)
+
+
+def placed(plan, counts):
+    """(sequence, place, length) of each piece of a plan."""
+    n, rank, each, first, at = plan.arrays()
+    out = []
+    for length, count in counts.items():
+        own = np.flatnonzero(n == length)
+        stops = np.append(rank[own][1:], count)
+        for step, stop in zip(own, stops):
+            nth = np.arange(stop - rank[step])
+            out += zip((first[step] + nth // each[step]).tolist(), (at[step] + nth % each[step] * length).tolist(), [length] * len(nth))
+    return out
+
+
+def check_layout(rows, capacity):
+    """No overlap, no gap, none too long; returns the number of sequences."""
+    by_sequence = {}
+    for sequence, at, n in rows:
+        by_sequence.setdefault(sequence, []).append((at, n))
+    for own in by_sequence.values():
+        own.sort()
+        end = 0
+        for at, n in own:
+            assert at == end
+            end += n
+        assert end <= capacity
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    return len(by_sequence)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plan_equals_piece_by_piece(seed):
+    draw = random.Random(seed)
+    capacity = draw.choice([7, 20, 64, 100])
+    top = draw.choice([capacity, capacity // 2, capacity // 3 + 1])
+    lengths = [draw.randint(1, max(1, top)) for _ in range(draw.randint(0, 400))]
+    if seed % 3 == 0:
+        lengths += [draw.randint(1, capacity)] * 150  # one hot length
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    plan = X.Plan(counts, capacity)
+    rows = placed(plan, counts)
+    assert len(rows) == len(lengths)
+    assert check_layout(rows, capacity) == plan.sequences == len(greedy(lengths, capacity))
+    full = {}
+    for sequence, _, n in rows:
+        full[sequence] = full.get(sequence, 0) + n
+    assert sorted(capacity - v for v in full.values()) == greedy(lengths, capacity)
+
+
+def test_large_pieces_are_matched_as_often_as_possible():
+    def most(left):
+        if len(left) < 2:
+            return 0
+        n, *rest = left
+        pairs = [1 + most([x for j, x in enumerate(rest) if j != i]) for i, m in enumerate(rest) if n + m <= 30]
+        return max([most(rest), *pairs])
+
+    draw = random.Random(3)
+    for _ in range(60):
+        lengths = [draw.randint(11, 30) for _ in range(8)]
+        plan = X.Plan({n: lengths.count(n) for n in set(lengths)}, 30)
+        assert plan.sequences == len(lengths) - most(lengths)
+
+
+def test_size_of_a_plan_does_not_grow_with_the_counts():
+    draw = random.Random(9)
+    shape = {n: draw.randint(0, 60) for n in range(1, 2049)}
+    few = X.Plan(shape).arrays()[0]
+    many = X.Plan({n: 10**7 * c + draw.randint(0, 9) for n, c in shape.items()}).arrays()[0]
+    assert len(few) < 100_000 and len(many) < 100_000
+
+
+def test_pieces_and_sequences(make_docs):
+    tok = tokenizer()
+    long = words(9000, 4)
+    texts = [None, "", "a", "<|endoftext|> b", long, "é日本🙂\n\n  x", "1" * 5000, *(words(n, n) for n in range(1, 300, 7)), *["copy of one"] * 500]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "again"), (None, "no id"), (None, None)]
+    docs = make_docs(rows).select("doc_id", "text", F.lit("mine").alias("offset"), F.lit("x").alias("Piece"), "lang")
+    made = X.tokenized(docs, PATH, capacity=64)
+    assert made.columns == ["doc_id", "offset", "lang", "piece", "start", "length", "ids"]
+    packed = X.pack(made, capacity=64)
+    got = packed.collect()
+    assert check_layout([(r.sequence_id, r.offset, r.length) for r in got], 64)
+    want = []
+    for i, t in rows:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        first = (len(ids) - 1) % 64 + 1
+        cuts = [0, *range(first, len(ids) + 1, 64)]
+        want += [(i, k, a, np.array(ids[a:b], "<u4").tobytes()) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert sorted(((r.doc_id, r.piece, r.start, bytes(r.ids)) for r in got), key=str) == sorted(want, key=str)
+    assert all(len(r.ids) == 4 * r.length for r in got)
+    whole = {r.sequence_id: r for r in X.sequences(packed).collect()}
+    for r in got:
+        assert bytes(whole[r.sequence_id].ids)[4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids)
+    assert sum(sum(w.lengths) for w in whole.values()) == sum(r.length for r in got)
+
+
+def test_long_texts_are_encoded_in_parts():
+    tok = tokenizer()
+    draw = random.Random(6)
+    for text in (words(60_000, 1), "".join(draw.choice(["a b", "  ", "\n", "it's ", "12", " é", ".", " the"]) for _ in range(120_000)), "x" * 300_000):
+        got = next(X.encode(tok, [text], 0))
+        assert got.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 0]
+    assert len(X._parts(words(60_000, 1))) > 1
+
+
+def test_lengths_that_cannot_be_packed_and_empty_tables(spark, make_docs):
+    rows = [(1, 5), (2, None), (3, 0), (4, 11), (5, -2), (6, 10), (7, 5)]
+    got = {r.id: (r.sequence_id, r.offset) for r in X.pack(spark.createDataFrame(rows, "id long, length int"), capacity=10).collect()}
+    assert all(got[i] == (None, None) for i in (2, 3, 4, 5))
+    assert got[1][0] == got[7][0] and {got[1][1], got[7][1]} == {0, 5} and got[6][1] == 0
+    assert X.pack(spark.createDataFrame([], "length int"), capacity=10).count() == 0
+    assert X.pack(X.tokenized(make_docs([]), PATH)).count() == 0
+
+
+def test_query(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = X.op12_packing(spark, sf_dir).collect()
+    n = check_layout([(r.sequence_id, r.offset, r.length) for r in got], 2048)
+    assert n == len(greedy([r.length for r in got], 2048))
+    tok = tokenizer()
+    by_doc = {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(docs)
+    for doc_id, rows in by_doc.items():
+        ids = np.array([*tok.encode(docs[doc_id] or "", add_special_tokens=False).ids, 0], "<u4")
+        rows.sort(key=lambda r: r.piece)
+        assert [r.piece for r in rows] == list(range(len(rows)))
+        assert sum(r.length for r in rows) == len(ids) and all(r.length == 2048 for r in rows[1:])
+        for r in rows:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
