@@ -16,6 +16,7 @@ from matchstream.llm import (
     jaccard_join,
     language_id,
     link_graph,
+    merkle,
     packing,
     pii,
     suffix_dedup,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_language_id": language_id.op9_language_id,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_merkle": merkle.op11_merkle,
     "op12_packing": packing.op12_packing,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
@@ -39,5 +41,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op6_chat_format": chat_format.OP6_SQL,
+    "op11_merkle": merkle.OP11_SQL,
     "op13_fill_middle": fill_middle.OP13_SQL,
 }

@@ -1,0 +1,152 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_data import SCHEMA, words
+from pyspark.sql import functions as F
+
+from matchstream.llm import merkle as X
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def levels(leaves):
+    out = [leaves]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][i : i + 3])) for i in range(0, len(out[-1]), 3)])
+    return out
+
+
+def way(tree, i):
+    """(before, after) of each level."""
+    out = []
+    for level in tree[:-1]:
+        first = i - i % 3
+        out.append(("".join(level[first:i]), "".join(level[i + 1 : first + 3])))
+        i //= 3
+    return out
+
+
+def leaf(*values):
+    return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def brute(rows):
+    """Result rows of the query for documents (doc_id, text, lang, source, n_chars)."""
+    trees = {}
+    for doc_id, text, lang, source, n_chars in rows:
+        own = leaf(doc_id, source, lang, n_chars, text)
+        even = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 2 == 0
+        cut = text.replace("\n", "") if even and text is not None else text
+        key = (source is not None, (source or "").encode())
+        trees.setdefault(key, []).append((doc_id is not None, doc_id or 0, own, leaf(doc_id, source, lang, n_chars, cut)))
+    made = [levels([x[2] for x in sorted(trees[k])]) for k in sorted(trees)]
+    top = levels([t[-1][0] for t in made])
+    out = []
+    for k, key in enumerate(sorted(trees)):
+        for i, (known, doc_id, own, claimed) in enumerate(sorted(trees[key])):
+            path = way(made[k], i) + way(top, k)
+            folded = claimed
+            for before, after in path:
+                folded = sha(before + folded + after)
+            proof = sha("".join(a + b for a, b in path))
+            out.append((doc_id if known else None, own, made[k][-1][0], top[-1][0], proof, folded, folded == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def result(docs, height):
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    made = X.verified_leaves(X.dataset_manifest(docs, X.DOCUMENT, claimed=X.leaf(docs, X.DOCUMENT, text=text), height=height))
+    rows = made.collect()
+    for r in rows:  # the proof itself leads from the leaf to the root
+        assert X.fold(r.digest, X.unpacked(r.proof)) == r.root
+        assert sha("".join(a + b for a, b in X.unpacked(r.proof))) == r.proof_sha256
+    out = [(r.id, *(bytes(x).hex() for x in (r.digest, r.subroot, r.root)), r.proof_sha256, bytes(r.folded).hex(), r.verified) for r in rows]
+    return sorted(out, key=str)
+
+
+def test_addresses_are_the_recursive_layout():
+    def layout(levels, depth, index):
+        """Nodes in the order of the layout, by definition."""
+        if levels == 1:
+            return [(depth, index)]
+        upper = levels // 2
+        below = 3**upper
+        out = layout(upper, depth, index)
+        for k in range(below):
+            out += layout(levels - upper, depth + upper, index * below + k)
+        return out
+
+    for height in range(8):
+        want = layout(height + 1, 0, 0)
+        for depth in range(height + 1):
+            got = X.address(height, depth, np.arange(3**depth))
+            assert [want[a] for a in got.tolist()] == [(depth, i) for i in range(3**depth)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 8, 9, 10, 27, 28, 242, 243])
+def test_block_against_plain_tree(n):
+    leaves = [hashlib.sha256(str(i).encode()).digest() for i in range(n)]
+    tree = levels([x.hex() for x in leaves])
+    height = X.levels_above(n)
+    nodes = X.build(leaves, height)
+    assert nodes[:32].hex() == tree[-1][0] and len(nodes) <= 32 * X.size(height)
+    places = np.arange(n)
+    for i, own in zip(places.tolist(), X.siblings(nodes, height, n, places)):
+        assert own == way(tree, i) == X.unpacked(X.packed(own))
+        assert X.fold(leaves[i], own).hex() == tree[-1][0]
+
+
+def rows_of(sizes, seed):
+    draw = random.Random(seed)
+    rows, ids = [], list(range(sum(sizes.values())))
+    draw.shuffle(ids)
+    for source, n in sizes.items():
+        for _ in range(n):
+            text = draw.choice([None, "", "a\nb", "\n", words(4, n), "日本\n語"])
+            rows.append((ids.pop(), text, draw.choice([None, "en"]), source, draw.choice([None, 7])))
+    return rows
+
+
+@pytest.mark.parametrize("height", [1, 2, 7])
+def test_against_brute_force(make_docs, height):
+    rows = rows_of({"hot": 200, None: 10, "": 1, "b": 3, "é": 28, "z": 9, "B": 2}, height)
+    rows += [(5000, "x\ny", "en", "b", 3)] * 4 + [(None, "no id\n", None, "b", None)] * 2  # repeated rows, null ids
+    rows.append((6000, words(100_000, 1), "en", "hot", None))
+    assert result(make_docs(rows).withColumn("_id", F.lit(1)).withColumn("tree", F.lit("x")), height) == brute([tuple(r) for r in rows])
+
+
+def test_many_trees_and_lone_trees(make_docs):
+    rows = [(i, f"t{i}\n", None, f"s{i}", None) for i in range(40)]
+    assert result(make_docs(rows), 1) == brute(rows)
+    one = [(3, "only\n", "en", "s", 5)]
+    (got,) = result(make_docs(one), 7)
+    assert got[1] == got[2] == got[3] and got == brute(one)[0]
+    same = [(i, None, None, None, None) for i in range(5)]
+    assert result(make_docs(same), 2) == brute(same)
+
+
+def test_empty_table(make_docs):
+    assert result(make_docs([]), 7) == []
+
+
+def test_a_changed_leaf_is_found(make_docs):
+    rows = [(i, f"text {i}", "en", "s", i) for i in range(30)]
+    docs = make_docs(rows)
+    for column in ("text", "lang"):
+        changed = X.leaf(docs, X.DOCUMENT, **{column: F.when(F.col("doc_id") == 7, F.lit("other")).otherwise(F.col(column))})
+        got = X.verified_leaves(X.dataset_manifest(docs, X.DOCUMENT, claimed=changed, height=2)).collect()
+        assert {r.id for r in got if not r.verified} == {7}
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select([f.name for f in SCHEMA.fields])
+    got = X.op11_merkle(spark, sf_dir).collect()
+    want = brute([tuple(r) for r in docs.collect()])
+    assert sorted(((r.doc_id, r.leaf, r.subroot, r.root, r.proof_sha256, r.folded_root, r.verified) for r in got), key=str) == want
+    assert {r.verified for r in got} == {True, False}
