@@ -37,11 +37,16 @@ from matchstream.llm.common import prepare, stored, table, texts
 
 #: Tokens of a sequence.
 CAPACITY = 2048
-#: Characters that are encoded at once; longer texts are encoded in parts.
-CHUNK_CHARS = 1 << 17
+#: Characters of text that are taken at once; longer texts are taken in parts.
+CHUNK_CHARS = 1 << 20
+#: Characters that the library encodes at once, and characters of words whose ids a task keeps.
+LIBRARY_CHARS, KEPT_CHARS = 1 << 17, 12 << 20
 
-#: A space between two ASCII letters always starts a token's piece, so texts may be cut before it.
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: The tokenizer's pattern ends a match wherever white space follows something else, so texts may be cut there.
+_CUT = re.compile(r"(?<=\S)[ \n]")
+_WORD = re.compile(r"\s*\S+|\s+")
+#: White space to Python, but not to the tokenizer.
+_UNSURE = re.compile(r"[\x1c-\x1f]")
 
 TOKENS = StructType(
     [
@@ -201,19 +206,54 @@ def _parts(text: str, most: int = CHUNK_CHARS) -> list[str]:
     return [*out, text[at:]]
 
 
-def encode(tok: Tokenizer, bodies: list[str], end: int) -> Iterator[np.ndarray]:
-    """The ids of each text, followed by ``end``."""
-    parts = [_parts(x) for x in bodies]
-    sizes = [len(p) for some in parts for p in some]
-    flat = [p for some in parts for p in some]
-    owners = np.repeat(np.arange(len(bodies)), [len(some) for some in parts])
-    held: list[np.ndarray] = []
-    for i, j in index_ranges(sizes, CHUNK_CHARS):
-        for k, made in zip(range(i, j), tok.encode_batch_fast(flat[i:j], add_special_tokens=False)):
-            held.append(np.array(made.ids, np.uint32))
-            if k + 1 == len(flat) or owners[k + 1] != owners[k]:
-                yield np.concatenate([*held, np.array([end], np.uint32)])
-                held = []
+class Encoder:
+    """A tokenizer that is asked for each word once: white space and what follows up to the next.
+
+    The ids of a text are those of its words in a row.  New words are encoded
+    together and their ids told apart by the bytes of the tokens.  The ids of words
+    are kept until they hold ``KEPT_CHARS`` characters; then all are forgotten.
+    """
+
+    def __init__(self, tok: Tokenizer) -> None:
+        self.tok = tok
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+        self.bytes_of = np.zeros(tok.get_vocab_size(), np.int64)
+        for token, i in tok.get_vocab().items():
+            self.bytes_of[i] = len(token)  # a token is written with a character for each byte
+
+    def _learn(self, words: set[str]) -> None:
+        self.held += sum(map(len, words)) + 8 * len(words)
+        # Words can stand in a row if each starts with white space and ends with something else.
+        rows = [w for w in words if w[0].isspace() and not w[-1].isspace() and not _UNSURE.search(w)]
+        for i, j in index_ranges([len(w) for w in rows], LIBRARY_CHARS):
+            made = self.tok.encode_batch_fast(["".join(rows[i:j])], add_special_tokens=False)[0]
+            ids = np.array(made.ids, "<u4")
+            ends = np.cumsum([len(w.encode()) for w in rows[i:j]])
+            stops = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
+            data = ids.tobytes()
+            self.known.update((w, data[a:b]) for w, a, b in zip(rows[i:j], [0, *stops.tolist()], stops.tolist()))
+        others = list(words.difference(rows))
+        for i, j in index_ranges([len(w) for w in others], LIBRARY_CHARS):
+            for word, made in zip(others[i:j], self.tok.encode_batch_fast(others[i:j], add_special_tokens=False)):
+                self.known[word] = np.array(made.ids, "<u4").tobytes()
+
+    def encode(self, bodies: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        parts = [_parts(x) for x in bodies]
+        flat = [p for some in parts for p in some]
+        owners = [k for k, some in enumerate(parts) for _ in some]
+        held: list[bytes] = []
+        for i, j in index_ranges([len(p) for p in flat], CHUNK_CHARS):
+            if self.held > KEPT_CHARS:
+                self.known, self.held = {}, 0
+            words = [[p] if _UNSURE.search(p) else _WORD.findall(p) for p in flat[i:j]]
+            self._learn(set().union(*words).difference(self.known))
+            for k, own in zip(range(i, j), words):
+                held.append(b"".join(map(self.known.__getitem__, own)))
+                if k + 1 == len(flat) or owners[k + 1] != owners[k]:
+                    yield b"".join(held)
+                    held = []
 
 
 def tokenized(
@@ -224,8 +264,7 @@ def tokenized(
     A document is the ids of its text, then ``end``; a null text counts as empty
     and gives ``end`` alone.  Documents of more than ``capacity`` tokens are cut
     into pieces of ``capacity``, of which the first may be shorter.  ``ids`` are
-    little-endian unsigned 32-bit integers.  Texts are encoded whole, long ones
-    in parts between words.  Rows that repeat are all kept.  Columns of ``docs``
+    little-endian unsigned 32-bit integers.  Rows that repeat are all kept.  Columns of ``docs``
     that have one of the new names are replaced.
     """
     spark = docs.sparkSession
@@ -236,19 +275,21 @@ def tokenized(
     others = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(SparkFiles.get(name))
+        encoder = Encoder(_tokenizer(SparkFiles.get(name)))
+        last = np.array([end], "<u4").tobytes()
         for b in batches:
             rows, numbers, starts, lengths, blobs = [], [], [], [], []
-            for row, ids in enumerate(encode(tok, texts(b.column(len(others))), end)):
-                ids = ids.astype("<u4")
-                cuts = range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)
+            for row, ids in enumerate(encoder.encode(texts(b.column(len(others))))):
+                ids += last
+                n = len(ids) // 4
+                cuts = range((n - 1) % capacity + 1, n + 1, capacity)
                 for piece, stop in enumerate(cuts):
                     start = max(0, stop - capacity) if piece else 0
                     rows.append(row)
                     numbers.append(piece)
                     starts.append(start)
                     lengths.append(stop - start)
-                    blobs.append(ids[start:stop].tobytes())
+                    blobs.append(ids[4 * start : 4 * stop])
             own = b.select(range(len(others))).take(pa.array(rows, pa.int64())) if others else None
             new = [pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(own.columns if others else []), *new], names=[*others, *TOKENS.names])

@@ -135,13 +135,17 @@ def test_pieces_and_sequences(make_docs):
     assert sum(sum(w.lengths) for w in whole.values()) == sum(r.length for r in got)
 
 
-def test_long_texts_are_encoded_in_parts():
+def test_words_are_encoded_like_whole_texts():
     tok = tokenizer()
     draw = random.Random(6)
-    for text in (words(60_000, 1), "".join(draw.choice(["a b", "  ", "\n", "it's ", "12", " é", ".", " the"]) for _ in range(120_000)), "x" * 300_000):
-        got = next(X.encode(tok, [text], 0))
-        assert got.tolist() == [*tok.encode(text, add_special_tokens=False).ids, 0]
-    assert len(X._parts(words(60_000, 1))) > 1
+    bits = ["a", "b", "'s", "'re", "12", "é", "日本", ".", ",\"", " ", "  ", "\n", "\r\n", "\t", "\xa0", "\u3000", "\u2028", "\x1c", "\x85", "\0", "the", "🙂", "<|endoftext|>"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(60))) for _ in range(3000)]
+    texts += [words(400_000, 1), "".join(draw.choice(bits) for _ in range(700_000)), "x" * 300_000, "", " ", "\n \n"]
+    for own in (X.Encoder(tok), X.Encoder(tok)):
+        own.held = X.KEPT_CHARS if own.known else 0
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+        assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert len(X._parts(texts[3000])) > 1
 
 
 def test_lengths_that_cannot_be_packed_and_empty_tables(spark, make_docs):
