@@ -39,12 +39,13 @@ from matchstream.llm.common import prepare, stored, table, texts
 CAPACITY = 2048
 #: Characters of text that are taken at once; longer texts are taken in parts.
 CHUNK_CHARS = 1 << 20
-#: Characters that the library encodes at once, and characters of words whose ids a task keeps.
-LIBRARY_CHARS, KEPT_CHARS = 1 << 17, 12 << 20
+#: Characters that the library encodes at once, and characters of words whose ids a worker keeps (twice).
+LIBRARY_CHARS, KEPT_CHARS = 1 << 17, 8 << 20
 
-#: The tokenizer's pattern ends a match wherever white space follows something else, so texts may be cut there.
+#: The tokenizer's pattern ends a match wherever white space follows something else, so texts may be cut there,
+#: and wherever signs follow letters.
 _CUT = re.compile(r"(?<=\S)[ \n]")
-_WORD = re.compile(r"\s*\S+|\s+")
+_WORD = re.compile(r"\s*+(?:[A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]++(?=[\s!-/:-@\[-`{-~])|\S++)|\s+")
 #: White space to Python, but not to the tokenizer.
 _UNSURE = re.compile(r"[\x1c-\x1f]")
 
@@ -182,18 +183,6 @@ class Plan:
         return tuple(np.array(c, np.int64) for c in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 5
 
 
-_TOKENIZERS: dict[str, Tokenizer] = {}
-
-
-def _tokenizer(path: str) -> Tokenizer:
-    if path not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
-        own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True  # their strings in a text are ordinary text
-        _TOKENIZERS[path] = own
-    return _TOKENIZERS[path]
-
-
 def _parts(text: str, most: int = CHUNK_CHARS) -> list[str]:
     """``text`` in parts that are encoded alike apart and together."""
     out, at = [], 0
@@ -207,32 +196,40 @@ def _parts(text: str, most: int = CHUNK_CHARS) -> list[str]:
 
 
 class Encoder:
-    """A tokenizer that is asked for each word once: white space and what follows up to the next.
+    """A tokenizer that is asked for each word once: white space and the letters, or else what follows up to the next.
 
     The ids of a text are those of its words in a row.  New words are encoded
     together and their ids told apart by the bytes of the tokens.  The ids of words
-    are kept until they hold ``KEPT_CHARS`` characters; then all are forgotten.
+    are kept in two generations of ``KEPT_CHARS`` characters, so that frequent
+    words stay.
     """
 
-    def __init__(self, tok: Tokenizer) -> None:
-        self.tok = tok
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
-        self.bytes_of = np.zeros(tok.get_vocab_size(), np.int64)
-        for token, i in tok.get_vocab().items():
+        vocabulary = self.tok.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)  # a token is written with a character for each byte
 
     def _learn(self, words: set[str]) -> None:
         self.held += sum(map(len, words)) + 8 * len(words)
+        again = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        words -= again
         # Words can stand in a row if each starts with white space and ends with something else.
-        rows = [w for w in words if w[0].isspace() and not w[-1].isspace() and not _UNSURE.search(w)]
+        rows = [w for w in words if w[0] in " \n\t" and not w[-1].isspace()]
         for i, j in index_ranges([len(w) for w in rows], LIBRARY_CHARS):
             made = self.tok.encode_batch_fast(["".join(rows[i:j])], add_special_tokens=False)[0]
             ids = np.array(made.ids, "<u4")
             ends = np.cumsum([len(w.encode()) for w in rows[i:j]])
-            stops = 4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)
+            stops = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)).tolist()
             data = ids.tobytes()
-            self.known.update((w, data[a:b]) for w, a, b in zip(rows[i:j], [0, *stops.tolist()], stops.tolist()))
+            self.known.update((w, data[a:b]) for w, a, b in zip(rows[i:j], [0, *stops], stops))
         others = list(words.difference(rows))
         for i, j in index_ranges([len(w) for w in others], LIBRARY_CHARS):
             for word, made in zip(others[i:j], self.tok.encode_batch_fast(others[i:j], add_special_tokens=False)):
@@ -246,7 +243,7 @@ class Encoder:
         held: list[bytes] = []
         for i, j in index_ranges([len(p) for p in flat], CHUNK_CHARS):
             if self.held > KEPT_CHARS:
-                self.known, self.held = {}, 0
+                self.older, self.known, self.held = self.known, {}, 0
             words = [[p] if _UNSURE.search(p) else _WORD.findall(p) for p in flat[i:j]]
             self._learn(set().union(*words).difference(self.known))
             for k, own in zip(range(i, j), words):
@@ -256,6 +253,16 @@ class Encoder:
                     held = []
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of a local file, which a worker keeps from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def tokenized(
     docs: DataFrame, tokenizer_path: str, text: str = "text", capacity: int = CAPACITY, end: int = 0
 ) -> DataFrame:
@@ -275,7 +282,7 @@ def tokenized(
     others = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_tokenizer(SparkFiles.get(name)))
+        encoder = _encoder(SparkFiles.get(name))
         last = np.array([end], "<u4").tobytes()
         for b in batches:
             rows, numbers, starts, lengths, blobs = [], [], [], [], []

@@ -138,11 +138,12 @@ def test_pieces_and_sequences(make_docs):
 def test_words_are_encoded_like_whole_texts():
     tok = tokenizer()
     draw = random.Random(6)
-    bits = ["a", "b", "'s", "'re", "12", "é", "日本", ".", ",\"", " ", "  ", "\n", "\r\n", "\t", "\xa0", "\u3000", "\u2028", "\x1c", "\x85", "\0", "the", "🙂", "<|endoftext|>"]
+    bits = ["a", "b", "'s", "'re", "12", "é", "ß", "÷", "ª", "²", "日本", "--", "(", "_", "don't", ".", ",\"", " ", "  ", "\n", "\r\n", "\t", "\xa0", "\u3000", "\u2028", "\x1c", "\x85", "\0", "the", "🙂", "<|endoftext|>"]
     texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(60))) for _ in range(3000)]
     texts += [words(400_000, 1), "".join(draw.choice(bits) for _ in range(700_000)), "x" * 300_000, "", " ", "\n \n"]
-    for own in (X.Encoder(tok), X.Encoder(tok)):
-        own.held = X.KEPT_CHARS if own.known else 0
+    own = X.Encoder(PATH)
+    for held in (0, X.KEPT_CHARS + 1, X.KEPT_CHARS + 1):  # new, then with words of both generations
+        own.held = held
         got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
         assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     assert len(X._parts(texts[3000])) > 1
