@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # String widths of the relational ``match_events`` table (fixed values).
 MATCH_EVENTS_DDL = "event_type VARCHAR(50), team VARCHAR(100), player VARCHAR(100)"
@@ -26,58 +26,89 @@ def _session(args) -> SparkSession:
                          rocksdb_state=getattr(args, "rocksdb", False), extra_conf=conf)
 
 
-def _events(spark: SparkSession, args) -> DataFrame:
-    from matchstream.sources.files import read_events_csv
-    from matchstream.sources.jdbc import read_jdbc
+class _Source:
+    """The events of a command's source, and what a CSV source has of rows that can't be used."""
 
-    if args.csv:
-        return read_events_csv(spark, args.csv)
-    if args.jdbc_url:
-        df = read_jdbc(spark, args.jdbc_url, args.jdbc_table, driver=args.jdbc_driver,
-                       user=args.jdbc_user, password=args.jdbc_password,
-                       partition_column=args.jdbc_partition_column, lower_bound=args.jdbc_lower,
-                       upper_bound=args.jdbc_upper, num_partitions=args.jdbc_partitions)
-        return df
-    return spark.read.parquet(args.table)
+    def __init__(self, spark: SparkSession, args) -> None:
+        from pyspark.sql import Observation
+
+        from matchstream.sources.files import read_events_csv_checked
+        from matchstream.sources.jdbc import read_jdbc
+
+        self.quarantine, self.bad, self.counted = args.quarantine, None, None
+        if args.csv:
+            self.counted = Observation("csv")
+            self.events, self.bad = read_events_csv_checked(spark, args.csv, counted=self.counted)
+        elif args.jdbc_url:
+            self.events = read_jdbc(
+                spark, args.jdbc_url, args.jdbc_table, driver=args.jdbc_driver, user=args.jdbc_user, password=args.jdbc_password,
+                partition_column=args.jdbc_partition_column or ("event_timestamp" if args.jdbc_partitions else None),
+                lower_bound=args.jdbc_lower, upper_bound=args.jdbc_upper, num_partitions=args.jdbc_partitions,
+            )
+        else:
+            self.events = spark.read.parquet(args.table)
+
+    def report_bad(self) -> None:
+        """Tell how many rows were left out, counted as the command ran, and keep them if asked to."""
+        if self.counted is None:
+            return
+        rows, bad = (self.counted.get[k] for k in ("input_rows", "quarantined"))
+        if bad and self.quarantine:
+            self.bad.write.mode("overwrite").parquet(self.quarantine)
+        place = f", kept in {self.quarantine}" if bad and self.quarantine else ""
+        print(f"quarantined\t{bad} of {rows} rows{place}")
 
 
 def cmd_load(spark, args) -> None:
+    from pyspark.sql import Observation
+
+    from matchstream.sinks.jdbc_merge import JdbcTable
     from matchstream.sources.files import append_match_events, read_events_csv_checked
     from matchstream.sources.jdbc import write_jdbc
 
-    events, bad = read_events_csv_checked(spark, args.csv)
-    if args.quarantine:
-        bad.write.mode("overwrite").parquet(args.quarantine)
-    if args.jdbc_url:
+    counted = Observation("csv")
+    events, bad = read_events_csv_checked(spark, args.csv, counted=counted)
+    if args.jdbc_url and args.load_id:
+        table = JdbcTable(spark, args.jdbc_url, args.jdbc_table, args.jdbc_driver, args.jdbc_user, args.jdbc_password, MATCH_EVENTS_DDL)
+        table.load(events, args.load_id)
+    elif args.jdbc_url:
         write_jdbc(events, args.jdbc_url, args.jdbc_table, mode="append", driver=args.jdbc_driver,
                    user=args.jdbc_user, password=args.jdbc_password, column_types=MATCH_EVENTS_DDL)
     if args.table:
         append_match_events(events, args.table, load_id=args.load_id)
+    if args.table or args.jdbc_url:
+        print(f"quarantined\t{counted.get['quarantined']} of {counted.get['input_rows']} rows")
+    if args.quarantine:
+        bad.write.mode("overwrite").parquet(args.quarantine)
 
 
 def cmd_batch(spark, args) -> None:
     from matchstream.plans.batch import run_match_report
 
-    paths = run_match_report(_events(spark, args), args.out, persist=args.persist,
+    source = _Source(spark, args)
+    paths = run_match_report(source.events, args.out, persist=args.persist,
                              foul_window=args.foul_window, card_window=args.card_window,
                              card_slide=args.card_slide)
     for name, path in paths.items():
         print(f"{name}\t{path}")
+    source.report_bad()
 
 
 def cmd_route(spark, args) -> None:
     from matchstream.operators.routing import route_topics, write_routed_files
     from matchstream.sources.kafka import write_kafka
 
-    routed = route_topics(_events(spark, args), with_event_id=True)
+    source = _Source(spark, args)
+    routed = route_topics(source.events, with_event_id=True)
     if args.kafka:
         write_kafka(routed, args.kafka)
     else:
         write_routed_files(routed, args.topics_dir)
+    source.report_bad()
 
 
 def cmd_stream(spark, args) -> None:
-    from matchstream.streaming.pipeline import await_all, start_match_streams
+    from matchstream.streaming.pipeline import await_all, finish_match_streams, start_match_streams
 
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.every}
     started = start_match_streams(spark, args.out, topics_dir=args.topics_dir,
@@ -88,7 +119,7 @@ def cmd_stream(spark, args) -> None:
                                   jdbc=_jdbc_tables(spark, args) if args.jdbc_url else None,
                                   bucket=args.bucket)
     if args.available_now:
-        await_all(started)
+        finish_match_streams(started, spark, args.out)
     else:
         await_all(started)
 
@@ -96,9 +127,9 @@ def cmd_stream(spark, args) -> None:
 def _jdbc_tables(spark: SparkSession, args):
     from matchstream.sinks.jdbc_merge import JdbcKeyedTable
 
-    return lambda name, keys: JdbcKeyedTable(
+    return lambda name, keys, flag=None: JdbcKeyedTable(
         spark, args.jdbc_url, name, keys, driver=args.jdbc_driver, user=args.jdbc_user,
-        password=args.jdbc_password, query=name, connections=args.jdbc_connections,
+        password=args.jdbc_password, query=name, connections=args.jdbc_connections, flag=flag,
         column_types=", ".join(f"{k} VARCHAR(100)" for k in keys if k in ("team", "player")) or None,
     )
 
@@ -106,16 +137,16 @@ def _jdbc_tables(spark: SparkSession, args):
 def cmd_serve(spark, args) -> None:
     from pyspark.sql import functions as F
 
+    from matchstream.functions.format import window_bound_text
     from matchstream.operators.serving import (
         latest_fouls,
         latest_yellow_cards,
-        scoreboard_readout,
         top_players,
     )
-    from matchstream.schema import CARD_KEYS, FOUL_KEYS, GOAL_FIRST_KEYS, PLAYER_KEYS
+    from matchstream.schema import CARD_KEYS, FOUL_KEYS, PLAYER_KEYS
     from matchstream.sinks.keyed_table import KeyedTable
+    from matchstream.streaming.goals import GoalTables
     from matchstream.streaming.pipeline import by_key, by_window
-    from matchstream.streaming.queries import goal_firsts_partition, scoreboard_from_firsts
 
     def table(name, keys, part=None):
         return KeyedTable(spark, f"{args.out.rstrip('/')}/{name}", keys, part)
@@ -125,8 +156,7 @@ def cmd_serve(spark, args) -> None:
 
     view = args.view
     if view == "scoreboard":
-        firsts = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition(args.bucket)).read()
-        df = scoreboard_readout(None, spark) if firsts is None else scoreboard_from_firsts(firsts)
+        df = GoalTables(spark, f"{args.out.rstrip('/')}/goals", args.bucket).board()
     elif view == "fouls":
         rows = table("foul_stats", FOUL_KEYS, by_window(args.bucket)).read_newest(args.n)
         df = latest_fouls(rows_or_none_yet(rows, "team string, fouls long, window_start timestamp, window_end timestamp"), args.n)
@@ -145,6 +175,9 @@ def cmd_serve(spark, args) -> None:
             "scoring_percentage",
         )
         df = top_players(renamed, args.n)
+    for name, kind in df.dtypes:
+        if name.startswith("window_") and kind.startswith("timestamp"):
+            df = df.withColumn(name, window_bound_text(name))
     # The latest and top views hold at most n rows; the scoreboard has no limit.
     df.show(max(args.n, df.count()) if view == "scoreboard" else args.n, truncate=False)
 
@@ -166,7 +199,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-partition-column", help="numeric or time column to split the read by")
         sp.add_argument("--jdbc-lower")
         sp.add_argument("--jdbc-upper")
-        sp.add_argument("--jdbc-partitions", type=int)
+        sp.add_argument("--jdbc-partitions", type=int, help="queries to read by; split by the data unless both bounds are given")
+        sp.add_argument("--quarantine", help="folder for CSV rows with a bad time or number")
 
     sp = sub.add_parser("load")
     sp.add_argument("--quarantine", help="folder for rows with a bad time or number")

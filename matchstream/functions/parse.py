@@ -33,7 +33,13 @@ def _wire_schema(with_event_id: bool) -> T.StructType:
     return T.StructType(fields)
 
 
-def _decoded(df: DataFrame, value_col: str, with_event_id: bool, ntz: bool) -> DataFrame:
+def decode_json_events(
+    df: DataFrame, value_col: str = "value", with_event_id: bool = False, ntz: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every message once: its text, the typed event columns and a ``reason`` (null if it is usable).
+
+    ``keep`` names columns of ``df`` that stay.
+    """
     text = F.col(value_col).cast("string")
     parsed = F.from_json(
         text,
@@ -43,8 +49,9 @@ def _decoded(df: DataFrame, value_col: str, with_event_id: bool, ntz: bool) -> D
     # Parse once per row: the struct leaves through a generator, so the
     # quarantine predicates above cannot be pushed below it (pushing them
     # through a plain projection would re-run from_json inside the filter).
-    out = df.select(F.inline(F.array(F.struct(text.alias("value"), parsed.alias("d")))))
+    out = df.select(F.inline(F.array(F.struct(*keep, text.alias("value"), parsed.alias("d")))))
     cols = [
+        *keep,
         F.col("value"),
         iso_timestamp(F.col("d.timestamp"), ntz=ntz).alias("event_timestamp"),
         F.col("d.event_type").alias("event_type"),
@@ -55,7 +62,7 @@ def _decoded(df: DataFrame, value_col: str, with_event_id: bool, ntz: bool) -> D
         F.col(f"d.{CORRUPT}").alias(CORRUPT),
     ]
     if with_event_id:
-        cols.insert(1, F.col("d.event_id").alias("event_id"))
+        cols.insert(len(keep) + 1, F.col("d.event_id").alias("event_id"))
     nothing_parsed = reduce(lambda a, b: a & b, [F.col(f"d.{f.name}").isNull() for f in WIRE_EVENT.fields])
     typed = out.select(*cols, nothing_parsed.alias("_empty"))
     reason = (
@@ -77,7 +84,7 @@ def parse_json_events(
     ``quarantine`` has ``value`` (the raw text) and ``reason``.  The value
     column may be binary (Kafka) or string.
     """
-    decoded = _decoded(df, value_col, with_event_id, ntz)
+    decoded = decode_json_events(df, value_col, with_event_id, ntz)
     keep = ["event_timestamp", "event_type", "team", "player", "shots_taken", "goals_scored"]
     if with_event_id:
         keep = ["event_id"] + keep

@@ -21,10 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# With more windows per row than this, "auto" counts by blocks instead of
-# fanning panes out (the fan-out costs panes x n rows).  Both give the same rows.
-BLOCKS_ABOVE_RATIO = 32
-
 _UNIT_MICROS = {
     "microsecond": 1,
     "millisecond": 1_000,
@@ -71,98 +67,6 @@ def _shift(ts: Column, micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, ts)
 
 
-def _micros(df: DataFrame, time_col: str) -> Column:
-    """Microseconds since the epoch, exact for TIMESTAMP and TIMESTAMP_NTZ."""
-    dtype = df.schema[time_col].dataType.simpleString()
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") if dtype == "timestamp_ntz" else F.timestamp_micros(F.lit(0))
-    return F.timestamp_diff("MICROSECOND", epoch, F.col(time_col))
-
-
-def _from_micros(df: DataFrame, time_col: str, micros: Column) -> Column:
-    dtype = df.schema[time_col].dataType.simpleString()
-    if dtype == "timestamp_ntz":
-        return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.timestamp_micros(micros)
-
-
-def _floor_div(x: Column, m: int) -> Column:
-    return ((x - F.pmod(x, F.lit(m))) / F.lit(m)).cast("bigint")
-
-
-def sliding_counts_by_blocks(
-    df: DataFrame, time_col: str, duration: str, slide: str, keys: Sequence[str], name: str
-) -> DataFrame:
-    """Sliding counts for large ``duration / slide`` ratios, without fan-out.
-
-    Pane ``t`` (slide-wide) feeds windows ``w`` with ``w <= t < w + n``.  Cut
-    the window starts into blocks of ``n``: for ``w = k*n + r``,
-
-        count(w) = A_k - P_k(r - 1) + P_{k+1}(r - 1)
-
-    with ``A_k`` the total of block ``k`` and ``P_j(x)`` the sum over panes of
-    block ``j`` at offsets ``<= x``.  Each pane therefore contributes two rows
-    (to its own block and to the block before), a running sum per (keys,
-    block) gives the count on every stretch between offsets, and only the
-    stretches with a positive count are expanded into window rows.  A (keys,
-    block) partition holds at most 2n pane offsets however hot the key.
-    """
-    d, s = interval_micros(duration), interval_micros(slide)
-    if d % s != 0:
-        raise ValueError("block strategy needs the slide to divide the duration")
-    n = d // s
-    src = df.where(F.col(time_col).isNotNull())
-    panes = src.groupBy(_floor_div(_micros(df, time_col), s).alias("_t"), *keys).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    block, offset = _floor_div(F.col("_t"), n), F.pmod(F.col("_t"), F.lit(n))
-    own = panes.select(*keys, block.alias("_k"), offset.alias("_r"), (-F.col("_c")).alias("_d"),
-                       F.col("_c").alias("_a"))
-    prev = panes.select(*keys, (block - 1).alias("_k"), offset.alias("_r"), F.col("_c").alias("_d"),
-                        F.lit(0).cast("bigint").alias("_a"))
-    part = [*keys, "_k"]
-    steps = (
-        own.unionByName(prev)
-        .repartition(*part)
-        .groupBy(*part, "_r")
-        .agg(F.sum("_d").alias("_d"), F.sum("_a").alias("_a"))
-    )
-    ordered = Window.partitionBy(*part).orderBy("_r")
-    total = F.sum("_a").over(Window.partitionBy(*part))
-    after = total + F.sum("_d").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    stretch_end = F.coalesce(F.lead("_r").over(ordered), F.lit(n - 1))
-    first = F.row_number().over(ordered) == 1
-    marked = steps.select(
-        *part,
-        "_r",
-        F.when(first, total).otherwise(F.lit(0)).alias("_before"),
-        after.alias("_after"),
-        stretch_end.alias("_end"),
-    )
-    stretches = marked.select(
-        *part,
-        F.explode(
-            F.array(
-                # windows up to the first offset (no step applied yet): A_k
-                F.struct(F.lit(0).cast("bigint").alias("lo"), F.col("_r").alias("hi"),
-                         F.col("_before").alias("cnt")),
-                # windows after this offset up to the next one
-                F.struct((F.col("_r") + 1).alias("lo"), F.col("_end").alias("hi"), F.col("_after").alias("cnt")),
-            )
-        ).alias("_s"),
-    )
-    live = stretches.where((F.col("_s.cnt") > 0) & (F.col("_s.lo") <= F.col("_s.hi")))
-    rows = live.select(
-        *part, F.col("_s.cnt").alias(name), F.explode(F.sequence("_s.lo", "_s.hi")).alias("_rr")
-    )
-    start_micros = (F.col("_k") * F.lit(n) + F.col("_rr")) * F.lit(s)
-    return rows.select(
-        *keys,
-        F.col(name),
-        _from_micros(df, time_col, start_micros).alias("window_start"),
-        _from_micros(df, time_col, start_micros + F.lit(d)).alias("window_end"),
-    )
-
-
 def sliding_counts(
     df: DataFrame,
     time_col: str,
@@ -172,26 +76,19 @@ def sliding_counts(
     name: str,
     strategy: str = "auto",
     cluster_by: Sequence[str] | None = None,
-    blocks_above: int = BLOCKS_ABOVE_RATIO,
 ) -> DataFrame:
     """Rows per (sliding window, keys): ``keys..., name, window_start, window_end``.
 
     ``strategy``: ``"native"`` uses ``window(ts, duration, slide)``;
     ``"panes"`` pre-aggregates slide-wide panes (needs slide | duration);
-    ``"blocks"`` counts from panes by block prefix sums (see
-    :func:`sliding_counts_by_blocks`); ``"auto"`` picks panes for small
-    ratios and blocks for more than ``blocks_above`` windows per row.  ``cluster_by`` (panes only) names
+    ``"auto"`` picks panes wherever they apply.  ``cluster_by`` (panes only) names
     columns among ``["window_start", *keys]`` to hash-partition the fanned-out
     panes by, so that a following per-window computation on those columns
-    reuses the partitioning instead of shuffling again (with blocks, that
-    computation shuffles once more, on block output rather than on n x panes).
+    reuses the partitioning instead of shuffling again.
     """
     d, s = interval_micros(duration), interval_micros(slide)
-    divisible = d % s == 0 and d > s
-    if strategy == "auto" and divisible:
-        strategy = "blocks" if d // s > blocks_above else "panes"
-    if strategy == "blocks":
-        return sliding_counts_by_blocks(df, time_col, duration, slide, keys, name)
+    if strategy == "auto" and d % s == 0 and d > s:
+        strategy = "panes"
     use_panes = strategy == "panes"
     if use_panes and d % s != 0:
         raise ValueError("pane strategy needs the slide to divide the duration")

@@ -68,10 +68,14 @@ def q_fouls_by_team(spark, sf_dir):
     return fouls_by_team(_events(spark, sf_dir, "foul"))
 
 
-def q_yellow_cards_5m(spark, sf_dir):
+def _yellow_cards_5m(spark, sf_dir):
     return yellow_cards_sliding(_events(spark, sf_dir, "yellow_card"), "5 minutes", "1 minute")
 
 
+def q_yellow_cards_5m(spark, sf_dir):
+    return _yellow_cards_5m(spark, sf_dir).orderBy("window_start", "team", "player")
+
+
 def q_yellow_cards_60m(spark, sf_dir):
     return yellow_cards_sliding(_events(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
 
@@ -152,7 +156,7 @@ def q_serve_fouls_latest(spark, sf_dir):
 
 
 def q_serve_yellow_latest(spark, sf_dir):
-    return latest_yellow_cards(q_yellow_cards_5m(spark, sf_dir), 20)
+    return latest_yellow_cards(_yellow_cards_5m(spark, sf_dir), 20)
 
 
 def q_serve_player_top20(spark, sf_dir):

@@ -58,6 +58,7 @@ WIRE_EVENT = T.StructType(
 # Result-table keys (values are everything else).
 FOUL_KEYS = ("team", "window_start")
 CARD_KEYS = ("team", "player", "window_start")
+CARD_GROUPS = ("team", "window_start", "window_end")  # rows that share the team flag
 PLAYER_KEYS = ("team", "player")
 SCOREBOARD_KEYS = ("team",)
 GOAL_FIRST_KEYS = ("event_timestamp",)

@@ -1,33 +1,22 @@
-"""Versioned keyed table on shared storage: replay-safe upserts of result rows.
-
-Layout under ``path``::
-
-    v00000007-<id>/<part>=.../part-*.parquet   data written by version 7
-    _log/00000007.json                    commit record of version 7
-
-A commit record names, for every table partition, the version directory that
-holds its current rows, plus the (query, batch) that produced it.  A merge
-rewrites only the partitions its update touches:
-
-    current rows of touched partitions  LEFT ANTI JOIN  update ON keys
-    UNION  update                        -> new version directory
-
-and publishes the next commit record only after the data is written.  A crash
-between the two leaves the previous version current; the replayed micro-batch
-redoes the merge.  A batch that is not newer than the committed one of the same
-query id is skipped, so replays never apply twice — and since the rows carry
-absolute values (not increments) even a repeated merge is harmless.  Keys are
-compared null-safe: a NULL team or player is a key of its own.  Superseded
-versions and old commit records are removed every ``VACUUM_EVERY`` commits.
-
-Partitioning by a coarse column (the date of ``window_start``) keeps each
-merge proportional to the data it touches, not to the table.
+"""Keyed result table: Parquet partitions that a micro-batch overwrites.
+
+The table is a folder of Parquet files, partitioned by a bucket of the key (such
+as the day of ``window_start``).  A merge reads the buckets that its update
+touches, puts the new rows in the place of those with the same key, and writes
+these buckets with Spark's dynamic partition overwrite; the others stay as
+they are.
+
+The rows are first written beside the table, as a whole.  A crash before that is
+complete changes nothing, and the replayed batch starts anew; a crash while the
+buckets are exchanged is made good from the complete copy by the next merge, and
+until then readers take these buckets from the copy.  Rows carry absolute values, so
+merging a batch twice changes nothing.  A table has one writer; a reader whose files
+are exchanged while it runs fails and has to read again.  Keys are compared
+null-safe: a NULL team or player is a key of its own.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
@@ -38,9 +27,15 @@ from pyspark.sql import types as T
 
 from matchstream.sinks import fs
 
-NO_PARTITION = "__all__"
-#: Commits between two clean-ups, and commits whose data stays readable.
-VACUUM_EVERY, KEEP_VERSIONS = 20, 10
+#: The bucket of rows without one, and of tables that are not partitioned.
+NO_BUCKET = "none"
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join with null-safe keys."""
+    other = right.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    condition = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    return left.join(other, condition, how)
 
 
 class KeyedTable:
@@ -51,243 +46,115 @@ class KeyedTable:
         keys: Sequence[str],
         partition_by: tuple[str, Column] | None = None,
         finalize: Callable[[DataFrame], DataFrame] | None = None,
+        groups: Sequence[str] = (),
     ) -> None:
         """``partition_by`` = (column name, expression over the row) or None.
 
-        The expression should yield path-safe text such as a date
-        (``to_date(window_start)``); it must be a function of the keys so that
-        a key never moves between partitions.
+        The expression gives the bucket as path-safe text, such as a date; it must be
+        a function of the keys, so that a key never moves between buckets.
 
-        ``finalize`` runs over the merged rows of every rewritten partition
-        before they are written (update columns only; it may add columns).
-        A computation over groups that never span partitions — such as a
-        per-(team, window) total with date-of-window partitions — is then
-        exact after every merge.
+        ``finalize`` adds columns that depend on whole ``groups`` of rows, such as a
+        per-(team, window) total.  A merge runs it over the groups that the update
+        touches, stored rows included, and over no others.  A group must lie in one
+        bucket.
         """
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.partition_by = partition_by
+        self.bucket, self.expression = partition_by or ("bucket", F.lit(NO_BUCKET))
         self.finalize = finalize
-
-    # ---- commit log -----------------------------------------------------
-    def _log_dir(self) -> str:
-        return f"{self.path}/_log"
-
-    def _log_names(self) -> list[str]:
-        return [n for n in fs.list_names(self.spark, self._log_dir()) if n.endswith(".json") and n[0] != "."]
-
-    def head(self) -> dict | None:
-        """The newest commit record that is whole.
-
-        A newer record that can't be read (cut off by a crash of a file system
-        without atomic rename) was never current; ``next_version`` passes it by.
-        """
-        names = self._log_names()
-        for name in reversed(names):
-            try:
-                record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
-            except ValueError:
-                continue
-            return {**record, "next_version": int(names[-1].split(".")[0]) + 1}
-        return None
-
-    def _publish(self, record: dict) -> None:
-        name = f"{self._log_dir()}/{record['version']:08d}.json"  # sorts by version
-        if not fs.write_new_text(self.spark, name, json.dumps(record, sort_keys=True)):
-            raise RuntimeError(f"concurrent writer committed version {record['version']} first")
+        self.groups = list(groups)
 
     # ---- reads ------------------------------------------------------------
-    def _part_paths(self, head: dict, parts: Sequence[str] | None = None) -> list[str]:
-        name = self.partition_by[0] if self.partition_by else None
-        out = []
-        for part, vdir in sorted(head["parts"].items()):
-            if parts is not None and part not in parts:
-                continue
-            out.append(f"{self.path}/{vdir}" if name is None else f"{self.path}/{vdir}/{name}={part}")
-        return out
-
-    def read(self) -> DataFrame | None:
-        head = self.head()
-        if head is None or not head["parts"]:
-            return None
-        return self._read_parts(head, None)
+    def _folders(self) -> dict[str, str]:
+        """The folder of each stored bucket, in order of the buckets."""
+        prefix = f"{self.bucket}="
+        places = [self.path, self._copy()] if self._complete() else [self.path]
+        found = {n[len(prefix):]: f"{p}/{n}" for p in places for n in fs.list_names(self.spark, p) if n.startswith(prefix)}
+        return dict(sorted(found.items()))
+
+    def read(self, only: Sequence[str] | None = None) -> DataFrame | None:
+        """All rows, or those of ``only`` some buckets; None if there are none yet."""
+        folders = self._folders()
+        chosen = list(folders.values()) if only is None else [folders[b] for b in only if b in folders]
+        return self.spark.read.parquet(*chosen) if chosen else None
 
     def read_newest(self, n: int) -> DataFrame | None:
-        """Rows of the newest partitions that hold at least ``n`` rows together, all of them if there are fewer.
+        """Rows of the newest buckets that hold at least ``n`` rows together, all of them if there are fewer.
 
-        Partitions sort by their value, so with a time as partition the latest
-        rows are read without opening the history.
+        With a time as bucket the latest rows are read without opening the history.
         """
-        head = self.head()
-        if head is None or not head["parts"]:
-            return None
-        chosen, rows = [], 0
-        for part in sorted((p for p in head["parts"] if p != NO_PARTITION), reverse=True):
-            chosen.append(part)
-            rows += self._read_parts(head, [part]).count()
-            if rows >= n:
-                return self._read_parts(head, chosen)
+        stored = list(self._folders())
+        some = 1
+        while some < len(stored):
+            rows = self.read(stored[-some:])
+            if rows.count() >= n:
+                return rows
+            some *= 2
         return self.read()
 
-    def _read_parts(self, head: dict, parts: Sequence[str] | None) -> DataFrame | None:
-        paths = self._part_paths(head, parts)
-        if not paths:
-            return None
-        schema = head.get("schema")
-        reader = self.spark.read
-        if schema:
-            reader = reader.schema(T.StructType.fromJson(json.loads(schema)))
-        df = reader.parquet(*paths)
-        if self.partition_by:
-            # Partition column is encoded in the directory name, not the files.
-            name = self.partition_by[0]
-            df = df.drop(name) if name in df.columns else df
-        return df
-
     # ---- writes -----------------------------------------------------------
-    def touched_parts(self, update: DataFrame) -> list[str]:
-        """Partition values present in ``update`` (one small distinct job).
-
-        Bounded by the partitions one update spans (a few window dates per
-        micro-batch), never by its row count.
-        """
-        if not self.partition_by:
-            return [] if update.isEmpty() else [NO_PARTITION]
-        name, expr = self.partition_by
-        values = update.select(F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)).alias(name))
-        return sorted(r[0] for r in values.distinct().collect())
-
-    def merge(
-        self,
-        update: DataFrame,
-        query_id: str | None = None,
-        batch_id: int | None = None,
-        cached: bool = False,
-        touched: list[str] | None = None,
-    ) -> bool:
-        """Upsert ``update`` (unique per key).  Returns False when skipped as a
-        replay or when ``update`` is empty.  Without a query and batch id nothing
-        counts as a replay.
-
-        ``update`` is read more than once (partition discovery, its keys for
-        the anti-join, its rows for the union), so it is persisted for the
-        merge unless the caller already did.
-        """
-        head = self.head()
-        if head is not None and query_id is not None and batch_id is not None:
-            done = head.get("batches", {}).get(query_id)
-            if done is not None and batch_id <= done:
-                return False
-        if not cached:
-            update = update.persist()
+    def _with_bucket(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(self.bucket, F.coalesce(self.expression.cast("string"), F.lit(NO_BUCKET)))
+
+    def touched(self, update: DataFrame) -> list[str]:
+        """The buckets of ``update``: a few days or hours of a micro-batch, whatever its rows."""
+        return sorted(r[0] for r in self._with_bucket(update).select(self.bucket).distinct().collect())
+
+    def merged(self, stored: DataFrame | None, update: DataFrame) -> DataFrame:
+        """What the touched buckets hold after the merge."""
+        columns = update.columns
+        if self.finalize is None:
+            return update if stored is None else _same(stored, update, self.keys, "left_anti").select(*columns).unionByName(update)
+        if stored is None:
+            return self.finalize(update)
+        groups = update.select(*self.groups).distinct()
+        mates = _same(stored, groups, self.groups, "left_semi").select(*columns)
+        changed = self.finalize(_same(mates, update, self.keys, "left_anti").unionByName(update))
+        return _same(stored, groups, self.groups, "left_anti").unionByName(changed)
+
+    def merge(self, update: DataFrame) -> list[str]:
+        """Upsert ``update`` (unique per key); the buckets that were rewritten, none for an empty update."""
+        self._exchange()
+        update = update.persist()
         try:
-            touched = self.touched_parts(update) if touched is None else touched
-            if not touched:
-                return False
-            self._write_version(head, update, touched, query_id, batch_id)
+            touched = self.touched(update)
+            if touched:
+                self._write(self.merged(self.read(touched), update))
         finally:
-            if not cached:
-                update.unpersist()
-        return True
-
-    def _write_version(
-        self, head: dict | None, update: DataFrame, touched: list[str], query_id: str | None, batch_id: int | None
-    ) -> None:
-        version = 0 if head is None else head["next_version"]
-        # A fresh folder per attempt: a job that died half-way never blocks
-        # or pollutes the retry, and uncommitted folders are never read.
-        vname = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
-        vdir = f"{self.path}/{vname}"
-        cols = update.columns
-        current = None if head is None else self._read_parts(head, touched)
-        if current is not None:
-            new_keys = update.select(*[F.col(k).alias(f"_new_{k}") for k in self.keys])
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in self.keys])
-            kept = current.join(new_keys, same, "left_anti").select(*cols)
-            merged = kept.unionByName(update)
-        else:
-            merged = update
-        if self.finalize is not None:
-            merged = self.finalize(merged)
-        stored_schema = merged.schema
-        if self.partition_by:
-            name, expr = self.partition_by
-            merged = merged.withColumn(name, F.coalesce(expr.cast("string"), F.lit(NO_PARTITION)))
-            # REBALANCE by the partition column: about one writer per touched
-            # partition (no small-file spray), while AQE splits a partition
-            # that is much larger than the advisory size across tasks.
-            merged = merged.hint("rebalance", name)
-            merged.write.mode("errorifexists").partitionBy(name).parquet(vdir)
-        else:
-            merged.write.mode("errorifexists").parquet(vdir)
-        parts = dict(head["parts"]) if head else {}
-        for t in touched:
-            parts[t] = vname
-        self._publish(
-            {
-                "version": version,
-                "batches": self._batches(head, query_id, batch_id),
-                "parts": parts,
-                "schema": stored_schema.json(),
-            }
-        )
-        if version % VACUUM_EVERY == VACUUM_EVERY - 1:
-            self.vacuum()
-
-    @staticmethod
-    def _batches(head: dict | None, query_id: str | None, batch_id: int | None) -> dict[str, int]:
-        """The last batch of each query that wrote here, the writer's last; only the newest few queries count."""
-        batches = dict(head.get("batches", {})) if head else {}
-        if query_id is not None and batch_id is not None:
-            batches.pop(query_id, None)
-            batches[query_id] = batch_id
-        return dict(list(batches.items())[-KEEP_VERSIONS:])
-
-    def vacuum(self, keep_versions: int = KEEP_VERSIONS) -> list[str]:
-        """Delete version folders no longer referenced by the last ``keep_versions`` commits, and older records.
-
-        Readers of an older snapshot keep working for ``keep_versions``
-        commits; returns the removed folder names.
-        """
-        logs = self._log_names()
-        if self.head() is None:
-            return []
-        referenced: set[str] = set()
-        kept = 0
-        for name in reversed(logs):
-            try:
-                record = json.loads(fs.read_text(self.spark, f"{self._log_dir()}/{name}"))
-            except ValueError:
-                continue
-            if kept < keep_versions:
-                referenced.update(record["parts"].values())
-                kept += 1
-            else:
-                fs.delete_tree(self.spark, f"{self._log_dir()}/{name}")
-        newest = max(referenced)
-        removed = []
-        for name in fs.list_names(self.spark, self.path):
-            # Unreferenced folders older than the newest commit: superseded
-            # versions and attempts that died before publishing.
-            if name.startswith("v") and name not in referenced and name < newest:
-                fs.delete_tree(self.spark, f"{self.path}/{name}")
-                removed.append(name)
-        return removed
-
-    def batch_writer(self, query_id: Callable[[], str] | str):
-        """A ``foreachBatch`` callback that merges every non-empty micro-batch.
-
-        ``query_id`` (or what it returns when the first batch comes) names the
-        query across restarts; see ``runner.checkpoint_id``.
-        """
-
-        def write(batch_df: DataFrame, batch_id: int) -> None:
-            batch = batch_df.persist()
-            try:
-                own = query_id() if callable(query_id) else query_id
-                self.merge(batch, query_id=own, batch_id=batch_id, cached=True)
-            finally:
-                batch.unpersist()
-
-        return write
+            update.unpersist()
+        return touched
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """Put ``rows`` in the place of the buckets that they lie in."""
+        self._exchange()
+        self._write(rows)
+
+    def _write(self, rows: DataFrame) -> None:
+        # Rebalance by bucket: about one file each, large ones split by AQE.
+        rows = self._with_bucket(rows).hint("rebalance", self.bucket)
+        rows.write.mode("overwrite").partitionBy(self.bucket).parquet(self._copy())
+        self._exchange()
+
+    def _copy(self) -> str:
+        return f"{self.path}.next"
+
+    def _complete(self) -> bool:
+        return fs.exists(self.spark, f"{self._copy()}/_SUCCESS")
+
+    def _exchange(self) -> None:
+        """Overwrite the table's buckets with those of a complete copy, if there is one."""
+        copy = self._copy()
+        if not self._complete():
+            return
+        rows = self.spark.read.parquet(copy)
+        # The bucket is text, whatever Spark takes the folder names for.
+        fields = [f for f in rows.schema.fields if f.name != self.bucket]
+        rows = self.spark.read.schema(T.StructType([*fields, T.StructField(self.bucket, T.StringType())])).parquet(copy)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.bucket).parquet(self.path)
+        fs.delete_tree(self.spark, copy)
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """For ``foreachBatch``; replays change nothing, so the batch's number is not needed."""
+        self.merge(batch)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,13 +67,14 @@ def read_events_csv(
 
 
 def read_events_csv_checked(
-    spark: SparkSession, path: str, ntz: bool = True, with_event_id: bool = False
+    spark: SparkSession, path: str, ntz: bool = True, with_event_id: bool = False, counted: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(events, quarantine) of header CSV files.
 
     Quarantined are rows with a missing or bad time (``bad_timestamp``) or a
     number that is neither blank nor an integer (``bad_integer``); they keep
-    their text columns and get a ``reason``.
+    their text columns and get a ``reason``.  ``counted`` gets ``input_rows`` and
+    ``quarantined`` when the first job over the events has run.
     """
     text = read_csv_text(spark, path, with_event_id)
     numbers = {"shots_taken": "int", "goals_scored": "int"} | ({"event_id": "bigint"} if with_event_id else {})
@@ -82,7 +83,10 @@ def read_events_csv_checked(
         [F.coalesce(F.trim(c) != "", F.lit(False)) & F.trim(c).try_cast(kind).isNull() for c, kind in numbers.items()],
     )
     reason = F.when(iso_timestamp("timestamp", ntz=ntz).isNull(), "bad_timestamp").when(bad_number, "bad_integer")
-    good = type_csv_events(text.where(reason.isNull()), ntz=ntz, with_event_id=with_event_id)
+    seen = text
+    if counted is not None:
+        seen = text.observe(counted, F.count(F.lit(1)).alias("input_rows"), F.count_if(reason.isNotNull()).alias("quarantined"))
+    good = type_csv_events(seen.where(reason.isNull()), ntz=ntz, with_event_id=with_event_id)
     return good, text.withColumn("reason", reason).where("reason is not null")
 
 

@@ -22,17 +22,20 @@ from matchstream.plans.oracle import (
     players_cte,
     scoreboard_sql,
 )
-from matchstream.schema import CARD_KEYS, FOUL_KEYS, PLAYER_KEYS, SCOREBOARD_KEYS
+from matchstream.operators.routing import route_topics, write_routed_files
+from matchstream.schema import CARD_GROUPS, CARD_KEYS, FOUL_KEYS, PLAYER_KEYS, SCOREBOARD_KEYS
 from matchstream.session import scratch_path
 from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.testdata import ORACLE_PRELUDE, RAW_EVENTS, adapt_events, load_match_events_from_testdata
+from matchstream.streaming.goals import GoalTables
+from matchstream.streaming.pipeline import finish_match_streams, start_match_streams
+from matchstream.streaming.progress import ProgressLog, progress_summary
 from matchstream.streaming.queries import (
-    flush_open_windows,
+    closed_yellow_cards_stream,
     fouls_stream,
-    goal_firsts_partition,
     goal_firsts_stream,
-    scoreboard_from_firsts,
     momentum_batch,
+    open_windows,
     player_stats_stream,
     player_table_rows,
     scoreboard_stream,
@@ -40,6 +43,7 @@ from matchstream.streaming.queries import (
 )
 from matchstream.streaming.runner import run_available
 
+
 def event_stream(
     spark: SparkSession, sf_dir: str, *types: str, max_files_per_trigger: int | None = None,
     glob: str = "events.parquet",
@@ -93,20 +97,19 @@ def q_stream_yellow_cards(spark, sf_dir):
 
 
 def q_stream_yellow_momentum(spark, sf_dir):
+    """Append mode from panes; what the end of the input leaves open comes from the query's state."""
     table, ckpt = _table(spark, "stream-momentum", CARD_KEYS, _by_window_date())
-    stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
+    stream = closed_yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
     run_available(stream, table, ckpt, "append", transform=momentum_batch)
-    events = load_match_events_from_testdata(spark, sf_dir, ("yellow_card",))
-    flush_open_windows(table, events, "60 minutes", "10 minutes")
+    table.merge(momentum_batch(open_windows(spark, ckpt, "60 minutes", "10 minutes")))
     return _ntz(_rows(table, stream, momentum_batch), "window_start", "window_end")
 
 
 def q_stream_yellow_momentum_live(spark, sf_dir):
-    """Update mode; the team flag is recomputed over each rewritten
-    window-date partition, so it is exact after every micro-batch."""
+    """Update mode; the team flag is recomputed over the (team, window) groups
+    that a micro-batch touches, so it is exact after every one."""
     base = scratch_path(spark, "stream-momentum-live")
-    table = KeyedTable(spark, os.path.join(base, "table"), CARD_KEYS, _by_window_date(),
-                       finalize=momentum_batch)
+    table = KeyedTable(spark, os.path.join(base, "table"), CARD_KEYS, _by_window_date(), momentum_batch, CARD_GROUPS)
     stream = yellow_cards_stream(event_stream(spark, sf_dir, "yellow_card"), "60 minutes", "10 minutes")
     run_available(stream, table, os.path.join(base, "checkpoint"), "update")
     return _ntz(_rows(table, stream), "window_start", "window_end")
@@ -127,21 +130,32 @@ def q_stream_scoreboard(spark, sf_dir):
 
 
 def q_stream_scoreboard_firsts(spark, sf_dir):
-    """Hot-key-safe form: per-timestamp firsts by streaming min(struct), summed on read."""
-    table, ckpt = _table(spark, "stream-goal-firsts", ["event_timestamp"], goal_firsts_partition())
-    stream = goal_firsts_stream(event_stream(spark, sf_dir, "goal"))
-    run_available(stream, table, ckpt, "update")
-    return scoreboard_from_firsts(_rows(table, stream))
+    """Hot-key-safe form: per-timestamp firsts by streaming min(struct); the board adds up the days."""
+    base = scratch_path(spark, "stream-goals")
+    goals = GoalTables(spark, os.path.join(base, "table"))
+    run_available(goal_firsts_stream(event_stream(spark, sf_dir, "goal")), goals, os.path.join(base, "checkpoint"))
+    return goals.board()
 
 
 def q_stream_scoreboard_collisions(spark, sf_dir):
     """Goal times cut to the hour, so that many goals share a time and only the first counts."""
-    table, ckpt = _table(spark, "stream-goal-hours", ["event_timestamp"], goal_firsts_partition())
+    base = scratch_path(spark, "stream-goal-hours")
+    goals = GoalTables(spark, os.path.join(base, "table"))
     events = event_stream(spark, sf_dir, "goal")
     hours = events.withColumn("event_timestamp", F.date_trunc("hour", "event_timestamp").cast("timestamp_ntz"))
-    stream = goal_firsts_stream(hours)
-    run_available(stream, table, ckpt, "update")
-    return scoreboard_from_firsts(_rows(table, stream))
+    run_available(goal_firsts_stream(hours), goals, os.path.join(base, "checkpoint"))
+    return goals.board()
+
+
+def q_stream_progress(spark, sf_dir):
+    """The whole pipeline over the routed events; the rows that each query read, set aside and dropped as late."""
+    base = scratch_path(spark, "stream-progress")
+    events = load_match_events_from_testdata(spark, sf_dir)
+    write_routed_files(route_topics(events, with_event_id=True), f"{base}/topics")
+    with ProgressLog(spark, f"{base}/progress") as log:
+        started = start_match_streams(spark, f"{base}/out", topics_dir=f"{base}/topics")
+        finish_match_streams(started, spark, f"{base}/out")
+    return progress_summary(log.rows()).where("query <> 'all'").select("query", "input_rows", "quarantined", "late_rows")
 
 
 def q_stream_fouls_null_keys(spark, sf_dir):
@@ -163,6 +177,7 @@ STREAM_QUERIES = {
     "stream_scoreboard_firsts": q_stream_scoreboard_firsts,
     "stream_scoreboard_collisions": q_stream_scoreboard_collisions,
     "stream_fouls_null_keys": q_stream_fouls_null_keys,
+    "stream_progress": q_stream_progress,
 }
 
 
@@ -185,4 +200,16 @@ def stream_oracles() -> dict[str, str]:
         " date_trunc('minute', event_timestamp) AS window_start,"
         " date_trunc('minute', event_timestamp) + INTERVAL '1 minute' AS window_end"
         " FROM match_events WHERE event_type = 'foul' GROUP BY ALL",
+        "stream_progress": p
+        + """, counts AS (
+SELECT count(*) FILTER (event_type = 'foul') AS fouls, count(*) FILTER (event_type = 'yellow_card') AS cards,
+       count(*) FILTER (event_type IN ('goal', 'assist', 'shot')) AS plays, count(*) FILTER (event_type = 'goal') AS goals
+FROM match_events), queries AS (
+SELECT 'parsed' AS query, fouls + cards + plays + goals AS input_rows FROM counts
+UNION ALL SELECT 'foul_stats', fouls FROM counts
+UNION ALL SELECT 'yellow_card_stats', cards FROM counts
+UNION ALL SELECT 'yellow_momentum_stats', cards FROM counts
+UNION ALL SELECT 'player_performance_stats', plays FROM counts
+UNION ALL SELECT 'goals', goals FROM counts)
+SELECT query, input_rows, CAST(0 AS BIGINT) AS quarantined, CAST(0 AS BIGINT) AS late_rows FROM queries""",
     }

@@ -1,16 +1,19 @@
-"""Topic-fed streaming pipeline: one query per metric family, side by side.
+"""Topic-fed streaming pipeline: messages are parsed once, then one query per metric family.
 
-Events are fanned out to topics by the router; each family's query reads its
-topic's JSON messages, parses them (bad messages go to a quarantine table),
-runs the streaming metric and upserts a keyed result table:
+Events are fanned out to topics by the router.  The first query reads all topics,
+parses each message once and appends it to ``out_dir/events``, a folder for each
+topic and one for messages that can't be used (the quarantine); Spark's file sink
+commits both outputs of a micro-batch together.  Each family's query reads the
+typed events of its topic, runs the streaming metric and upserts a keyed result
+table:
 
     team_stats_1min    -> foul_stats                (update, 1-min tumbling)
     live_card          -> yellow_card_stats          (update, 5/1-min sliding, both flags
-                                                   recomputed per rewritten partition)
+                                                   recomputed per touched team and window)
     live_card          -> yellow_momentum_stats      (append: closed windows only)
     player_performance -> player_performance_stats   (update, running totals)
-    live_score         -> goal_firsts                (update, first goal of each time;
-                                                   the scoreboard is summed on read)
+    live_score         -> goals                      (update, first goal of each time
+                                                   and sums of each day)
 
 Topics are read from the file replay's folder, by its commit log if a router
 stream wrote it, or from Kafka when ``kafka_servers`` is given.  All queries run
@@ -26,59 +29,110 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from matchstream.functions.parse import parse_json_events
+from matchstream.functions.parse import decode_json_events
 from matchstream.operators.routing import route_topics
 from matchstream.schema import (
+    CARD_GROUPS,
     CARD_KEYS,
     FOUL_KEYS,
     GOAL_FIRST_KEYS,
     PLAYER_KEYS,
+    TEAM_MOMENTUM_MAX_CARDS,
     TOPIC_LIVE_CARD,
     TOPIC_LIVE_SCORE,
     TOPIC_PLAYER_PERFORMANCE,
     TOPIC_TEAM_STATS,
 )
 from matchstream.sinks import fs
-from matchstream.sinks.jdbc_merge import JdbcKeyedTable
+from matchstream.sinks.jdbc_merge import GroupFlag, JdbcKeyedTable
 from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.kafka import read_kafka_stream
+from matchstream.streaming.goals import GoalTables
 from matchstream.streaming.queries import (
+    closed_yellow_cards_stream,
     fouls_stream,
-    goal_firsts_partition,
     goal_firsts_stream,
     momentum_batch,
+    open_windows,
     player_stats_stream,
     player_table_rows,
     yellow_cards_stream,
 )
 from matchstream.streaming.runner import start_to_table
 
+TOPICS = (TOPIC_TEAM_STATS, TOPIC_LIVE_CARD, TOPIC_PLAYER_PERFORMANCE, TOPIC_LIVE_SCORE)
+#: The folder of messages that can't be used.
+QUARANTINE = "quarantine"
+
+_EVENT = (
+    "value string, event_id long, event_timestamp timestamp_ntz, event_type string, team string, player string, "
+    "shots_taken int, goals_scored int, reason string, part string"
+)
+
 
 def topic_messages(
     spark: SparkSession,
-    topic: str,
+    topics: Sequence[str],
     topics_dir: str | None = None,
     kafka_servers: str | None = None,
     max_files_per_trigger: int | None = None,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Raw messages (column ``value``) of one topic.
+    """Raw messages (``topic, value``) of some topics.
 
     The files of all topics are read from their common folder, so that the log
     of a router stream tells which files are committed, and filtered on the
     partition column; a topic without any message yet is simply empty.
     """
     if kafka_servers:
-        stream = read_kafka_stream(spark, kafka_servers, topic, starting_offsets, max_offsets_per_trigger)
-        return stream.select("value")
+        stream = read_kafka_stream(spark, kafka_servers, ",".join(topics), starting_offsets, max_offsets_per_trigger)
+        return stream.select("topic", "value")
     fs.make_directory(spark, topics_dir)
     reader = spark.readStream.schema("value string, topic string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(topics_dir).where(F.col("topic") == topic).select("value")
+    return reader.parquet(topics_dir).where(F.col("topic").isin(*topics)).select("topic", "value")
+
+
+class ParsedEvents:
+    """The typed events of all topics and the messages that can't be used, under ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def parsed(self, messages: DataFrame) -> DataFrame:
+        """What is stored of ``topic, value`` messages; counted on the way as metric ``parsed``."""
+        rows = decode_json_events(messages, "value", with_event_id=True, ntz=True, keep=("topic",))
+        bad = F.col("reason").isNotNull()
+        rows = rows.withColumn("part", F.when(bad, F.lit(QUARANTINE)).otherwise(F.col("topic")))
+        rows = rows.withColumn("value", F.when(bad, F.col("value")))
+        names = [f.split(" ")[0] for f in _EVENT.split(", ")]
+        return rows.select(*names).observe(
+            "parsed", F.count(F.lit(1)).alias("input_rows"), F.count_if(bad).alias("quarantined")
+        )
+
+    def start(self, messages: DataFrame, checkpoint: str, trigger: dict, query_name: str) -> StreamingQuery:
+        """Parse and store ``topic, value`` messages: one micro-batch, both outputs."""
+        writer = self.parsed(messages).writeStream.format("parquet").partitionBy("part")
+        writer = writer.option("path", self.path).option("checkpointLocation", checkpoint)
+        return writer.queryName(query_name).trigger(**trigger).start()
+
+    def events(self, topic: str) -> DataFrame:
+        """The stream of a topic's typed events; counted on the way as metric ``read``."""
+        fs.make_directory(self.spark, self.path)
+        rows = self.spark.readStream.schema(_EVENT).parquet(self.path).where(F.col("part") == topic)
+        return rows.drop("value", "reason", "part").observe("read", F.count(F.lit(1)).alias("input_rows"))
+
+    def quarantine(self) -> DataFrame:
+        """``value, reason`` of the messages that can't be used."""
+        if not any(n.startswith("part=") for n in fs.list_names(self.spark, self.path)):
+            return self.spark.createDataFrame([], "value string, reason string")
+        rows = self.spark.read.schema(_EVENT).parquet(self.path)
+        return rows.where(F.col("part") == QUARANTINE).select("value", "reason")
 
 
 def start_router_stream(
@@ -121,6 +175,9 @@ def by_key(keys: Sequence[str]):
     return ("key_bucket", F.format_string("%03d", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")))
 
 
+ResultTables = KeyedTable | JdbcKeyedTable | GoalTables | ParsedEvents
+
+
 def start_match_streams(
     spark: SparkSession,
     out_dir: str,
@@ -130,25 +187,30 @@ def start_match_streams(
     max_files_per_trigger: int | None = None,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
-    jdbc: Callable[[str, Sequence[str]], JdbcKeyedTable] | None = None,
+    jdbc: Callable[..., JdbcKeyedTable] | None = None,
     bucket: str = "day",
-) -> dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]]:
-    """Start every family's query; returns name -> (query, result table or path).
-
-    ``jdbc`` makes the database table of a name and keys; without it the results
-    are keyed file tables, with partitions by ``bucket`` ("day" or "hour") of
-    their windows.  The yellow-card table with both flags needs whole
-    windows at each merge and stays a file table.  If one query can't start,
-    those that did are stopped.
+) -> dict[str, tuple[StreamingQuery, ResultTables]]:
+    """Start the parsing and every family's query; returns name -> (query, result table).
+
+    ``jdbc(name, keys, flag=None)`` makes the database table of a name and keys;
+    without it the results are keyed file tables, with partitions by ``bucket``
+    ("day" or "hour") of their windows.  With an ``availableNow`` trigger, the
+    default, the messages are parsed first and the families then find all of
+    them; else all run side by side.  If one query can't start, those that did are
+    stopped.
     """
-    started: dict[str, tuple[StreamingQuery, KeyedTable | JdbcKeyedTable | str]] = {}
+    started: dict[str, tuple[StreamingQuery, ResultTables]] = {}
+    trigger = trigger or {"availableNow": True}
+    out = out_dir.rstrip("/")
+    messages = topic_messages(
+        spark, TOPICS, topics_dir, kafka_servers, max_files_per_trigger, starting_offsets, max_offsets_per_trigger
+    )
+    parsed = ParsedEvents(spark, f"{out}/events")
     try:
-        _start_all(
-            started, spark, out_dir.rstrip("/"), trigger, jdbc, bucket,
-            lambda topic: topic_messages(
-                spark, topic, topics_dir, kafka_servers, max_files_per_trigger, starting_offsets, max_offsets_per_trigger
-            ),
-        )
+        started["parsed"] = (parsed.start(messages, _checkpoint(out, "parsed"), trigger, "parsed"), parsed)
+        if "availableNow" in trigger:
+            await_all(started)
+        _start_families(started, spark, out, trigger, jdbc, bucket, parsed)
     except BaseException:
         for query, _ in started.values():
             query.stop()
@@ -156,68 +218,49 @@ def start_match_streams(
     return started
 
 
-def _start_all(started, spark, out, trigger, jdbc, bucket, messages) -> None:
-    def parsed(topic: str, with_event_id: bool = False) -> tuple[DataFrame, DataFrame]:
-        return parse_json_events(messages(topic), "value", with_event_id=with_event_id, ntz=True)
+def _checkpoint(out: str, name: str) -> str:
+    return f"{out}/_checkpoints/{name}"
 
+
+def _start_families(started, spark, out, trigger, jdbc, bucket, parsed: ParsedEvents) -> None:
     def table(name: str, keys, part=None) -> KeyedTable | JdbcKeyedTable:
         return jdbc(name, keys) if jdbc else KeyedTable(spark, f"{out}/{name}", keys, part)
 
-    def ckpt(name: str) -> str:
-        return f"{out}/_checkpoints/{name}"
+    def start(name: str, stream: DataFrame, target, mode: str, transform=None) -> None:
+        query = start_to_table(stream, target, _checkpoint(out, name), mode, transform, trigger, name)
+        started[name] = (query, target)
 
-    quarantined = []
+    start("foul_stats", fouls_stream(parsed.events(TOPIC_TEAM_STATS)), table("foul_stats", FOUL_KEYS, by_window(bucket)), "update")
 
-    fouls, bad = parsed(TOPIC_TEAM_STATS)
-    quarantined.append(bad)
-    t = table("foul_stats", FOUL_KEYS, by_window(bucket))
-    started["foul_stats"] = (start_to_table(fouls_stream(fouls), t, ckpt("foul_stats"), "update",
-                                            trigger=trigger, query_name="foul_stats"), t)
+    if jdbc:
+        flag = GroupFlag(CARD_GROUPS, "team_momentum_lost", "yellow_cards", TEAM_MOMENTUM_MAX_CARDS)
+        cards = jdbc("yellow_card_stats", CARD_KEYS, flag)
+    else:
+        cards = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, by_window(bucket), momentum_batch, CARD_GROUPS)
+    start("yellow_card_stats", yellow_cards_stream(parsed.events(TOPIC_LIVE_CARD)), cards, "update")
+    closed = table("yellow_momentum_stats", CARD_KEYS, by_window(bucket))
+    stream = closed_yellow_cards_stream(parsed.events(TOPIC_LIVE_CARD))
+    start("yellow_momentum_stats", stream, closed, "append", momentum_batch)
 
-    cards, bad = parsed(TOPIC_LIVE_CARD)
-    quarantined.append(bad)
-    t = KeyedTable(spark, f"{out}/yellow_card_stats", CARD_KEYS, by_window(bucket), finalize=momentum_batch)
-    started["yellow_card_stats"] = (
-        start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_card_stats"), "update",
-                       trigger=trigger, query_name="yellow_card_stats"),
-        t,
-    )
-    t = table("yellow_momentum_stats", CARD_KEYS, by_window(bucket))
-    started["yellow_momentum_stats"] = (
-        start_to_table(yellow_cards_stream(cards), t, ckpt("yellow_momentum_stats"), "append",
-                       transform=momentum_batch, trigger=trigger, query_name="yellow_momentum_stats"),
-        t,
-    )
+    players = table("player_performance_stats", PLAYER_KEYS, by_key(PLAYER_KEYS))
+    stream = player_stats_stream(parsed.events(TOPIC_PLAYER_PERFORMANCE))
+    start("player_performance_stats", stream, players, "update", player_table_rows)
 
-    plays, bad = parsed(TOPIC_PLAYER_PERFORMANCE)
-    quarantined.append(bad)
-    t = table("player_performance_stats", PLAYER_KEYS, by_key(PLAYER_KEYS))
-    started["player_performance_stats"] = (
-        start_to_table(player_stats_stream(plays), t, ckpt("player_performance_stats"), "update",
-                       transform=player_table_rows, trigger=trigger, query_name="player_performance_stats"),
-        t,
-    )
+    goals = jdbc("goal_firsts", GOAL_FIRST_KEYS) if jdbc else GoalTables(spark, f"{out}/goals", bucket)
+    start("goals", goal_firsts_stream(parsed.events(TOPIC_LIVE_SCORE)), goals, "update")
 
-    goals, bad = parsed(TOPIC_LIVE_SCORE, with_event_id=True)
-    quarantined.append(bad)
-    t = table("goal_firsts", GOAL_FIRST_KEYS, goal_firsts_partition(bucket))
-    started["goal_firsts"] = (
-        start_to_table(goal_firsts_stream(goals), t, ckpt("goal_firsts"), "update",
-                       trigger=trigger, query_name="goal_firsts"),
-        t,
-    )
 
-    bad_all = quarantined[0]
-    for other in quarantined[1:]:
-        bad_all = bad_all.unionByName(other)
-    writer = (
-        bad_all.writeStream.format("parquet")
-        .option("path", f"{out}/quarantine")
-        .option("checkpointLocation", ckpt("quarantine"))
-        .queryName("quarantine")
-        .trigger(**(trigger or {"availableNow": True}))
-    )
-    started["quarantine"] = (writer.start(), f"{out}/quarantine")
+def finish_match_streams(started: dict[str, tuple[StreamingQuery, ResultTables]], spark: SparkSession, out_dir: str) -> None:
+    """Wait for bounded runs, then write the windows that their end left open.
+
+    Append mode emits a window when the watermark passes its end, and the watermark
+    stops with the input.  The rest is read from the stopped query's state.
+    Should the input go on later, these windows are emitted again, with their
+    final counts.
+    """
+    await_all(started)
+    rest = open_windows(spark, _checkpoint(out_dir.rstrip("/"), "yellow_momentum_stats"))
+    started["yellow_momentum_stats"][1].merge(momentum_batch(rest))
 
 
 def await_all(started: dict[str, tuple[StreamingQuery, object]], timeout_s: float | None = None) -> None:

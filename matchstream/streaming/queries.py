@@ -10,25 +10,30 @@ watermark, the output mode, and — for the team flag — the per-batch step.
   one row per (team, player), only changed players are emitted.
 * scoreboard: the first goal of each event time, kept for ever (the exact
   form: no goal comes too late), then summed per team.
-* yellow momentum: per-player window counts in ``append`` mode.  A window is
+* yellow momentum: per-player window counts in ``append`` mode, from panes: one
+  aggregation counts each row once into its slide-wide pane, a second one adds
+  closed panes up to windows.  A window is
   emitted once, when the watermark passes its end, and *all* its rows leave
   the state in the same micro-batch; the team total is then an exact window
-  sum over that micro-batch (:func:`momentum_batch`).
+  sum over that micro-batch (:func:`momentum_batch`).  What is still open when
+  bounded input ends is read from the query's state (:func:`open_windows`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchstream.functions.casts import utc_instant
-from matchstream.operators.cards import card_events, with_team_momentum, yellow_cards_sliding
+from matchstream.operators.cards import card_events, player_alert, with_team_momentum, yellow_cards_sliding
 from matchstream.operators.fouls import fouls_tumbling
 from matchstream.operators.players import player_totals
 from matchstream.operators.scoreboard import goal_events
 from matchstream.schema import CARD_SLIDE, CARD_WINDOW, FOUL_WINDOW, WATERMARK_DELAY
-from matchstream.sinks.keyed_table import KeyedTable
+from matchstream.sinks import fs
 
 EVENT_TIME = "event_timestamp"
 
@@ -59,6 +64,50 @@ def yellow_cards_stream(
     return yellow_cards_sliding(cards, duration, slide, strategy="native")
 
 
+def closed_yellow_cards_stream(
+    events: DataFrame, duration: str = CARD_WINDOW, slide: str = CARD_SLIDE, delay: str = WATERMARK_DELAY
+) -> DataFrame:
+    """Output mode ``append``; the rows of :func:`yellow_cards_stream`, of closed windows only.
+
+    Two chained time-window aggregations: the state holds one row for each pane
+    and player that has cards, and one for each open window, instead of each
+    event being copied ``duration / slide`` times on its way to the state.  A row
+    is late when its pane is closed, ``delay`` after the pane's end.
+    """
+    cards = card_events(with_event_time(events)).withWatermark(EVENT_TIME, delay)
+    panes = cards.groupBy(F.window(EVENT_TIME, slide).alias("pane"), "team", "player").agg(F.count(F.lit(1)).alias("cards"))
+    panes = panes.select("team", "player", "cards", F.window_time("pane").alias("pane_time"))
+    windows = panes.groupBy(F.window("pane_time", duration, slide).alias("window"), "team", "player")
+    return _card_rows(windows.agg(F.sum("cards").alias("yellow_cards")))
+
+
+def _card_rows(windows: DataFrame) -> DataFrame:
+    bounds = (F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"))
+    return windows.select("team", "player", "yellow_cards", *bounds).withColumn("player_alert", player_alert())
+
+
+def open_windows(spark: SparkSession, checkpoint: str, duration: str = CARD_WINDOW, slide: str = CARD_SLIDE) -> DataFrame:
+    """The rows of the windows that a stopped :func:`closed_yellow_cards_stream` has not closed.
+
+    They are in the state at the query's checkpoint: sums of closed panes in the
+    windows' state, and panes that are still open in the panes' state.  The input
+    is not read again.  A query that has run no batch has no open windows.
+    """
+    parts = [spark.createDataFrame([], "window struct<start: timestamp, end: timestamp>, team string, player string, cards long")]
+    if any(n.isdigit() for n in fs.list_names(spark, f"{checkpoint.rstrip('/')}/commits")):
+        for operator in (0, 1):
+            state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+            rows = state.select("key.*", "value.*")
+            if "sum" in rows.columns:
+                parts.append(rows.withColumnRenamed("sum", "cards"))
+            else:  # panes: the last moment of each tells its windows
+                moment = F.col("window.end") - F.expr("INTERVAL 1 MICROSECOND")
+                panes = rows.select("team", "player", F.col("count").alias("cards"), moment.alias("at"))
+                parts.append(panes.select("team", "player", "cards", F.window("at", duration, slide).alias("window")))
+    rows = reduce(DataFrame.unionByName, parts)
+    return _card_rows(rows.groupBy("window", "team", "player").agg(F.sum("cards").alias("yellow_cards")))
+
+
 def momentum_batch(closed_windows: DataFrame) -> DataFrame:
     """Per micro-batch of closed windows (append mode): attach the team flag."""
     return with_team_momentum(closed_windows)
@@ -127,25 +176,6 @@ def goal_firsts_stream(events: DataFrame, delay: str | None = None) -> DataFrame
     )
 
 
-def flush_open_windows(
-    table: KeyedTable, events: DataFrame, duration: str, slide: str, delay: str = WATERMARK_DELAY
-) -> None:
-    """At the end of a bounded replay: write the windows that the watermark never closed.
-
-    Append mode emits a window when the watermark passes its end; those that are
-    still open when the input ends (at most ``duration + delay`` of it) are
-    computed from the events of that last stretch and merged.
-    """
-    cards = card_events(with_event_time(events))
-    last = cards.agg(F.max(EVENT_TIME)).first()[0]
-    if last is None:
-        return
-    closed = F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-    stretch = cards.where(F.col(EVENT_TIME) >= closed - F.expr(f"INTERVAL {duration}"))
-    windows = yellow_cards_sliding(stretch, duration, slide).where(F.col("window_end") > closed)
-    table.merge(momentum_batch(windows))
-
-
 def goal_firsts_partition(granularity: str = "day") -> tuple[str, F.Column]:
     """Partitions of the firsts table: a merge rewrites the touched ones.
 

@@ -1,35 +1,29 @@
-"""Run streaming metrics into keyed tables.
+"""Run streaming metrics into result tables.
 
 Every query has a checkpoint (offsets + state) in the shared work folder and
-writes through ``foreachBatch`` into a :class:`KeyedTable`, so a restart on the
-same checkpoint resumes exactly where it stopped and a replayed micro-batch is
-skipped by the table.  Several queries can run side by side in one session.
+writes through ``foreachBatch`` into a table that takes upserts, so a restart on the
+same checkpoint resumes exactly where it stopped and a replayed micro-batch
+leaves the same rows.  Several queries can run side by side in one session.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
+from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from matchstream.sinks import fs
-from matchstream.sinks.jdbc_merge import JdbcKeyedTable
-from matchstream.sinks.keyed_table import KeyedTable
 
+class ResultTable(Protocol):
+    """What a query writes to: a keyed file table, a database table or both goal tables."""
 
-def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark stored in a checkpoint when its query first started.
-
-    It stays the same over restarts; a new checkpoint at an old path has another.
-    """
-    return json.loads(fs.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None: ...
 
 
 def start_to_table(
     stream: DataFrame,
-    table: KeyedTable | JdbcKeyedTable,
+    table: ResultTable,
     checkpoint: str,
     output_mode: str = "update",
     transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -38,10 +32,8 @@ def start_to_table(
 ) -> StreamingQuery:
     """Start ``stream`` writing into ``table``; ``transform`` runs per micro-batch."""
 
-    merge = table.batch_writer(query_id=lambda: checkpoint_id(table.spark, checkpoint))
-
-    def write(batch_df: DataFrame, batch_id: int) -> None:
-        merge(transform(batch_df) if transform else batch_df, batch_id)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(transform(batch) if transform else batch, batch_id)
 
     writer = (
         stream.writeStream.outputMode(output_mode)
@@ -56,7 +48,7 @@ def start_to_table(
 
 def run_available(
     stream: DataFrame,
-    table: KeyedTable,
+    table: ResultTable,
     checkpoint: str,
     output_mode: str = "update",
     transform: Callable[[DataFrame], DataFrame] | None = None,

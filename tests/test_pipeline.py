@@ -18,8 +18,7 @@ from matchstream.operators.cards import with_team_momentum_join
 from matchstream.operators.routing import write_routed_files
 from matchstream.plans.batch import register_views, run_match_report
 from matchstream.sources.testdata import load_match_events_from_testdata
-from matchstream.streaming.queries import scoreboard_from_firsts
-from matchstream.streaming.pipeline import await_all, start_match_streams
+from matchstream.streaming.pipeline import await_all, finish_match_streams, start_match_streams
 from matchstream.streaming.queries import player_table_rows
 from tests.conftest import SF001, SF01
 
@@ -45,7 +44,12 @@ def test_combined_report(spark, tmp_dir, persist):
     events = load_match_events_from_testdata(spark, SF001)
     paths = run_match_report(events, tmp_dir, persist=persist)
     assert set(paths) == {"family_counts", "yellow_card_stats", "player_performance_stats",
-                          "foul_stats", "scoreboard"}
+                          "foul_stats", "scoreboard", "report_progress"}
+    progress = {r.family: r for r in spark.read.parquet(paths["report_progress"]).collect()}
+    assert set(progress) == set(paths) - {"report_progress"}
+    for family, r in progress.items():
+        assert r.input_rows == events.count() and r.output_rows == spark.read.parquet(paths[family]).count()
+        assert r.seconds > 0 and r.events_per_s > 0
     assert _same(spark.read.parquet(paths["foul_stats"]), fouls_tumbling(events))
     assert _same(spark.read.parquet(paths["yellow_card_stats"]), yellow_momentum(events))
     assert not events.is_cached
@@ -78,12 +82,28 @@ def test_topic_pipeline_equals_batch(spark, tmp_dir):
                  yellow_momentum(events))
     assert _same(tables["player_performance_stats"].read(),
                  player_table_rows(player_totals(events, performance_only=True)))
-    assert _same(scoreboard_from_firsts(tables["goal_firsts"].read()), scoreboard(events))
+    assert _same(tables["goals"].board(), scoreboard(events))
     last = events.where("event_type = 'yellow_card'").agg(F.max("event_timestamp")).first()[0]
     closed = yellow_momentum(events).where(F.col("window_end") <= F.lit(last - dt.timedelta(minutes=2)))
     assert _same(_ntz(tables["yellow_momentum_stats"].read(), "window_start", "window_end"), closed)
-    bad = spark.read.parquet(tables["quarantine"])
-    assert sorted(r.reason for r in bad.collect()) == ["bad_timestamp", "malformed_json"]
+    bad = tables["parsed"].quarantine()
+    assert sorted((r.reason, r.value[:2]) for r in bad.collect()) == [("bad_timestamp", '{"'), ("malformed_json", "{o")]
+    finish_match_streams(started, spark, os.path.join(tmp_dir, "out"))
+    assert _same(_ntz(tables["yellow_momentum_stats"].read(), "window_start", "window_end"), yellow_momentum(events))
+
+
+def test_messages_are_parsed_once(spark, tmp_dir):
+    """One query parses all topics and writes both outputs; the families read typed rows."""
+    events = load_match_events_from_testdata(spark, SF001)
+    topics = os.path.join(tmp_dir, "topics")
+    write_routed_files(route_topics(events, with_event_id=True), topics)
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
+    await_all(started)
+    parsing = [n for n, (q, _) in started.items() if "JsonToStructs" in str(q._jsq.explainInternal(True)) or "from_json" in str(q._jsq.explainInternal(True))]
+    assert parsing == ["parsed"]
+    rows = started["parsed"][1].parsed(spark.read.schema("value string, topic string").parquet(topics))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
 
 
 def test_goals_only(spark, tmp_dir):
@@ -93,14 +113,16 @@ def test_goals_only(spark, tmp_dir):
     write_routed_files(route_topics(events, with_event_id=True).where("topic = 'live_score'"), topics)
     started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
     await_all(started)
-    assert _same(scoreboard_from_firsts(started["goal_firsts"][1].read()), scoreboard(events))
+    assert _same(started["goals"][1].board(), scoreboard(events))
     assert started["foul_stats"][1].read() is None
 
 
 def test_no_topics_at_all(spark, tmp_dir):
     started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=os.path.join(tmp_dir, "none"))
     await_all(started)
-    assert started["goal_firsts"][1].read() is None
+    assert started["goals"][1].read() is None and started["parsed"][1].quarantine().count() == 0
+    finish_match_streams(started, spark, os.path.join(tmp_dir, "out"))
+    assert started["yellow_momentum_stats"][1].read() is None
 
 
 def test_one_failure_stops_the_others(spark, tmp_dir):
@@ -129,12 +151,15 @@ def test_database_sink(spark, tmp_dir):
     write_routed_files(route_topics(events, with_event_id=True), topics)
     url = f"jdbc:derby:{os.path.join(tmp_dir, 'db')};create=true"
 
-    def table(name, keys):
+    def table(name, keys, flag=None):
         types = ", ".join(f"{k} VARCHAR(100)" for k in keys if k in ("team", "player")) or None
         return JdbcKeyedTable(spark, url, name, keys, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
-                              column_types=types, query=name)
+                              column_types=types, query=name, flag=flag)
 
-    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics, jdbc=table)
-    await_all(started)
+    started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics, jdbc=table, max_files_per_trigger=1)
+    finish_match_streams(started, spark, os.path.join(tmp_dir, "out"))
     fouls = started["foul_stats"][1].read()
     assert _same(_ntz(fouls, "window_start", "window_end"), fouls_tumbling(events))
+    for name in ("yellow_card_stats", "yellow_momentum_stats"):  # the flags too
+        cards = started[name][1].read()
+        assert _same(_ntz(cards, "window_start", "window_end"), yellow_momentum(events))

@@ -55,7 +55,7 @@ def test_sliding_counts_match_brute_force(spark, evs, shape):
     df = frame(spark, evs)
     expected = brute_sliding(evs, duration_s, slide_s)
     epoch = dt.datetime(1970, 1, 1)
-    for strategy in ("native", "panes", "blocks"):
+    for strategy in ("native", "panes"):
         if strategy != "native" and duration_s == slide_s:
             strategy = "auto"
         got = yellow_cards_sliding(df, f"{duration_s} seconds", f"{slide_s} seconds", strategy=strategy)
@@ -112,11 +112,11 @@ def test_strategies_agree_on_driver_data(spark):
         return
     ev = load_match_events_from_testdata(spark, SF01, ["yellow_card"])
     results = [
-        yellow_cards_sliding(ev, "60 minutes", "1 minute", strategy=s) for s in ("native", "panes", "blocks")
+        yellow_cards_sliding(ev, "60 minutes", "1 minute", strategy=s) for s in ("native", "panes")
     ]
     for other in results[1:]:
         assert results[0].exceptAll(other).count() == 0 and other.exceptAll(results[0]).count() == 0
-    ym = yellow_momentum(ev, "60 minutes", "1 minute")  # auto -> blocks, flag via window
+    ym = yellow_momentum(ev, "60 minutes", "1 minute")  # 60 windows a row
     joined = yellow_momentum(ev, "60 minutes", "1 minute", strategy="native", method="join")
     assert ym.exceptAll(joined.select(*ym.columns)).count() == 0
     assert joined.exceptAll(ym.select(*joined.columns)).count() == 0

@@ -1,17 +1,19 @@
 """The keyed table loses and duplicates nothing; progress and reads are whole."""
 
-import json
+import datetime as dt
 import os
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from matchstream.sinks import fs
-from matchstream.sinks.keyed_table import VACUUM_EVERY, KeyedTable
-from matchstream.streaming.progress import ProgressLog, progress_summary
-from matchstream.streaming.queries import goal_firsts_stream, scoreboard_from_firsts, scoreboard_stream
-from matchstream.streaming.runner import checkpoint_id, run_available
+from matchstream.operators.cards import with_team_momentum
+from matchstream.schema import CARD_GROUPS, CARD_KEYS
+from matchstream.sinks.keyed_table import KeyedTable
+from matchstream.streaming.goals import GoalTables
+from matchstream.streaming.progress import COMPACT_FROM, ProgressLog, progress_summary
+from matchstream.streaming.queries import goal_firsts_stream, scoreboard_stream
+from matchstream.streaming.runner import run_available
 
 SCHEMA = "team string, player string, n long"
 
@@ -24,44 +26,122 @@ def stored(table):
     return sorted((tuple(r) for r in table.read().collect()), key=str)
 
 
-def test_merges_without_ids_all_count(spark, tmp_dir):
+def test_merges_all_count(spark, tmp_dir):
     table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    assert table.read() is None
     assert table.merge(rows(spark, ("A", None, 1)))
     assert table.merge(rows(spark, ("A", None, 2), ("B", None, 5)))
     assert stored(table) == [("A", None, 2), ("B", None, 5)]
+    assert table.merge(rows(spark)) == []
+    assert stored(table) == [("A", None, 2), ("B", None, 5)]
 
 
 def test_null_is_a_key_of_its_own(spark, tmp_dir):
     table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team", "player"])
     for n in (1, 2, 3):
-        table.merge(rows(spark, ("A", None, n), (None, None, n), (None, "p", n)), "q", n)
+        table.merge(rows(spark, ("A", None, n), (None, None, n), (None, "p", n)))
     assert stored(table) == sorted([("A", None, 3), (None, None, 3), (None, "p", 3)], key=str)
 
 
-def test_unreadable_newest_record(spark, tmp_dir):
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
-    table.merge(rows(spark, ("A", None, 1)), "q", 0)
-    open(os.path.join(tmp_dir, "t", "_log", "00000001.json"), "w").close()
-    assert stored(table) == [("A", None, 1)]
-    assert table.merge(rows(spark, ("B", None, 2)), "q", 1)
-    assert stored(table) == [("A", None, 1), ("B", None, 2)]
-
-
-def test_commit_is_atomic_and_exclusive(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "d", "x.json")
-    assert fs.write_new_text(spark, path, "{}")
-    assert not fs.write_new_text(spark, path, "other")
-    assert fs.read_text(spark, path) == "{}"
-    assert [n for n in os.listdir(os.path.dirname(path)) if not n.endswith(".crc")] == ["x.json"]
-
-
-def test_log_and_versions_stay_bounded(spark, tmp_dir):
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
-    for i in range(VACUUM_EVERY + 1):
-        table.merge(rows(spark, ("A", None, i)), "q", i)
-    logs = [n for n in os.listdir(os.path.join(tmp_dir, "t", "_log")) if n.endswith(".json") and n[0] != "."]
-    assert len(logs) <= VACUUM_EVERY // 2 + 2
-    assert stored(table) == [("A", None, VACUUM_EVERY)]
+def by_tens(spark, path):
+    return KeyedTable(spark, path, ["n"], ("tens", F.format_string("%03d", (F.col("n") / 10).cast("int"))))
+
+
+def numbers(spark, n, team="A"):
+    return spark.range(n).select(F.lit(team).alias("team"), F.lit("p").alias("player"), F.col("id").alias("n"))
+
+
+def test_only_touched_buckets_are_overwritten(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    table = by_tens(spark, path)
+    table.merge(numbers(spark, 40))
+
+    def files():
+        return {b: sorted(os.listdir(os.path.join(path, b))) for b in os.listdir(path) if b.startswith("tens=")}
+
+    before = files()
+    assert table.merge(numbers(spark, 40, "B").where("n in (17, 31)")) == ["001", "003"]
+    after = files()
+    assert sorted(before) == sorted(after) == ["tens=000", "tens=001", "tens=002", "tens=003"]
+    assert sorted(b for b in before if before[b] != after[b]) == ["tens=001", "tens=003"]
+    assert {r.n: r.team for r in table.read().collect()} == {n: "B" if n in (17, 31) else "A" for n in range(40)}
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("where", ["before the copy is whole", "before the exchange", "within the exchange", "after it"])
+def test_killed_and_replayed_batch_leaves_the_same_rows(spark, tmp_dir, monkeypatch, where):
+    path = os.path.join(tmp_dir, "t")
+    table = by_tens(spark, path)
+    table.merge(numbers(spark, 40))
+    update = numbers(spark, 60, "B").where("n % 7 = 0")
+    want = sorted([("B" if n % 7 == 0 else "A", "p", n) for n in range(40)] + [("B", "p", n) for n in (42, 49, 56)], key=str)
+
+    def kill(*_):
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        if where == "before the copy is whole":
+            table._write(table._with_bucket(update))  # then its copy is replaced by a cut-off one
+            shutil.rmtree(path)
+            table.merge(numbers(spark, 40))
+            os.makedirs(f"{path}.next/tens=000")
+            open(f"{path}.next/tens=000/part-0.parquet", "w").close()
+        else:
+            if where == "after it":
+                patch.setattr("matchstream.sinks.keyed_table.fs.delete_tree", kill)
+            else:
+                patch.setattr(KeyedTable, "_exchange", kill)
+                patch.setattr(KeyedTable, "merge", lambda s, u: s._write(s.merged(s.read(s.touched(u)), u)))
+            with pytest.raises(Killed):
+                table.merge(update)
+            if where == "within the exchange":  # some buckets are gone, others not yet exchanged
+                shutil.rmtree(os.path.join(path, "tens=000"))
+                shutil.rmtree(os.path.join(path, "tens=002"))
+            assert stored(by_tens(spark, path)) == want  # readers see the whole copy
+    again = by_tens(spark, path)
+    again.merge(update)
+    assert stored(again) == want
+    assert not os.path.exists(f"{path}.next")
+    again.merge(update)
+    assert stored(again) == want
+
+
+def test_flag_of_touched_groups_only(spark, tmp_dir):
+    def cards(*values):
+        made = [(t, p, n, dt.datetime(2024, 1, 1, h), dt.datetime(2024, 1, 1, h + 1), n >= 2) for t, p, n, h in values]
+        return spark.createDataFrame(made, "team string, player string, yellow_cards long, window_start timestamp, window_end timestamp, player_alert boolean")
+
+    runs = []
+
+    def finalize(df):
+        runs.append(sorted(((r.team, r.player, r.yellow_cards) for r in df.collect()), key=str))
+        return with_team_momentum(df)
+
+    day = ("day", F.date_format("window_start", "yyyy-MM-dd"))
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), CARD_KEYS, day, finalize, CARD_GROUPS)
+    table.merge(cards(("A", "x", 2, 1), ("A", "y", 1, 1), ("B", "z", 4, 1), ("A", "x", 1, 2), (None, "q", 9, 1)))
+    table.merge(cards(("A", "y", 2, 1)))
+    assert runs[1] == [("A", "x", 2), ("A", "y", 2)]  # the teammate of that window, nobody else
+    flags = {(r.team, r.player, r.window_start.hour): (r.yellow_cards, r.team_momentum_lost) for r in table.read().collect()}
+    assert flags == {
+        ("A", "x", 1): (2, True), ("A", "y", 1): (2, True), ("B", "z", 1): (4, True), ("A", "x", 2): (1, False), (None, "q", 1): (9, True),
+    }
+
+
+def test_flags_are_computed_below_a_semi_join(spark, tmp_dir):
+    from tests.plan_utils import plan_text
+
+    day = ("day", F.date_format("window_start", "yyyy-MM-dd"))
+    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), CARD_KEYS, day, with_team_momentum, CARD_GROUPS)
+    schema = "team string, player string, yellow_cards long, window_start timestamp, window_end timestamp, player_alert boolean"
+    update = spark.createDataFrame([("A", "x", 1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 1), False)], schema)
+    table.merge(update)
+    text = plan_text(table.merged(table.read(), update))
+    window = text.index("Window")
+    assert "LeftSemi" in text[window:] and text.count("Window [") + text.count("Window (") >= 1
 
 
 def _goals(spark, folder, name, *values):
@@ -81,55 +161,82 @@ def _stream(spark, folder, schema):
 def test_late_goal_counts(spark, tmp_dir, form):
     src = os.path.join(tmp_dir, "in")
     schema = _goals(spark, src, "a", ("2024-01-01 10:00:00", "A", 1))
-    _goals(spark, src, "b", ("2024-01-01 11:00:00", "A", 1))
-    _goals(spark, src, "c", ("2024-01-01 12:00:00", "A", 1))
+    _goals(spark, src, "b", ("2024-01-02 11:00:00", "A", 1))
+    _goals(spark, src, "c", ("2024-01-03 12:00:00", "A", 1))
     _goals(spark, src, "d", ("2024-01-01 09:00:00", "A", 10), ("2024-01-01 10:00:00", "A", 1))  # late, and a repeat
-    key = "team" if form is scoreboard_stream else "event_timestamp"
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), [key])
+    if form is scoreboard_stream:
+        table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
+    else:
+        table = GoalTables(spark, os.path.join(tmp_dir, "t"))
     run_available(form(_stream(spark, src, schema)), table, os.path.join(tmp_dir, "ck"))
-    board = table.read() if form is scoreboard_stream else scoreboard_from_firsts(table.read())
+    board = table.read() if form is scoreboard_stream else table.board()
     assert {r.team: r.goals for r in board.collect()}["A"] == 13
 
 
+def test_board_reads_no_first_goals(spark, tmp_dir):
+    goals = GoalTables(spark, os.path.join(tmp_dir, "g"))
+    schema = "event_timestamp timestamp, event_id long, team string, goals long"
+
+    def merge(*values):
+        goals.merge(spark.createDataFrame([(dt.datetime(2024, 1, d, h), i, t, n) for d, h, i, t, n in values], schema))
+
+    assert {r.goals for r in goals.board().collect()} == {0}
+    merge((1, 1, 5, "A", 1), (1, 2, 6, "A", 2), (2, 1, 7, "B", 3))
+    closed = sorted(os.listdir(os.path.join(tmp_dir, "g", "totals", "goal_day=20240102")))
+    merge((1, 1, 4, "C", 1))  # an earlier event of the same time takes the goal from A
+    board = goals.board()
+    assert all("/totals/" in f for f in board.inputFiles())
+    got = {r.team: r.goals for r in board.collect() if r.goals}
+    assert got == {"A": 2, "B": 3, "C": 1}
+    assert sorted(os.listdir(os.path.join(tmp_dir, "g", "totals", "goal_day=20240102"))) == closed
+
+
 def test_new_checkpoint_at_an_old_path(spark, tmp_dir):
     src, ck = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ck")
     schema = _goals(spark, src, "a", ("2024-01-01 10:00:00", "A", 1))
     _goals(spark, src, "b", ("2024-01-01 11:00:00", "A", 1))
     table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
     run_available(scoreboard_stream(_stream(spark, src, schema)), table, ck)
-    old = checkpoint_id(spark, ck)
-    shutil.move(ck, ck + "-old")
     _goals(spark, src, "c", ("2024-01-01 12:00:00", "B", 5))
-    run_available(scoreboard_stream(_stream(spark, src, schema)), table, ck)  # batch ids start at 0 again
-    assert checkpoint_id(spark, ck) != old
+    run_available(scoreboard_stream(_stream(spark, src, schema)), table, ck + "-new")  # batch ids start at 0 again
     assert {r.team: r.goals for r in table.read().collect()} == {"A": 2, "B": 5}
 
 
 def test_progress_of_more_batches_than_spark_keeps(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "in")
+    src, path = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "progress")
     df = spark.range(330).repartition(110).withColumn("x", F.lit(1))
     df.write.parquet(src)
-    with ProgressLog(spark, os.path.join(tmp_dir, "progress")) as log:
-        q = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src).writeStream.format("noop")
+    with ProgressLog(spark, path) as log:
+        counted = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        counted = counted.observe("m", F.count(F.lit(1)).alias("input_rows"), F.count_if(F.col("id") % 10 == 0).alias("quarantined"))
+        q = (counted.writeStream.format("noop")
              .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
         q.awaitTermination()
     assert len(q.recentProgress) <= 100
     total = next(r for r in progress_summary(log.rows()).collect() if r.query == "all")
-    assert total.input_rows == 330 and total.batches >= 110
+    assert total.input_rows == 330 and total.batches >= 110 >= COMPACT_FROM and total.quarantined == 33
+    names = [n for n in os.listdir(path) if not n.startswith(".")]
+    assert len(names) == 1  # the small records are one file now
+    log.compact()
+    assert progress_summary(log.rows()).where("query = 'all'").first().input_rows == 330
+
 
+def test_crash_within_compaction_counts_nothing_twice(spark, tmp_dir, monkeypatch):
+    from matchstream.sinks import fs
 
-def test_newest_rows_open_only_the_newest_partitions(spark, tmp_dir):
+    log = ProgressLog(spark, os.path.join(tmp_dir, "p"))
+    for i in range(3):
+        text = f'{{"run": "r", "moment": "{i}", "query": "q", "batch_id": {i}, "input_rows": 5, "quarantined": 0, "late_rows": 1, "duration_ms": 7}}'
+        fs.write_new_text(spark, f"{log.path}/progress-r-{i}-{i}.json", text)
+    monkeypatch.setattr("matchstream.streaming.progress.fs.delete_tree", lambda *_: None)
+    log.compact()
+    os.makedirs(os.path.join(log.path, "records-cut-off"))
+    assert tuple(log.rows().agg(F.sum("input_rows"), F.sum("late_rows")).first()) == (15, 3)
+
+
+def test_newest_rows_open_only_the_newest_buckets(spark, tmp_dir):
     table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["n"], ("day", F.format_string("%03d", F.col("n").cast("int") % 10)))
-    table.merge(spark.range(100).select(F.lit("A").alias("team"), F.lit("p").alias("player"), F.col("id").alias("n")))
+    table.merge(numbers(spark, 100))
     newest = table.read_newest(15)
     assert len(newest.inputFiles()) == 2 and {r.n % 10 for r in newest.collect()} == {9, 8}
     assert table.read_newest(1000).count() == 100
-
-
-def test_one_event_rewrites_one_partition(spark, tmp_dir):
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["n"], ("day", (F.col("n") % 10).cast("string")))
-    every = spark.range(100).select(F.lit("A").alias("team"), F.lit("p").alias("player"), F.col("id").alias("n"))
-    table.merge(every)
-    table.merge(every.where("n = 7"))
-    parts = json.loads(json.dumps(table.head()["parts"]))
-    assert [k for k, v in parts.items() if v.startswith("v00000001")] == ["7"]

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from matchstream.operators import fouls_tumbling, player_totals, scoreboard, yellow_cards_sliding
 from matchstream.operators.cards import yellow_momentum
+from matchstream.schema import CARD_GROUPS
 from matchstream.sinks.keyed_table import KeyedTable
 from matchstream.sources.testdata import load_match_events_from_testdata
 from matchstream.streaming.catalog import event_stream
 from matchstream.streaming.progress import ProgressLog, progress_summary
 from matchstream.streaming.queries import (
+    closed_yellow_cards_stream,
     fouls_stream,
     momentum_batch,
+    open_windows,
     player_stats_stream,
     player_table_rows,
-    scoreboard_from_firsts,
     scoreboard_stream,
     yellow_cards_stream,
 )
@@ -88,23 +90,42 @@ def test_stream_equals_batch(spark, tmp_dir, n_files):
     assert _same(board.read(), scoreboard(batch))
 
 
-def test_momentum_append_equals_closed_batch_windows(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "in")
-    split_events(SF01, src, 4)
+@pytest.mark.parametrize("n_files", [1, 4])
+def test_momentum_append_equals_closed_batch_windows(spark, tmp_dir, n_files):
+    src, ck = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ck")
+    split_events(SF01, src, n_files)
     batch = load_match_events_from_testdata(spark, SF01)
     table = KeyedTable(spark, os.path.join(tmp_dir, "m"), ["team", "player", "window_start"])
-    stream = yellow_cards_stream(
+    stream = closed_yellow_cards_stream(
         event_stream(spark, src, "yellow_card", max_files_per_trigger=1, glob="*.parquet"),
         "60 minutes", "10 minutes",
     )
-    run_available(stream, table, os.path.join(tmp_dir, "ck"), "append", transform=momentum_batch)
+    run_available(stream, table, ck, "append", transform=momentum_batch)
     last = batch.where("event_type = 'yellow_card'").agg(F.max("event_timestamp")).first()[0]
-    expected = yellow_momentum(batch, "60 minutes", "10 minutes").where(
-        F.col("window_end") <= F.lit(last - pd.Timedelta(minutes=2).to_pytimedelta())
-    )
+    expected = yellow_momentum(batch, "60 minutes", "10 minutes")
+    closed = expected.where(F.col("window_end") <= F.lit(last - pd.Timedelta(minutes=2).to_pytimedelta()))
     got = _ntz(table.read(), "window_start", "window_end")
     assert got.count() == 9628
-    assert _same(got, expected)
+    assert _same(got, closed)
+    rest = open_windows(spark, ck, "60 minutes", "10 minutes")
+    assert rest.count() == 16
+    table.merge(momentum_batch(rest))
+    assert _same(_ntz(table.read(), "window_start", "window_end"), expected)
+
+
+def test_state_of_closed_cards_is_one_row_a_pane(spark, tmp_dir):
+    """The first state holds panes, not a copy of each event for each of its windows."""
+    src, ck = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "ck")
+    split_events(SF01, src, 1)
+    stream = closed_yellow_cards_stream(event_stream(spark, src, "yellow_card", glob="*.parquet"), "60 minutes", "10 minutes")
+    q = run_available(stream, KeyedTable(spark, os.path.join(tmp_dir, "m"), ["team", "player", "window_start"]), ck, "append")
+    panes = load_match_events_from_testdata(spark, SF01, ("yellow_card",)).groupBy(F.window("event_timestamp", "10 minutes"), "team", "player")
+    updated = [[o.numRowsUpdated for o in p.stateOperators] for p in q.recentProgress if p.numInputRows]
+    assert updated[0][-1] == panes.count().count()
+
+
+def test_no_open_windows_without_a_batch(spark, tmp_dir):
+    assert open_windows(spark, os.path.join(tmp_dir, "none")).count() == 0
 
 
 def test_restart_on_same_checkpoint_replays_nothing(spark, tmp_dir):
@@ -122,10 +143,10 @@ def test_restart_on_same_checkpoint_replays_nothing(spark, tmp_dir):
         return run_available(fouls_stream(s), table, ck)
 
     run()
-    first_version = table.head()["version"]
+    files = sorted(table.read().inputFiles())
     q = run()  # nothing new: no new data batch, table unchanged
     assert sum(p.numInputRows for p in q.recentProgress) == 0
-    assert table.head()["version"] == first_version
+    assert sorted(table.read().inputFiles()) == files
     for p in paths[2:]:
         os.link(p, os.path.join(live, os.path.basename(p)))
     run()
@@ -133,48 +154,6 @@ def test_restart_on_same_checkpoint_replays_nothing(spark, tmp_dir):
     assert _same(_ntz(table.read(), "window_start", "window_end"), fouls_tumbling(batch))
 
 
-def test_retry_after_partial_write(spark, tmp_dir):
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
-    table.merge(spark.createDataFrame([("A", 1)], "team string, goals bigint"), "q", 0)
-    # a previous attempt of version 1 died after writing some files
-    dead = os.path.join(tmp_dir, "t", "v00000001-00000000")
-    os.makedirs(dead)
-    with open(os.path.join(dead, "part-0.parquet"), "wb") as f:
-        f.write(b"garbage")
-    assert table.merge(spark.createDataFrame([("A", 2)], "team string, goals bigint"), "q", 1)
-    assert [tuple(r) for r in table.read().collect()] == [("A", 2)]
-
-
-def test_replayed_batch_is_skipped_and_idempotent(spark, tmp_dir):
-    rows = spark.createDataFrame([("A", 1), ("B", 2)], "team string, goals bigint")
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
-    assert table.merge(rows, query_id="q", batch_id=0)
-    assert not table.merge(rows, query_id="q", batch_id=0)  # same batch again: skipped
-    upd = spark.createDataFrame([("B", 5), ("C", 1)], "team string, goals bigint")
-    assert table.merge(upd, query_id="q", batch_id=1)
-    assert table.merge(upd, query_id="other", batch_id=0)  # new query: applied, same result
-    assert sorted(tuple(r) for r in table.read().collect()) == [("A", 1), ("B", 5), ("C", 1)]
-
-
-def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmp_dir):
-    import datetime as dt
-
-    def rows(*vals):
-        return spark.createDataFrame(
-            [(team, dt.datetime(2024, 1, d, 0, 0), n) for team, d, n in vals],
-            "team string, window_start timestamp, fouls long",
-        )
-
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team", "window_start"],
-                       ("window_date", F.to_date("window_start")))
-    table.merge(rows(("A", 1, 1), ("A", 2, 1)), "q", 0)
-    table.merge(rows(("A", 2, 7)), "q", 1)
-    head = table.head()
-    assert {k: v[:9] for k, v in head["parts"].items()} == {"2024-01-01": "v00000000", "2024-01-02": "v00000001"}
-    got = sorted((r.window_start.day, r.fouls) for r in table.read().collect())
-    assert got == [(1, 1), (2, 7)]
-
-
 def test_late_event_dropped_after_spacer_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     os.makedirs(src)
@@ -240,17 +219,7 @@ def test_router_stream_feeds_topic_pipeline(spark, tmp_dir):
     assert _same(routed.select("topic", "value"), route_topics(batch, with_event_id=True).select("topic", "value"))
     started = start_match_streams(spark, os.path.join(tmp_dir, "out"), topics_dir=topics)
     await_all(started)
-    assert _same(scoreboard_from_firsts(started["goal_firsts"][1].read()), scoreboard(batch))
-
-
-def test_vacuum_keeps_referenced_versions(spark, tmp_dir):
-    table = KeyedTable(spark, os.path.join(tmp_dir, "t"), ["team"])
-    for i in range(4):
-        table.merge(spark.createDataFrame([("A", i)], "team string, goals bigint"), "q", i)
-    os.makedirs(os.path.join(tmp_dir, "t", "v00000002-deadbeef"))  # a dead attempt
-    removed = table.vacuum(keep_versions=2)
-    assert [r[:9] for r in removed] == ["v00000000", "v00000001", "v00000002"]
-    assert [tuple(r) for r in table.read().collect()] == [("A", 3)]
+    assert _same(started["goals"][1].board(), scoreboard(batch))
 
 
 def test_stream_windows_independent_of_session_time_zone(spark, tmp_dir):
@@ -322,7 +291,7 @@ def test_stream_into_jdbc_table(spark, tmp_dir):
                            driver="org.apache.derby.iapi.jdbc.AutoloadedDriver",
                            column_types="team VARCHAR(100)")
     stream = fouls_stream(event_stream(spark, src, "foul", max_files_per_trigger=1, glob="*.parquet"))
-    q = (stream.writeStream.outputMode("update").foreachBatch(table.batch_writer())
+    q = (stream.writeStream.outputMode("update").foreachBatch(table.write_batch)
          .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(600)
     assert q.exception() is None
@@ -359,7 +328,7 @@ def test_live_team_flag_exact_after_every_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     split_events(SF01, src, 7)
     table = KeyedTable(spark, os.path.join(tmp_dir, "live"), ["team", "player", "window_start"],
-                       ("window_date", F.to_date("window_start")), finalize=momentum_batch)
+                       ("window_date", F.to_date("window_start")), momentum_batch, CARD_GROUPS)
     stream = yellow_cards_stream(
         event_stream(spark, src, "yellow_card", max_files_per_trigger=1, glob="*.parquet"),
         "60 minutes", "10 minutes",
@@ -394,21 +363,19 @@ def test_scoreboard_unchanged_when_whole_input_is_replayed(spark, tmp_dir):
 
 
 def test_hot_key_safe_scoreboard_stream(spark, tmp_dir):
-    from matchstream.streaming.queries import (
-        goal_firsts_partition,
-        goal_firsts_stream,
-        scoreboard_from_firsts,
-    )
+    import shutil
+
+    from matchstream.streaming.goals import GoalTables
+    from matchstream.streaming.queries import goal_firsts_stream, scoreboard_from_firsts
 
     src = os.path.join(tmp_dir, "in")
     paths = split_events(SF01, src, 3)
-    import shutil
-
     shutil.copy(paths[1], paths[1].replace("part-", "dup-"))  # a burst of repeated events
-    table = KeyedTable(spark, os.path.join(tmp_dir, "firsts"), ["event_timestamp"], goal_firsts_partition("hour"))
+    table = GoalTables(spark, os.path.join(tmp_dir, "goals"), "hour")
     stream = goal_firsts_stream(event_stream(spark, src, "goal", max_files_per_trigger=1, glob="*.parquet"))
     run_available(stream, table, os.path.join(tmp_dir, "ck"), "update")
     batch = load_match_events_from_testdata(spark, SF01)
+    assert _same(table.board(), scoreboard(batch))
     assert _same(scoreboard_from_firsts(table.read()), scoreboard(batch))
     assert table.read().count() == batch.where("event_type = 'goal'").select("event_timestamp").distinct().count()
 
