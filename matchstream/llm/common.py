@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -109,11 +109,14 @@ def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def no_reserved_columns(docs: DataFrame) -> None:
-    """Fail early if ``docs`` has columns of the kind that operators add themselves."""
-    taken = [c for c in docs.columns if c.startswith("_")]
-    if taken:
-        raise ValueError(f"column names that start with an underscore are reserved: {taken}")
+def aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with neutral names for all columns that an operator doesn't need, and the columns that give the input's own back.
+
+    So an operator can add columns of any name, and the input's own stay as they are.
+    """
+    neutral = {c: c if c in needed else f"column_{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in neutral.items()])
+    return inner, [F.col(n).alias(c) for c, n in neutral.items()]
 
 
 def texts(column: pa.Array) -> list[str]:
