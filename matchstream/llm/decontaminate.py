@@ -17,20 +17,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from matchstream.llm.common import mixed, pieces, prepare, spread, table, texts
+from matchstream.llm.common import aside, mixed, pieces, prepare, spread, table, texts
 
 #: Characters of a q-gram, of a piece, and from one piece of an item to the next.
 Q, PIECE, STEP = 12, 120, 60
 #: One edit is allowed for so many characters of a piece, fewer where the
 #: lemma would leave less than LEAST shared q-grams.
 CHARS_PER_EDIT, LEAST = 18, 6
-#: Shorter items are no evidence: other text may well hold them by chance.
+#: Items with fewer characters are found where their words stand exactly, in a row and whole.
 SHORTEST = 30
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 4 << 20
@@ -45,6 +46,11 @@ _BASE = 0xD1342543DE82EF95
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
+def _order(item_id: int | None) -> tuple:
+    """Items by id, one without last."""
+    return (item_id is None, item_id or 0)
+
+
 def words_only(text: str) -> str:
     """The words of a text in lower case, one space between."""
     return " ".join(_WORD.findall(text.lower()))
@@ -80,16 +86,25 @@ def edit_budget(n: int) -> int:
 
 
 class Probes:
-    """The pieces of one block of items and the index of their q-grams."""
+    """The pieces of one block of items and the index of their q-grams; short items as an automaton of words."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        cut: dict[tuple[int, str], None] = {}
+    def __init__(self, items: list[tuple[int | None, str]]) -> None:
+        cut: dict[tuple[int | None, str], None] = {}
+        short: dict[str, set] = {}
         for item_id, text in items:
             text = words_only(text or "")
             if len(text) >= SHORTEST:
                 last = max(0, len(text) - PIECE)
                 for at in sorted({*range(0, last, STEP), last}):
                     cut[item_id, text[at : at + PIECE]] = None
+            elif text:
+                short.setdefault(text, set()).add(item_id)
+        self.short = None
+        if short:
+            self.short = ahocorasick.Automaton()
+            for text, ids in short.items():
+                self.short.add_word(f" {text} ", (len(text), sorted(ids, key=_order)))
+            self.short.make_automaton()
         self.item = [i for i, _ in cut]
         self.codes = [_codes(t) for _, t in cut]
         self.length = np.array([len(c) for c in self.codes], np.int64)
@@ -182,28 +197,39 @@ class Probes:
             end = int(low[j] + n + best[j] - begin[j])
             yield int(text[j]), self.item[p], max(0, end - n), end, int(edits[j])
 
+    def _exact(self, row: str) -> Iterator[dict]:
+        """The short items whose words a text holds, each at its first place."""
+        seen = set()
+        for last, (n, ids) in self.short.iter(f" {row} "):
+            for item in ids:
+                if item not in seen:
+                    seen.add(item)
+                    # One space stands before the text, and the match starts with one.
+                    yield {"item_id": item, "start": last - n - 1, "end": last - 1, "edits": 0}
+
     def search(self, rows: list[str]) -> list[list[dict]]:
         """For each text the items found in it, each at its best place."""
         out: list[list[dict]] = [[] for _ in rows]
+        reduced = [words_only(r) for r in rows]
+        if self.short is not None:
+            for found, row in zip(out, reduced):
+                found += self._exact(row)
         if not len(self.grams):
             return out
-        reduced = [words_only(r) for r in rows]
         for a, b in pieces([len(r) for r in reduced], CHUNK_CHARS):
             joined = _codes("\n".join([*reduced[a:b], ""]))
             ends = np.cumsum([len(r) + 1 for r in reduced[a:b]]) - 1
             best: dict[tuple[int, int], tuple] = {}
             for text, item, start, end, edits in self.aligned(joined, ends):
                 best[text, item] = min(best.get((text, item), (1 << 60,)), (edits, start, end))
-            for (text, item), (edits, start, end) in sorted(best.items()):
+            for (text, item), (edits, start, end) in sorted(best.items(), key=lambda x: (x[0][0], _order(x[0][1]))):
                 out[a + text].append({"item_id": item, "start": start, "end": end, "edits": edits})
         return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``BLOCK_BYTES``; one block is on the driver at a time."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
-        f"id is not null and length(text) >= {SHORTEST}"
-    )
+    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text != ''")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-total // BLOCK_BYTES))
     for k in range(count):
@@ -216,9 +242,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
 
     ``start`` and ``end`` count characters of the text's words joined by single
     spaces, in lower case.  A null or empty text has no leaks, nor has any text
-    if the benchmark is empty; items without an id or with fewer than
-    ``SHORTEST`` characters are not searched for.  Items that repeat are found
-    once for each id.  A column ``leaks`` that ``docs`` has already is replaced.
+    if the benchmark is empty.  Items with fewer than ``SHORTEST`` characters of words
+    are found where all their words stand in a row, without an edit; items without a
+    word are nowhere.  Items that repeat are found once for each id, and those without
+    one together, as id null.  A column ``leaks`` that ``docs`` has already is replaced.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -251,6 +278,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    found = find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("leaks") == 0).select(*docs.columns)
+    """Pipeline stage: documents that hold a benchmark item go, whether or not the item has an id.
+
+    Documents without text stay, repeated rows go or stay alike.  The input's
+    columns come back as they are, whatever their names; an empty table stays empty.
+    """
+    inner, back = aside(docs, "text")
+    return find_leaks(inner, table(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*back)

@@ -63,7 +63,7 @@ def test_operator(spark, make_docs, tmp_path):
     found = D.find_leaks(docs, benchmark)
     got = sorted(((r.doc_id or 0), [(x.item_id, x.edits) for x in r.leaks]) for r in found.collect())
     both = [(1, 0), (6, 0)]
-    assert got == [(0, both), (1, []), (2, []), (3, both), (4, both), (4, both), (5, []), (6, []), (7, []), (8, [(3, 0)])]
+    assert got == [(0, both), (1, []), (2, []), (3, both), (4, both), (4, both), (5, []), (6, [(4, 0)]), (7, []), (8, [(3, 0)])]
     assert all(not r.leaks for r in D.find_leaks(docs, benchmark.where("false")).collect())
     assert D.find_leaks(make_docs([]), benchmark).count() == 0
 
@@ -82,3 +82,19 @@ def test_query_finds_the_items_that_documents_hold(spark, sf_dir):
     want = {(d, i) for d, text in docs.items() for i, item in items.items() if item in text}
     assert {(r.doc_id, r.item_id) for r in D.op10_decontaminate(spark, sf_dir).collect()} == want
     assert want
+
+
+def test_short_items_and_items_without_an_id(spark, make_docs):
+    """Short items are found by their whole words, in any number and place; an item without an id counts too."""
+    item = words(30, 21)
+    items = [(1, "What is the capital of Peru?"), (2, "is the"), (None, "Lima!"), (None, item), (3, "?!"), (4, ""), (5, None), (6, "首都是哪里"), (2, "is the")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "so: what IS the\ncapital, of peru"), (2, "what is the capital of perus"), (3, "lima"), (4, "limas alima"), (5, "x " + item + " y"),
+            (6, "this the"), (7, "is the is the"), (8, "问 首都是哪里 吗"), (9, "?!"), (10, None)]
+    found = D.find_leaks(make_docs(rows), benchmark)
+    got = {r.doc_id: sorted(((x.item_id or 0), x.start, x.end, x.edits) for x in r.leaks) for r in found.collect()}
+    assert got == {
+        1: [(1, 3, 30, 0), (2, 8, 14, 0)], 2: [(2, 5, 11, 0)], 3: [(0, 0, 4, 0)], 4: [],
+        5: [(0, 2, 122, 0)],  # the place of a piece
+        6: [], 7: [(2, 0, 6, 0)], 8: [(6, 2, 7, 0)], 9: [], 10: [],
+    }
