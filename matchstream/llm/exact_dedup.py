@@ -4,8 +4,10 @@ Texts are compared after white-space normalisation.  Each task first collapses
 the copies it sees, so that a text copied into half of all rows is shuffled once
 for a batch and not once for a row.  The remaining texts are dealt by length and
 content hash; each partition inserts the full bytes into a compressed radix trie
-whose terminal nodes store the smallest id.  When a trie outgrows its memory its
-largest subtrees go to a temporary file and are finished one by one.
+whose terminal nodes store the smallest id.  A byte of the content hash stands before
+the text, so that a trie has many subtrees of similar size; below it texts share
+their prefixes.  When a trie outgrows its memory its largest subtrees go to
+temporary files and are finished one by one.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from matchstream.llm.common import first_row, no_reserved_columns, prepare, stored, table, utf8
+from matchstream.llm.common import aside, first_row, prepare, stored, table, utf8
 
 #: Bytes of text that a trie holds in memory before subtrees are spilled.
 TRIE_BYTES = 48 << 20
@@ -55,30 +57,56 @@ def _common(a: bytes, b: bytes, at: int) -> int:
     return low
 
 
+class _Spilled:
+    """A subtree in a temporary file, and how many bytes all its keys have in common."""
+
+    def __init__(self) -> None:
+        self.file = tempfile.TemporaryFile()  # noqa: SIM115  closed by owners()
+        self.first: bytes | None = None
+        self.shared = 0
+
+    def add(self, key: bytes, rank: tuple, rows: int, members: list) -> None:
+        if self.first is None:
+            self.first, self.shared = key, len(key)
+        else:
+            self.shared = min(self.shared, _common(self.first, key, 0))
+        pickle.dump((key, rank, rows, members), self.file)
+
+    def entries(self) -> Iterator[tuple]:
+        self.file.seek(0)
+        while True:
+            try:
+                yield pickle.load(self.file)
+            except EOFError:
+                self.file.close()
+                return
+
+
 class PatriciaTrie:
     """A compressed radix trie over bytes; an owner is kept for each key.
 
     An owner is ``[smallest rank, rows, members]``, where a rank is any
-    comparable value.  Keys start with bytes that are spread evenly (a hash),
-    so that the children of the root are subtrees of similar size.
+    comparable value.  All keys agree in their first ``depth`` bytes.
     """
 
     def __init__(self, budget: int = TRIE_BYTES, depth: int = 0) -> None:
         self.root = _Node(b"")
         self.budget, self.depth = budget, depth
         self.held: dict[int, int] = {}
-        self.files: dict[int, object] = {}
+        self.files: dict[int, _Spilled] = {}
 
     def insert(self, key: bytes, rank: tuple, rows: int, members: list) -> None:
         branch = key[self.depth] if self.depth < len(key) else -1
         if branch in self.files:
-            pickle.dump((key, rank, rows, members), self.files[branch])
+            self.files[branch].add(key, rank, rows, members)
             return
         node = self._terminal(key, branch)
         if node.owner is None:
             node.owner = [rank, rows, list(members)]
         else:
-            node.owner = [min(node.owner[0], rank), node.owner[1] + rows, node.owner[2] + members]
+            node.owner[0] = min(node.owner[0], rank)
+            node.owner[1] += rows
+            node.owner[2] += members
         if sum(self.held.values()) > self.budget and len(self.held) > 1:
             self._spill(max(self.held, key=self.held.__getitem__))
 
@@ -96,15 +124,17 @@ class PatriciaTrie:
                 child.label = child.label[shared:]
                 fork.children[child.label[0]] = child
                 node.children[key[at]] = child = fork
+                self.held[branch] += 400
             node, at = child, at + len(child.label)
         return node
 
     def _spill(self, branch: int) -> None:
         """Move the subtree below one child of the root to a temporary file."""
-        out = self.files[branch] = tempfile.TemporaryFile()  # noqa: SIM115  closed by owners()
         top = self.root.children.pop(branch)
+        out = self.files[branch] = _Spilled()
+        # The bytes before this trie's depth are the same in all keys, so they can be left open.
         for key, (rank, rows, members) in self._walk(top, bytes(self.depth)):
-            pickle.dump((key, rank, rows, members), out)
+            out.add(key, rank, rows, members)
         del self.held[branch]
 
     @staticmethod
@@ -125,16 +155,11 @@ class PatriciaTrie:
             for _, owner in self._walk(top, b""):
                 yield owner
         self.root, self.held = _Node(b""), {}
-        for file in self.files.values():
-            file.seek(0)
-            below = PatriciaTrie(self.budget, self.depth + 1)
-            while True:
-                try:
-                    key, rank, rows, members = pickle.load(file)
-                except EOFError:
-                    break
-                below.insert(key, rank, rows, members)
-            file.close()
+        for spilled in self.files.values():
+            # Where texts share a long prefix, the next trie starts behind it.
+            below = PatriciaTrie(self.budget, max(self.depth + 1, spilled.shared))
+            for entry in spilled.entries():
+                below.insert(*entry)
             yield from below.owners()
 
 
@@ -213,7 +238,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         columns = [b.column(c).to_pylist() for c in ("_id", "_same_as", "_copies", "_sha256")]
         for doc_id, row, copies, sha, text in zip(*columns, utf8(b.column("_text")), strict=True):
-            trie.insert(sha[:8] + normalised(text), _rank(doc_id, row), copies, [row])
+            trie.insert(sha[:1] + normalised(text), _rank(doc_id, row), copies, [row])
     schema = pa.schema([(n, pa.int64()) for n in _OWNERS.names])
     rows: list[tuple] = []
     for (no_id, doc_id, row), count, members in trie.owners():
@@ -232,21 +257,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty.  Of each group the row with the smallest id is kept.  A null id comes
     after all others, and of rows with the same id the one read first stays, so
     each group keeps exactly one row.  ``keep_id`` is null if all ids of a group
-    are.  Columns of ``docs`` that have one of the new names are replaced; names
-    starting with an underscore are reserved.
+    are.  Columns of ``docs`` that have one of the new names are replaced, all
+    others come back as they are.
     """
     spark = docs.sparkSession
     prepare(spark)
-    no_reserved_columns(docs)
     new = ["keep_id", "group_size", "kept", "text_sha256"]
-    docs = docs.select(*[c for c in docs.columns if c not in new])
+    docs, back = aside(docs.select(*[c for c in docs.columns if c not in new]), id_col, text_col)
     marked = stored(_mark(docs, id_col, text_col), "exact-dedup")
     standing = marked.where("_copies is not null").select(
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), "_same_as", "_copies", "_length", "_sha256"
     )
     owners = standing.repartition("_length", "_sha256").mapInArrow(_own, _OWNERS)
     return marked.join(owners, "_same_as").select(
-        *docs.columns,
+        *back,
         "keep_id",
         "group_size",
         (F.col("_row") == F.col("_keep_row")).alias("kept"),
@@ -272,5 +296,11 @@ WINDOW same AS (PARTITION BY t)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of equal texts stays."""
-    return exact_dedup(docs).where("kept").select(*docs.columns)
+    """Pipeline stage: one document of each group of equal texts stays.
+
+    Null counts as empty, so one document without text stays.  The smallest id
+    stays, null last, and of equal ids the row read first.  The input's columns
+    come back as they are, whatever their names; an empty table stays empty.
+    """
+    inner, back = aside(docs, "doc_id", "text")
+    return exact_dedup(inner).where("kept").select(*back)

@@ -65,3 +65,34 @@ def test_temporary_files_are_gone(tmp_path, monkeypatch):
         trie.insert(bytes([i]) * 12, i, 1, [i])
     assert len(list(trie.owners())) == 200
     assert not os.listdir(tmp_path)
+
+
+def test_long_common_prefixes_spill_behind_them():
+    """Subtrees whose texts share a long prefix are spilled where they part, not byte by byte."""
+    prefix = b"x" * 5000
+    keys = [prefix + str(i).encode() for i in range(400)] + [prefix, b"y", prefix[:10]]
+    trie = X.PatriciaTrie(3_000)
+    for i, k in enumerate(keys * 3):
+        trie.insert(k, i, 1, [i])
+    assert sorted((r, n) for r, n, _ in trie.owners()) == [(i, 3) for i in range(len(keys))]
+
+
+def test_many_copies_take_linear_time():
+    import time
+
+    def seconds(n):
+        trie = X.PatriciaTrie()
+        start = time.perf_counter()
+        for i in range(n):
+            trie.insert(b"one text", (False, i, i), 1, [i])
+        assert [len(m) for _, _, m in trie.owners()] == [n]
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(400_000) < 40 * seconds(40_000)
+
+
+def test_reserved_looking_columns_come_back(make_docs):
+    docs = make_docs([(1, "x"), (2, "x")]).withColumn("_row", F.lit("mine")).withColumn("_same_as", F.lit(7))
+    got = X.exact_dedup(docs).collect()
+    assert {(r.doc_id, r._row, r._same_as, r.keep_id) for r in got} == {(1, "mine", 7, 1), (2, "mine", 7, 1)}
