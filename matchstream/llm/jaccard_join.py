@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstream.llm.common import first_row, mixed, numbered, prepare, reducers, stored, table, utf8
+from matchstream.llm.common import aside, first_row, mixed, numbered, prepare, reducers, stored, table, utf8
 from matchstream.llm.components import components
 from matchstream.llm.rtree import GROUPS, CountRTree, count_vector
 from matchstream.llm.shingles import shingle_sets, signature
@@ -423,8 +423,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near copies stays, five words and 0.8.
 
-    The rows that go are written first, so that the size of that table is known
-    when the join with the texts is planned.
+    Documents without words or text are near copies of nothing and stay, and
+    repeated rows leave one.  Of a group the smallest id stays, null last, and of
+    equal ids the row read first.  The input's columns come back as they are,
+    whatever their names.  The rows that go are written first, so that the size of
+    that table is known when the join with the texts is planned.
     """
     gone = jaccard_groups(docs, 5, (80, 100)).where("not first").select(F.col("row").alias("_row"))
-    return numbered(docs).join(stored(gone, "jaccard-gone"), "_row", "left_anti").select(*docs.columns)
+    inner, back = aside(docs)
+    return numbered(inner).join(stored(gone, "jaccard-gone"), "_row", "left_anti").select(*back)

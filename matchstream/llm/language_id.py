@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from matchstream.llm.common import crc32_of_id, prepare, table, texts
+from matchstream.llm.common import aside, crc32_of_id, prepare, table, texts
 
 #: Sample of the labelled rows that the dictionaries are made from: at most so
 #: many documents for a language, and so many characters of each.
@@ -172,6 +172,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language can't be told go."""
-    found = identify(docs, learn_samples(training_rows(docs)))
-    return found.where(~F.col("rejected")).select(*docs.columns)
+    """Pipeline stage: documents whose language can't be told go, null and empty texts among them.
+
+    Repeated rows are judged alike, ties go to the language with more labelled
+    rows, and an empty table stays empty.  The input's columns come back as they
+    are, whatever their names.
+    """
+    inner, back = aside(docs, "text")
+    return identify(inner, learn_samples(training_rows(docs))).where(~F.col("rejected")).select(*back)

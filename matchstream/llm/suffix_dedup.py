@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from matchstream.llm.bwt import repeated_windows
-from matchstream.llm.common import chunked, mixed, no_reserved_columns, prepare, reducers, stored, table, utf8
+from matchstream.llm.common import aside, chunked, mixed, prepare, reducers, stored, table, utf8
 
 LENGTH = 200
 GRAM = 64
@@ -324,13 +324,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = True)
     Segments are compared by 128 bits of hashes, windows by their bytes.
     ``docs`` must be a table read from storage, whose rows come in the same
     partitions and order again.  Columns of ``docs`` that have one of the new
-    names are replaced; names that start with an underscore are reserved.
+    names are replaced, all others come back as they are.
     """
     spark = docs.sparkSession
     prepare(spark)
-    no_reserved_columns(docs)
     result = StructType.fromDDL(_RESULT)
-    others = [c for c in docs.columns if c != text and c not in result.names]
+    docs, back = aside(docs.select(*[c for c in docs.columns if c == text or c not in result.names]), text)
+    back = [c for c, name in zip(back, docs.columns) if name != text]
+    others = [c for c in docs.columns if c != text]
     blobs = _hash_blobs(chunked(docs.select(text), text), text, 4 * reducers(spark))
     counted = blobs.groupBy("bucket").applyInArrow(
         _count_bucket, "chunk long, anchor binary, content binary, flags binary, blocks binary, size long"
@@ -348,9 +349,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", with_kept: bool = True)
     known = counted.select("chunk", "anchor", "content", "flags", "blocks", F.lit(None).cast("binary").alias("runs"))
     known = known.unionByName(runs.select("chunk", *nothing, "runs"))
     fields = [f for f in docs.schema.fields if f.name in others]
-    return chunked(docs.select(*others, text), text).groupBy("_chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+    removed = chunked(docs.select(*others, text), text).groupBy("_chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _remove(text, others, with_kept), StructType(fields + result.fields)
     )
+    return removed.select(*back, *result.names)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import corpus_pipeline
 import duckdb
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from test_jaccard import brute
 
 from matchstream.llm import bpe, decontaminate, exact_dedup, language_id
@@ -45,11 +46,26 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir, make_docs):
     ]
 
 
+def test_stages_keep_the_input_s_own_values(spark, sf_dir, make_docs):
+    """Columns named like those that the operators add come back with their values."""
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) > 400").orderBy("doc_id").limit(30).collect()]
+    docs = make_docs([(i, t, "en", "s", i) for i, t in enumerate(texts)])
+    names = ["score", "rejected", "lang_pred", "kept", "keep_id", "group_size", "text_sha256", "leaks", "_row", "row", "id", "_chunk", "component"]
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, (F.col("doc_id") * 100 + i).cast("double" if i % 2 else "string"))
+    known = {r.doc_id: tuple(r) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.schema == docs.schema
+        rows = got.collect()
+        assert rows and all(known[r.doc_id] == tuple(r) for r in rows)
+
+
 def test_registered_queries_against_sql(spark, sf_dir):
     con = duckdb.connect()
     for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
-    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     for name, sql in ORACLES.items():
         want = con.sql(sql)
         got = QUERIES[name](spark, sf_dir)
