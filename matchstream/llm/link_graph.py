@@ -32,7 +32,7 @@ TOLERANCE = 1e-4
 #: A host is blocked when distrust > FACTOR * trust.
 FACTOR = 1.0
 
-_LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/"'?#\s<>:@]+)"""
+_LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/"'?#\s<>]+)"""
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -62,8 +62,8 @@ def _fitting(rules: list[tuple[str, str, str]], value) -> Column:
 def host_edges(pages: DataFrame) -> DataFrame:
     """``src, dst, links``: how many pages' links lead from one host to another.
 
-    Only absolute links say which host they lead to; links within a host, and
-    pages without a host, add nothing.
+    Only absolute links say which host they lead to, by the rule of ``host_of``, port
+    and user name included; links within a host, and pages without a host, add nothing.
     """
     found = F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1))))
     links = pages.select(F.col("host").alias("src"), found.alias("dst"))

@@ -88,3 +88,12 @@ def test_ranks_and_verdicts(spark):
     verdicts = {r.host: r.verdict for r in found if r.rule is None}
     assert verdicts["farm.org"] == "block" and verdicts["near.org"] == "allow" and verdicts["alone.org"] == "allow"
     assert G.filter_urls(pages.where("false")).count() == 0
+
+
+def test_links_and_pages_have_one_rule_for_hosts(spark):
+    """Ports, user names and capitals: a link names the host that its page has."""
+    rows = [(1, "http://A.org:8080/x", '<a href="http://me@mid.org:9090/y?z">', ""), (2, "http://me@mid.org:9090/y", "<img src='//END.org:1'>", ""),
+            (3, "http://end.org:1?q", "z" * 300_000 + '<a href=https://a.org:8080#f>', ""), (4, None, '<a href="http://a.org:8080">', ""), (5, "http://b.org", None, "")]
+    pages = spark.createDataFrame(rows, SCHEMA).withColumn("host", G.host_of(F.col("url")))
+    got = {(r.src, r.dst, r.links) for r in G.host_edges(pages).collect()}
+    assert got == {("a.org:8080", "me@mid.org:9090", 1), ("me@mid.org:9090", "end.org:1", 1), ("end.org:1", "a.org:8080", 1)}
