@@ -42,3 +42,11 @@ def test_learns_only_from_labelled_letters(make_docs):
     assert L.learn_samples(make_docs([])) == {}
     kept = {r.doc_id for r in L.training_rows(make_docs([(i, "t") for i in range(200)] + [(None, "t")])).collect()}
     assert kept == {i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2}
+
+
+def test_copies_of_a_text_teach_once(make_docs):
+    import matchstream.llm.language_id as X
+
+    rows = [(i, "copied text of one kind", "aa") for i in range(900)] + [(1000 + i, f"other {chr(97 + i)} text", "aa") for i in range(20)]
+    sample = X.learn_samples(make_docs(rows))["aa"].split("\n")
+    assert len(sample) == len(set(sample)) == 21
