@@ -155,6 +155,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _INDEX = {label: i for i, label in enumerate(LABELS)}
 #: Sequences decoded at once, and their places, padding included.
 DECODED, PLACES = 2048, 1 << 16
+#: Tokens of a sequence, and of the overlap of the pieces of a longer one.
+MOST_TOKENS, OVERLAP = 1024, 128
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -345,30 +347,57 @@ def _plausible(kind: str, value: str) -> bool:
     return bool(_DOMAIN.search(re.sub(r"\s+", "", value.partition("@")[2])))
 
 
+def sequence_pieces(own: list[tuple[int, int]]) -> Iterator[tuple[list[tuple[int, int]], int, int]]:
+    """A sequence of tokens in pieces of bounded length that overlap, and the places at which a piece's spans may start.
+
+    Every span that is shorter than half of the overlap is whole in the piece
+    that owns its start.
+    """
+    step = MOST_TOKENS - OVERLAP
+    for at in range(0, max(1, len(own) - OVERLAP), step):
+        piece = own[at : at + MOST_TOKENS]
+        ends = at + MOST_TOKENS >= len(own)
+        if piece:
+            yield piece, OVERLAP // 2 if at else 0, len(piece) if ends else MOST_TOKENS - OVERLAP // 2
+
+
+def _labelled(own: list[tuple[int, int]], labels: list[int], first: int, last: int) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the labelled spans that start at the places ``first`` to ``last``."""
+    k = 0
+    while k < len(own):
+        label, end = LABELS[labels[k]], k
+        if label[0] == "B":
+            while end + 1 < len(own) and LABELS[labels[end + 1]] == f"I-{label[2:]}":
+                end += 1
+            if first <= k < last:
+                yield label[2:], own[k][0], own[end][1]
+        k = end + 1
+
+
 def find_spans(field: Field, rows: list[str]) -> list[tuple[list, list]]:
     """For each text the patterns' spans and those that the field adds."""
     base = [base_spans(r) for r in rows]
-    places, sequences = [], []
-    for i, row in enumerate(rows):
-        for a, b in windows(row):
-            own = tokens(row, a, b)
-            if own:
-                places.append((i, own))
-                sequences.append(features(row, own))
     added: list[list] = [[] for _ in rows]
-    for (i, own), labels in zip(places, field.decode(sequences)):
-        k = 0
-        while k < len(own):
-            label = LABELS[labels[k]]
-            last = k
-            if label[0] == "B":
-                while last + 1 < len(own) and LABELS[labels[last + 1]] == f"I-{label[2:]}":
-                    last += 1
-                a, b = own[k][0], own[last][1]
+    held: list[tuple] = []
+    size = 0
+
+    def label_held() -> None:
+        for (i, own, first, last), labels in zip(held, field.decode([features(rows[i], own) for i, own, _, _ in held])):
+            for kind, a, b in _labelled(own, labels, first, last):
                 free = all(b <= s or e <= a for _, s, e in base[i])
-                if free and _plausible(label[2:], rows[i][a:b]):
-                    added[i].append((f"{label[2:]}_like", a, b))
-            k = last + 1
+                if free and _plausible(kind, rows[i][a:b]):
+                    added[i].append((f"{kind}_like", a, b))
+        held.clear()
+
+    for i, row in enumerate(rows):
+        for a, b in windows(row):
+            for piece in sequence_pieces(tokens(row, a, b)):
+                held.append((i, *piece))
+                size += len(piece[0])
+                if size >= PLACES:
+                    label_held()
+                    size = 0
+    label_held()
     return list(zip(base, added))
 
 
