@@ -86,7 +86,8 @@ def cmd_batch(spark, args) -> None:
     from matchstream.plans.batch import run_match_report
 
     source = _Source(spark, args)
-    paths = run_match_report(source.events, args.out, persist=args.persist,
+    # A database would be read once for each metric.
+    paths = run_match_report(source.events, args.out, persist=args.persist or bool(args.jdbc_url),
                              foul_window=args.foul_window, card_window=args.card_window,
                              card_slide=args.card_slide)
     for name, path in paths.items():
@@ -216,7 +217,7 @@ def parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("batch")
     source_args(sp)
     sp.add_argument("--out", required=True)
-    sp.add_argument("--persist", action="store_true")
+    sp.add_argument("--persist", action="store_true", help="read the events once and keep them; always so for a database")
     sp.add_argument("--foul-window", default="1 minute")
     sp.add_argument("--card-window", default="5 minutes")
     sp.add_argument("--card-slide", default="1 minute")

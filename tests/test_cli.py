@@ -55,7 +55,7 @@ def test_load_into_jdbc_and_batch_from_it(spark, tmp_dir, capsys):
         main(["load", "--csv", csv, "--jdbc-url", url, "--jdbc-driver", driver, "--load-id", "day 1"])
     report = os.path.join(tmp_dir, "report")
     main(["batch", "--jdbc-url", url, "--jdbc-table", "MATCH_EVENTS", "--jdbc-driver", driver,
-          "--jdbc-partitions", "3", "--out", report, "--persist"])
+          "--jdbc-partitions", "3", "--out", report])
     from matchstream.operators import scoreboard
 
     got = {r.team: r.goals for r in spark.read.parquet(os.path.join(report, "scoreboard")).collect()}
